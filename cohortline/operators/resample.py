@@ -57,7 +57,8 @@ def resample(
     order = F.struct("_at", row_id) if row_id in df.columns else F.col("_at")
     bins = rows.groupBy(subject, "_bin").agg(*[_aggregate(c, h, order) for c, h in how.items()])
 
-    after = F.lead("_bin").over(Window.partitionBy(subject).orderBy("_bin"))
+    bins = bins.withColumn("_after", F.lead("_bin").over(Window.partitionBy(subject).orderBy("_bin")))
+    after = F.col("_after")
     wanted = F.coalesce((after - F.col("_bin")) / step, F.lit(1))
     last = F.when(
         wanted > max_gap_rows, F.raise_error(F.lit(f"gap of more than {max_gap_rows} bins: check timestamps"))
