@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortline.defaults import RUN_METRICS
+from cohortline.plans.evaluation import metric_columns
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -166,3 +169,113 @@ scored AS (
   SELECT patient_id, event_id, label, logit, probability,
          CASE WHEN probability >= 0.5 THEN 1 ELSE 0 END AS prediction
   FROM (SELECT *, round(1 / (1 + exp(-logit)), 6) AS probability FROM logits))"""
+
+
+def _label_counts(spark: SparkSession, folder: str, key) -> DataFrame:
+    """Confusion counts of the document labels per group: quality predicts not toxic."""
+    hit, true = F.col("quality") == 1, F.col("toxic") == 0
+    return table(spark, folder, "labels").groupBy(key.alias("k")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(hit & true).alias("tp"), F.count_if(hit & ~true).alias("fp"),
+        F.count_if(~hit & ~true).alias("tn"), F.count_if(~hit & true).alias("fn"),
+    )
+
+
+def _metrics(missing_auc):
+    ratios = metric_columns()
+    auc = F.when(~missing_auc, ratios["balanced_accuracy"])
+    return F.struct(*[(auc if m == "auc_roc" else ratios[m]).alias(m) for m in RUN_METRICS])
+
+
+def _model(key):
+    return F.element_at(F.array(F.lit("mlp"), F.lit("lstm"), F.lit("transformer")), (key % 3 + 1).cast("int"))
+
+
+def runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Single run records derived from the labels, one per residue of the document id."""
+    k = F.col("k")
+    text = k.cast("string")
+    losses = (
+        table(spark, folder, "labels")
+        .groupBy((F.col("doc_id") % 8).alias("h"), (F.floor(F.col("doc_id") / 8) % 20).alias("epoch"))
+        .agg(F.avg((F.col("doc_id") * 37 % 11).cast("double") + F.col("toxic")).alias("loss"))
+        .groupBy("h").agg(F.sort_array(F.collect_list(F.struct("epoch", "loss"))).alias("curve"))
+    )
+    counted = _label_counts(spark, folder, F.col("doc_id") % 8)
+    # Both sides have at most eight rows.
+    return counted.join(F.broadcast(losses), F.col("k") == F.col("h")).select(
+        F.lit(None).cast("string").alias("experiment_type"),
+        F.concat(F.lit("r"), text).alias("run_id"), F.concat(F.lit("run_"), text).alias("run_name"),
+        _model(k).alias("model_type"), (1000 * (k + 1) + F.col("n")).alias("parameter_count"),
+        (F.col("n").cast("double") / 10).alias("training_time_seconds"),
+        F.struct(F.col("curve.loss").alias("val_loss")).alias("history"),
+        _metrics(k == 3).alias("metrics"),
+        F.concat(F.lit("2024-01-0"), (k * 5 % 8 + 1).cast("string"), F.lit("T00:00:00")).alias("timestamp"),
+    )
+
+
+def sweep_results(spark: SparkSession, folder: str) -> DataFrame:
+    """Sweep entries derived from the labels; two of sixteen carry an error."""
+    k = F.col("k")
+    failed = k % 7 == 3
+    entry = _label_counts(spark, folder, F.col("doc_id") % 16)
+    rate = F.element_at(F.array(F.lit("0.1"), F.lit("0.01"), F.lit("0.001"), F.lit("0.0001")), (k % 4 + 1).cast("int"))
+    size = F.element_at(F.array(F.lit("16"), F.lit("32"), F.lit("64"), F.lit("128")), (F.floor(k / 4) + 1).cast("int"))
+    metrics = _metrics(F.lit(False))
+    return entry.select(
+        (k + 1).alias("run_index"), F.concat(F.lit("sweep_run"), F.lpad((k + 1).cast("string"), 3, "0")).alias("run_name"),
+        F.create_map(F.lit("training.learning_rate"), rate, F.lit("training.batch_size"), size).alias("params"),
+        F.when(~failed, metrics["f1_score"]).alias("score"), F.when(~failed, metrics).alias("metrics"),
+        F.when(~failed, F.col("n").cast("double") / 10).alias("training_time"),
+        F.when(failed, F.lit("out of memory")).alias("error"),
+    )
+
+
+def ablation_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """F1 per left-out component, derived from the labels."""
+    names = F.array(*[F.lit(n) for n in ("full_model", "no_rolling", "no_diff", "no_risk", "no_labs", "no_vitals")])
+    counted = _label_counts(spark, folder, F.col("doc_id") % 6)
+    return counted.select(
+        F.element_at(names, (F.col("k") + 1).cast("int")).alias("component"), metric_columns()["f1_score"].alias("f1_score"))
+
+
+def _counts_sql(groups: int) -> str:
+    hit, true = "quality = 1", "toxic = 0"
+    return f"""SELECT doc_id % {groups} AS k, count(*) AS n,
+    count(*) FILTER (WHERE {hit} AND {true}) AS tp, count(*) FILTER (WHERE {hit} AND NOT ({true})) AS fp,
+    count(*) FILTER (WHERE NOT ({hit}) AND NOT ({true})) AS tn, count(*) FILTER (WHERE NOT ({hit}) AND {true}) AS fn
+    FROM labels GROUP BY 1"""
+
+
+_RATIO = "CASE WHEN {b} = 0 THEN 0 ELSE CAST({a} AS DOUBLE) / ({b}) END"
+_RATIOS_SQL = ", ".join(_RATIO.format(a=a, b=b) + f" AS {n}" for n, a, b in (
+    ("accuracy", "tp + tn", "tp + tn + fp + fn"), ("precision", "tp", "tp + fp"), ("recall", "tp", "tp + fn"),
+    ("f1_score", "2 * tp", "2 * tp + fp + fn"), ("specificity", "tn", "tn + fp")))
+
+RUNS_SQL = f"""
+run_counts AS (SELECT *, {_RATIOS_SQL} FROM ({_counts_sql(8)})),
+runs AS (
+  SELECT 'r' || k AS run_id, 'run_' || k AS run_name, (['mlp', 'lstm', 'transformer'])[k % 3 + 1] AS model_type,
+         CAST(1000 * (k + 1) + n AS BIGINT) AS parameter_count, CAST(n AS DOUBLE) / 10 AS training_time_seconds,
+         accuracy, precision, recall, f1_score, CASE WHEN k <> 3 THEN (recall + specificity) / 2 END AS auc_roc,
+         specificity, (recall + specificity) / 2 AS balanced_accuracy,
+         '2024-01-0' || (k * 5 % 8 + 1) || 'T00:00:00' AS timestamp
+  FROM run_counts),
+losses AS (
+  SELECT 'run_' || (doc_id % 8) AS run_name, doc_id // 8 % 20 AS epoch,
+         avg(CAST(doc_id * 37 % 11 AS DOUBLE) + toxic) AS loss FROM labels GROUP BY 1, 2)"""
+
+SWEEP_SQL = f"""
+sweep_counts AS (SELECT *, {_RATIOS_SQL} FROM ({_counts_sql(16)})),
+sweep AS (
+  SELECT k + 1 AS run_index, 'sweep_run' || lpad(CAST(k + 1 AS VARCHAR), 3, '0') AS run_name,
+         (['0.1', '0.01', '0.001', '0.0001'])[k % 4 + 1] AS rate, (['16', '32', '64', '128'])[k // 4 + 1] AS size,
+         CASE WHEN k % 7 <> 3 THEN f1_score END AS score, CASE WHEN k % 7 <> 3 THEN accuracy END AS accuracy,
+         CASE WHEN k % 7 <> 3 THEN CAST(n AS DOUBLE) / 10 END AS training_time,
+         CASE WHEN k % 7 = 3 THEN 'out of memory' END AS error
+  FROM sweep_counts)"""
+
+ABLATION_SQL = f"""
+ablation AS (
+  SELECT (['full_model', 'no_rolling', 'no_diff', 'no_risk', 'no_labs', 'no_vitals'])[k + 1] AS component, f1_score
+  FROM (SELECT *, {_RATIOS_SQL} FROM ({_counts_sql(6)})))"""
