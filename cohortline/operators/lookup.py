@@ -30,13 +30,13 @@ def map_lookup(
     are looked up through a small broadcast, so no frequent key is shuffled.
     Null keys never reach a shuffle.
     """
-    right = table.select(F.col(key).alias("_key"), *values, *([weight] if weight and weight not in values else []))
+    right = table.select(F.col(key).alias("_lookup_key"), *values, *([weight] if weight and weight not in values else []))
 
     def finish(joined: DataFrame) -> DataFrame:
         return joined.select(*df.columns, *[F.coalesce(F.col(f"_r.{c}"), F.lit(d)).alias(c) for c, d in values.items()])
 
     def left_join(left: DataFrame, side: DataFrame) -> DataFrame:
-        return left.join(side.alias("_r"), F.col(column).cast("string") == F.col("_r._key"), "left")
+        return left.join(side.alias("_r"), F.col(column).cast("string") == F.col("_r._lookup_key"), "left")
 
     if rows is None:
         rows = right.limit(broadcast_rows + 1).count()
@@ -45,10 +45,10 @@ def map_lookup(
     if weight is None:
         keyed = df.filter(F.col(column).isNotNull())
         return finish(left_join(keyed, right)).unionByName(_defaults(df, column, values))
-    top = F.broadcast(right.orderBy(F.desc(weight), "_key").limit(heavy))
-    is_top = F.col(column).cast("string") == F.col("_key")
-    frequent = finish(df.join(top.alias("_r"), F.col(column).cast("string") == F.col("_r._key")))
-    others = df.filter(F.col(column).isNotNull()).join(top.select("_key"), is_top, "left_anti")
+    top = F.broadcast(right.orderBy(F.desc(weight), "_lookup_key").limit(heavy))
+    is_top = F.col(column).cast("string") == F.col("_lookup_key")
+    frequent = finish(df.join(top.alias("_r"), F.col(column).cast("string") == F.col("_r._lookup_key")))
+    others = df.filter(F.col(column).isNotNull()).join(top.select("_lookup_key"), is_top, "left_anti")
     return frequent.unionByName(finish(left_join(others, right))).unionByName(_defaults(df, column, values))
 
 

@@ -8,6 +8,7 @@ from cohortline import defaults as D
 from cohortline import fixtures as X
 from cohortline.operators import encode as en
 from cohortline.operators import impute as im
+from cohortline.operators import knn as kn
 from cohortline.operators import outliers as ou
 from cohortline.operators import scale as sc
 from cohortline.operators.lookup import map_lookup
@@ -64,6 +65,24 @@ def _(spark, sf):
     return rounded(fitted.transform(wide))
 
 
+_D2 = ("6 / (" + " + ".join(f"CASE WHEN a.{c} IS NOT NULL AND b.{c} IS NOT NULL THEN 1 ELSE 0 END" for c in DOUBLES)
+       + ") * (" + " + ".join(f"coalesce((a.{c} - b.{c}) * (a.{c} - b.{c}), 0)" for c in DOUBLES) + ")")
+_ANY_GAP = " OR ".join(f"{c} IS NULL" for c in DOUBLES)
+
+
+@query("i4_impute_knn", ENC + f""",
+near AS (
+  SELECT a.event_id, {', '.join(
+    f"CASE WHEN any_value(a.{c}) IS NULL THEN list_avg(arg_min(b.{c}, {_D2}, 5) FILTER (WHERE b.{c} IS NOT NULL)) END AS k_{c}"
+    for c in DOUBLES)}
+  FROM (SELECT * FROM encounters WHERE {_ANY_GAP}) a, encounters b GROUP BY a.event_id)
+SELECT encounters.event_id, {', '.join(r(f'coalesce({c}, k_{c})', c) for c in DOUBLES)}
+FROM encounters LEFT JOIN near ON encounters.event_id = near.event_id""")
+def _(spark, sf):
+    wide = X.encounters(spark, sf).select("event_id", *DOUBLES)
+    return rounded(kn.impute_knn(wide, DOUBLES))
+
+
 @query("i5_impute_iterative")
 def _(spark, sf):
     wide = X.encounters(spark, sf).select("event_id", *DOUBLES)
