@@ -230,6 +230,8 @@ def neighbours(
         cut.alias("s").join(offsets.alias("o"), same("o")).select("s.*", "o._offset"),
         ["_slice", subject], F.col("_offset"),
     )
+    if not columns:
+        return plain.unionByName(numbered.drop("_slice", "_offset"))
     # Last and first known value per slice, carried to slices that lack one.
     point = {c: F.struct(F.col("_pos").alias("pos"), F.col(c).alias("value")) for c in columns}
     edges = numbered.groupBy("_slice", F.col(subject).alias("_subject")).agg(
