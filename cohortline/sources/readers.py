@@ -186,8 +186,12 @@ def read_run_results(
     """
     schema = T.StructType([*RUN_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType())])
     glob = "{" + ",".join(f"{n}.json" for n in names) + "}" if names else "*.json"
-    reader = _reader(spark, schema, glob).option("multiLine", not lines)
-    raw = _checked(lambda: reader.json(path), path)
-    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")
-    out = raw.withColumn("run_name", F.coalesce("run_name", F.when(F.col("experiment_type").isNull(), stem)))
+    texts = _checked(lambda: _reader(spark, None, glob).text(path, wholetext=not lines), path)
+    parsed = texts.select(
+        F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("_r"),
+        F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("_stem"),
+    )
+    out = parsed.select("_r.*", "_stem").withColumn(
+        "run_name", F.coalesce("run_name", F.when(F.col("experiment_type").isNull(), F.col("_stem")))
+    ).drop("_stem")
     return out if corrupt else out.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
