@@ -32,8 +32,10 @@ def exact_quantiles(
     counted = df.select(*columns).agg(*[F.count(c).alias(c) for c in columns]).first()
     sizes = {c: counted[c] for c in columns}
     if max(sizes.values()) <= small:
+        # As text: a thousand probabilities would be a thousand calls to the JVM.
+        shares = ", ".join(f"{float(p)!r}D" for p in probabilities)
         row = df.agg(*[
-            F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, probabilities))).alias(c) for c in columns
+            F.expr(f"percentile(CAST(`{c}` AS DOUBLE), array({shares}))").alias(c) for c in columns
         ]).first()
         return {c: list(row[c]) if row[c] is not None else [None] * len(probabilities) for c in columns}
     return _by_enclosure(df, columns, list(probabilities), sizes, accuracy)

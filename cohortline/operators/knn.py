@@ -7,28 +7,34 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortline.operators.lookup import map_lookup
 from cohortline.session import durable
 
-_BITS = 4
 _BLOCK = 4_000_000
 
 
-def _curve(columns: Sequence[str], cuts: dict[str, list[float]]) -> Column:
-    """Position on a bit-interleaving curve over per-column quantile bins."""
-    columns = columns[: 60 // _BITS]
-    position = F.lit(0).cast("bigint")
+def _with_curve(
+    df: DataFrame, columns: Sequence[str], low: dict[str, float | None], unit: float, bits: int,
+) -> DataFrame:
+    """Add ``_at``, the position on a bit-interleaving curve over steps of one width in all columns.
+
+    One width for all columns, because distance is in raw units: a column of
+    small spread hardly matters for it and is hardly cut.
+    """
+    steps = {}
     for i, c in enumerate(columns):
-        bin_ = sum(
-            (F.when(F.col(c) > F.lit(cut), 1).otherwise(0) for cut in cuts[c]), F.lit(0)
-        ).cast("bigint")
-        for bit in range(_BITS):
-            one = F.shiftright(bin_, bit).bitwiseAND(F.lit(1).cast("bigint"))
+        step = F.floor((F.col(c) - F.lit(low[c] or 0.0)) / F.lit(unit))
+        steps[f"_step{i}"] = F.coalesce(F.greatest(F.lit(0), F.least(step, F.lit(2**bits - 1))), F.lit(0)).cast("bigint")
+    position = F.lit(0).cast("bigint")
+    for i, name in enumerate(steps):
+        for bit in range(bits):
+            one = F.shiftright(F.col(name), bit).bitwiseAND(F.lit(1).cast("bigint"))
             position = position + F.shiftleft(one, bit * len(columns) + i)
-    return position
+    # The steps are used bit by bit: a stage of their own computes them once.
+    return df.withColumns(steps).withColumn("_at", position).drop(*steps)
 
 
 def impute_knn(
@@ -55,16 +61,20 @@ def impute_knn(
     facts = vectors.agg(
         F.count(F.lit(1)).alias("n"),
         *[(F.sum(F.col(c) * F.col("_m")) / F.sum(F.when(F.col(c).isNotNull(), F.col("_m")))).alias(f"mean:{c}") for c in columns],
-        *[F.percentile_approx(c, [i / 2**_BITS for i in range(1, 2**_BITS)]).alias(f"cuts:{c}") for c in columns],
+        *[F.percentile_approx(c, [0.01, 0.99]).alias(f"ends:{c}") for c in columns],
     ).first()
     means = {c: facts[f"mean:{c}"] for c in columns}
-    count = max(1, min(max_cells, math.ceil(math.sqrt(facts["n"]) / 4)))
+    ends = {c: facts[f"ends:{c}"] or [0.0, 0.0] for c in columns}
+    curved = columns[:60]
+    bits = max(1, min(8, 60 // len(curved)))
+    unit = max(high - low for low, high in ends.values()) / 2**bits or 1.0
+    count = max(1, min(max_cells, math.ceil(math.sqrt(facts["n"]) / 2)))
 
     gaps = sum((F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(columns)), F.lit(0))
     order = ("_gaps", "_at", *columns)
     # Row ids follow the sort order, so ties break alike whatever the cells are.
     cells = durable(
-        vectors.withColumns({"_gaps": gaps, "_at": _curve(columns, {c: facts[f"cuts:{c}"] or [] for c in columns})})
+        _with_curve(vectors, curved, {c: low for c, (low, _) in ends.items()}, unit, bits).withColumn("_gaps", gaps)
         .repartitionByRange(count, *order).sortWithinPartitions(*order)
         .select(*columns, "_m", "_gaps", F.spark_partition_id().alias("_cell"),
                 F.monotonically_increasing_id().alias("_id"))
@@ -176,26 +186,28 @@ def _blocks(visitors: pd.DataFrame, residents: pd.DataFrame, columns: list[str],
     residents = residents.sort_values("_id")
     there = residents[columns].to_numpy(dtype=float, na_value=np.nan)
     ids, weights = residents["_id"].to_numpy(), residents["_m"].to_numpy()
+    known, theirs = (~np.isnan(there)).astype(float), np.nan_to_num(there)
     height = max(1, _BLOCK // max(1, len(there)))
     for start in range(0, len(visitors) if len(there) else 0, height):
         block = visitors.iloc[start:start + height]
         here = block[columns].to_numpy(dtype=float, na_value=np.nan)
-        total, shared = np.zeros((len(here), len(there))), np.zeros((len(here), len(there)))
-        for f in range(len(columns)):
-            square = np.square(here[:, f, None] - there[None, :, f])
-            both = ~np.isnan(square)
-            total += np.where(both, square, 0.0)
-            shared += both
-        distance = np.where(shared > 0, total * len(columns) / np.maximum(shared, 1), np.inf)
+        # Products give distances up to rounding; what may be nearest is then measured exactly.
+        have, mine = ~np.isnan(here), np.nan_to_num(here)
+        shared = have.astype(float) @ known.T
+        rough = np.square(mine) @ known.T + have @ np.square(theirs).T - 2 * mine @ theirs.T
+        slack = 1e-12 * len(columns) * (np.square(mine).sum(1).max(initial=0.0) + np.square(theirs).sum(1).max(initial=0.0))
+        rough = np.where(shared > 0, rough * len(columns) / np.maximum(shared, 1), np.inf)
         for f in range(len(columns)):
             rows, donors = np.flatnonzero(np.isnan(here[:, f])), np.flatnonzero(~np.isnan(there[:, f]))
             if not len(rows) or not len(donors):
                 continue
-            part = distance[np.ix_(rows, donors)]
+            part = rough[np.ix_(rows, donors)]
             limit = np.partition(part, min(k, len(donors)) - 1, axis=1)[:, min(k, len(donors)) - 1]
-            r, d = np.nonzero((part <= limit[:, None]) & np.isfinite(part))
+            r, d = np.nonzero((part <= limit[:, None] + slack) & np.isfinite(part))
+            square = np.square(here[rows[r]] - there[donors[d]])
+            exact = np.nansum(square, axis=1) * len(columns) / (~np.isnan(square)).sum(1)
             pairs = pd.DataFrame({
-                "_id": block["_id"].to_numpy()[rows[r]], "_feature": np.int32(f), "_d": part[r, d],
+                "_id": block["_id"].to_numpy()[rows[r]], "_feature": np.int32(f), "_d": exact,
                 "_from": ids[donors[d]], "_value": there[donors[d], f], "_w": weights[donors[d]],
             }).sort_values(["_id", "_d", "_from"])
             yield pairs[pairs.groupby("_id").cumcount() < k]

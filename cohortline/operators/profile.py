@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,13 +125,41 @@ def group_mean(df: DataFrame, column: str, label: str = D.LABEL) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson r of each pair (lower triangle); each pair uses its complete rows."""
+    """Pearson r of each pair (lower triangle); each pair uses its complete rows.
+
+    One ``corr`` aggregate per pair outgrows generated code at a dozen columns,
+    so Arrow batches are reduced to sums of centered products by matrix
+    products, a few rows per batch, and Spark adds those up.
+    """
     columns = list(columns or numeric_columns(df))
-    pairs = list(combinations(columns, 2))
-    one = df.agg(*[F.corr(a, b).alias(f"{a}:{b}") for a, b in pairs])
-    return one.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{a}:{b}`").alias("r")) for a, b in pairs
-    ])))
+    numbers = df.select([F.col(c).cast("double").alias(c) for c in columns])
+    center = numbers.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    middle = np.array([center[c] if center[c] is not None else 0.0 for c in columns])
+    upper = np.triu_indices(len(columns), 1)
+
+    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((6, len(columns), len(columns)))
+        for batch in batches:
+            values = batch.to_numpy(dtype=float, na_value=np.nan) - middle
+            known = ~np.isnan(values)
+            x, m = np.where(known, values, 0.0), known.astype(float)
+            squares = x * x
+            sums += [m.T @ m, x.T @ m, m.T @ x, squares.T @ m, m.T @ squares, x.T @ x]
+        yield pd.DataFrame({
+            "i": upper[0].astype("int32"), "j": upper[1].astype("int32"),
+            **{name: part[upper] for name, part in zip(("n", "sa", "sb", "saa", "sbb", "sab"), sums)},
+        })
+
+    parts = numbers.mapInPandas(reduce, "i int, j int, n double, sa double, sb double, saa double, sbb double, sab double")
+    total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
+    n = F.col("n")
+    covariance = n * F.col("sab") - F.col("sa") * F.col("sb")
+    spread = F.sqrt(n * F.col("saa") - F.col("sa") ** 2) * F.sqrt(n * F.col("sbb") - F.col("sb") ** 2)
+    names = F.array(*map(F.lit, columns))
+    return total.select(
+        F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"),
+        F.try_divide(covariance, spread).alias("r"),
+    )
 
 
 def rate_with_without(df: DataFrame, indicators: Sequence[str], label: str = D.LABEL) -> DataFrame:

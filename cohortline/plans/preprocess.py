@@ -111,7 +111,7 @@ class Preprocessor:
 
         def scale(df):
             if self.scaling == "quantile":
-                return QuantileNormal.fit(df, numeric(df), small=self.small)
+                return QuantileNormal.fit(df, numeric(df))
             return Scaler.fit(df, numeric(df), self.scaling, self.small) if self.scaling else None
 
         def derive(df):

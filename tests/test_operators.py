@@ -126,7 +126,7 @@ def test_quantile_normal_is_monotone_and_bounded(spark):
     assert all(a <= b for a, b in zip(out[:2000], out[1:2000]))
     assert out[500] == pytest.approx(NormalDist().inv_cdf(500 / 1999), abs=5e-3)
     probe = spark.createDataFrame([(p,) for p in (1e-6, 0.01, 0.3, 0.5, 0.9, 1 - 1e-6)], "p double")
-    for r in probe.select("p", sc.inverse_normal(F.col("p")).alias("z")).collect():
+    for r in sc.inverse_normal(probe, {"z": F.col("p")}).collect():
         assert r["z"] == pytest.approx(NormalDist().inv_cdf(r["p"]), abs=1e-6)
 
 
