@@ -38,6 +38,21 @@ def unpivot_one(row: DataFrame, names: Sequence[str], fields: dict[str, str], ke
     return row.select(F.inline(F.array(*entries)))
 
 
+def few(groups: DataFrame, what: str, most: int = 1_000) -> DataFrame:
+    """A grouped table that must be small by meaning, such as one row per label."""
+    if groups.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} distinct values of {what}")
+    return groups
+
+
+def by_key(column: str, values: dict, kind: str) -> Column:
+    """A few key -> value pairs as one expression; a null key is a key too."""
+    out = F.lit(None).cast(kind)
+    for key, value in values.items():
+        out = F.when(F.col(column).eqNullSafe(F.lit(key)), F.lit(value)).otherwise(out)
+    return out
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """Null count and ratio per column, plus the total; one pass over the table."""
     names = df.columns
@@ -113,8 +128,8 @@ def value_counts(df: DataFrame, column: str, normalize: bool = False) -> DataFra
     )
     if not normalize:
         return counts
-    total = counts.agg(F.sum("n").alias("_total"))
-    return counts.join(F.broadcast(total)).select("value", "n", (F.col("n") / F.col("_total")).alias("share"))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.withColumn("share", F.col("n") / total)
 
 
 def group_mean(df: DataFrame, column: str, label: str = D.LABEL) -> DataFrame:
@@ -180,17 +195,16 @@ def histogram_by_label(df: DataFrame, column: str, label: str = D.LABEL, bins: i
         F.col("v").isNotNull() & F.col("label").isNotNull()
     )
     span = rows.groupBy("label").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    flat = F.col("lo") == F.col("hi")
-    span = span.select(
-        "label", F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-    )
-    width = (F.col("hi") - F.col("lo")) / bins
-    position = F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
-    # Labels are few by contract (two classes), the join side is one row each.
+    ends = {}
+    for row in few(span, "label").collect():
+        flat = 0.5 if row["lo"] == row["hi"] else 0.0
+        ends[row["label"]] = (row["lo"] - flat, row["hi"] + flat)
+    lo = by_key("label", {k: low for k, (low, _) in ends.items()}, "double")
+    width = by_key("label", {k: (high - low) / bins for k, (low, high) in ends.items()}, "double")
+    position = F.least(F.floor((F.col("v") - F.col("_lo")) / F.col("_width")), F.lit(bins - 1)).cast("int")
     return (
-        rows.join(F.broadcast(span), "label")
-        .groupBy("label", position.alias("bin"), (F.col("lo") + width * position).alias("bin_start"))
+        rows.withColumns({"_lo": lo, "_width": width})
+        .groupBy("label", position.alias("bin"), (F.col("_lo") + F.col("_width") * position).alias("bin_start"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -213,8 +227,8 @@ def target_distribution(df: DataFrame, label: str = D.LABEL) -> DataFrame:
     counts = df.filter(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    share = counts.agg((100.0 * F.sum(F.col("label") * F.col("n")) / F.sum("n")).alias("percent_positive"))
-    return counts.join(F.broadcast(share))
+    share = counts.agg(100.0 * F.sum(F.col("label") * F.col("n")) / F.sum("n")).scalar()
+    return counts.withColumn("percent_positive", share)
 
 
 def null_to_zero(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

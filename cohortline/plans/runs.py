@@ -105,11 +105,11 @@ def sweep_summary(results: DataFrame) -> DataFrame:
 
 def ablation_impact(components: DataFrame, full: str = "full_model") -> DataFrame:
     """F1 change of each component against the full model, worst first."""
-    base = components.agg(F.coalesce(F.max(F.when(F.col("component") == full, F.col("f1_score"))), F.lit(0.0)).alias("_full"))
-    # The other side is one row.
+    base = components.filter(F.col("component") == full).agg(F.max("f1_score")).scalar()
     delta = F.col("f1_score") - F.col("_full")
     return (
-        components.filter(F.col("component") != full).join(F.broadcast(base))
+        components.filter(F.col("component") != full)
+        .withColumn("_full", F.coalesce(base, F.lit(0.0)))
         .select("component", "f1_score", F.round(delta, 4).alias("delta_f1"),
                 buckets(delta, D.IMPACT_BOUNDS, D.IMPACT_TOP).alias("impact"))
         .orderBy("delta_f1", "component")

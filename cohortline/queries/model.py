@@ -81,7 +81,7 @@ def _(spark, sf):
     lists = orders.agg(
         F.sort_array(F.collect_set("o_orderpriority")).alias(_GRID[0]),
         F.sort_array(F.collect_set("o_orderstatus")).alias(_GRID[1]),
-    ).join(F.broadcast(customer.agg(F.sort_array(F.collect_set("c_mktsegment")).alias(_GRID[2]))))
+    ).withColumn(_GRID[2], customer.agg(F.sort_array(F.collect_set("c_mktsegment"))).scalar())
     grid = tr.param_grid_table(lists, _GRID)
     return grid.select(
         "run_index", F.col("params")[_GRID[0]].alias("priority"), F.col("params")[_GRID[1]].alias("status"),

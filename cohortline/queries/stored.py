@@ -61,7 +61,7 @@ def _(spark, sf):
 @query("s4_scan_parquet", """
 SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem WHERE l_quantity > 25""")
 def _(spark, sf):
-    lines = rd.scan_parquet(spark, f"{sf}/lineitem.parquet")
+    lines = rd.scan_parquet(spark, f"{sf}/lineitem.parquet", nan_as_null=False)
     return lines.select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate").filter("l_quantity > 25")
 
 
@@ -115,8 +115,7 @@ def _(spark, sf):
     wr.write_predictions(scored, path)
     rows = spark.read.schema(sc.score_rows(scored).schema).json(f"{path}/predictions")
     summary = spark.read.schema("total_samples bigint").json(f"{path}/summary")
-    # The summary is one row.
-    return rounded(rows.join(F.broadcast(summary)))
+    return rounded(rows.withColumn("total_samples", summary.scalar()))
 
 
 _METRICS = ("accuracy", "precision", "recall", "f1_score", "auc_roc", "specificity", "balanced_accuracy")

@@ -130,8 +130,12 @@ def scan_json_nested(
 
 def scan_parquet(
     spark: SparkSession, path: str, schema: T.StructType | None = None, glob: str | None = None,
+    nan_as_null: bool = True,
 ) -> DataFrame:
-    return nan_to_null(_checked(lambda: _reader(spark, schema, glob).parquet(path), path))
+    """Parquet. Where the files hold no NaN, ``nan_as_null=False`` lets filters
+    on floating columns reach the scan as well."""
+    rows = _checked(lambda: _reader(spark, schema, glob).parquet(path), path)
+    return nan_to_null(rows) if nan_as_null else rows
 
 
 def _scan_json_any(spark: SparkSession, path: str, schema, glob: str | None) -> DataFrame:

@@ -41,6 +41,11 @@ def test_subject_filter_reaches_the_scan(spark, folder):
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in plan
 
 
+def test_filter_on_a_floating_column_reaches_the_scan(spark, folder):
+    lines = scan_parquet(spark, f"{folder}/lineitem.parquet", nan_as_null=False).filter("l_quantity > 25")
+    assert "GreaterThan(l_quantity,25.0)" in plan_of(lines)
+
+
 def test_scan_reads_only_needed_columns(spark, folder):
     plan = plan_of(pf.target_distribution(X.encounters(spark, folder)))
     assert "l_comment" not in plan and "l_extendedprice" not in plan and "o_totalprice" not in plan
