@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from cohortline import defaults as D
@@ -15,6 +14,7 @@ from cohortline.operators.impute import DropSparse, Imputer, MissingIndicators,
 from cohortline.operators.outliers import Outliers
 from cohortline.operators.scale import QuantileNormal, Scaler
 from cohortline.plans.features import FeatureSet
+from cohortline.session import kept
 
 _ENCODERS = {
     "onehot": lambda df, columns, label, limit: en.OneHot.fit(df, columns, limit),
@@ -56,16 +56,12 @@ class Preprocessor:
         The input is read once and kept while the steps are fitted.
         """
         self.steps, self.fitted = [], False
-        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            now = kept
+        with kept(df) as now:
             for make in self._plan():
                 step = make(now)
                 if step is not None:
                     self.steps.append(step)
                     now = step.transform(now)
-        finally:
-            kept.unpersist()
         self.fitted = True
         return self
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, memory: str = "16g", app: str = "cohortline") -> SparkSession:
@@ -47,3 +50,16 @@ def durable(df):
     """Cut lineage through the shared folder; survives the loss of executors."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep rows for several passes; a frame the caller has cached stays cached."""
+    if df.storageLevel.useMemory or df.storageLevel.useDisk:
+        yield df
+        return
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortline import defaults as D
 from cohortline.plans.scoring import score_rows, score_summary
+from cohortline.session import kept
 
 
 def write_table(df: DataFrame, path: str, format: str = "csv", mode: str = "overwrite") -> None:
@@ -78,9 +79,6 @@ def write_metadata(events: DataFrame, path: str, approximate: bool = False) -> N
 
 def write_predictions(scored: DataFrame, path: str, threshold: float = 0.5, row_id: str = D.EVENT_ID) -> None:
     """Scored rows and their one-row summary as two JSON tables from one computed result."""
-    kept = scored.persist()
-    try:
-        score_rows(kept, row_id=row_id).write.mode("overwrite").json(f"{path}/predictions")
-        score_summary(kept, threshold).coalesce(1).write.mode("overwrite").json(f"{path}/summary")
-    finally:
-        kept.unpersist()
+    with kept(scored) as rows:
+        score_rows(rows, row_id=row_id).write.mode("overwrite").json(f"{path}/predictions")
+        score_summary(rows, threshold).coalesce(1).write.mode("overwrite").json(f"{path}/summary")
