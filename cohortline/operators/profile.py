@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,11 +38,12 @@ def unpivot_one(row: DataFrame, names: Sequence[str], fields: dict[str, str], ke
     return row.select(F.inline(F.array(*entries)))
 
 
-def few(groups: DataFrame, what: str, most: int = 1_000) -> DataFrame:
-    """A grouped table that must be small by meaning, such as one row per label."""
-    if groups.limit(most + 1).count() > most:
+def few(groups: DataFrame, what: str, most: int = 1_000) -> list[Row]:
+    """Rows of a grouped table that must be small by meaning, such as one per label."""
+    rows = groups.limit(most + 1).collect()
+    if len(rows) > most:
         raise ValueError(f"more than {most} distinct values of {what}")
-    return groups
+    return rows
 
 
 def by_key(column: str, values: dict, kind: str) -> Column:
@@ -196,7 +197,7 @@ def histogram_by_label(df: DataFrame, column: str, label: str = D.LABEL, bins: i
     )
     span = rows.groupBy("label").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     ends = {}
-    for row in few(span, "label").collect():
+    for row in few(span, "label"):
         flat = 0.5 if row["lo"] == row["hi"] else 0.0
         ends[row["label"]] = (row["lo"] - flat, row["hi"] + flat)
     lo = by_key("label", {k: low for k, (low, _) in ends.items()}, "double")
