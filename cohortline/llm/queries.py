@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import bpe, packing
+from cohortline.llm import bpe, packing, quality
 from cohortline.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,80 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("data", 256).alias("decoded_sha256"),
     )
+
+
+_OP7_SQL = r"""
+WITH w AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+win AS (
+  SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+rep AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+cov AS (
+  SELECT doc_id, CAST(sum(least(3, coalesce(nxt - i, 3))) AS BIGINT) AS n_repeat_words
+  FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM rep) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM w LEFT JOIN cov USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+v AS (
+  SELECT lang, source, unnest(['symbols', 'repeats', 'same_lines', 'word_size']) AS measure,
+         unnest([1000 * n_symbols // n_words, 1000 * n_repeat_words // n_words,
+                 1000 * n_dup_lines // n_lines, 1000 * word_chars // n_words]) AS value
+  FROM b WHERE NOT base_failed),
+s AS (
+  SELECT lang, source, measure, (value >> sh) << sh AS bin, count(*) AS n
+  FROM (SELECT *, CAST(greatest(CASE WHEN value > 0 THEN length(bin(value)) ELSE 1 END - 7, 0) AS BIGINT) AS sh FROM v)
+  GROUP BY ALL),
+own AS (@lang, source@), byl AS (@lang@), byall AS (@1@),
+f AS (
+  SELECT own.lang, own.source, own.measure,
+         CASE WHEN own.total >= 200 THEN own.low WHEN byl.total >= 200 THEN byl.low ELSE byall.low END AS low,
+         CASE WHEN own.total >= 200 THEN own.high WHEN byl.total >= 200 THEN byl.high ELSE byall.high END AS high
+  FROM own JOIN byl ON own.lang IS NOT DISTINCT FROM byl.lang AND own.measure = byl.measure
+           JOIN byall ON own.measure = byall.measure),
+l AS (
+  SELECT lang, source,
+         max(CASE WHEN measure = 'symbols' THEN greatest(100, 4 * high - 3 * low) END) AS a1,
+         max(CASE WHEN measure = 'repeats' THEN greatest(200, 4 * high - 3 * low) END) AS a2,
+         max(CASE WHEN measure = 'same_lines' THEN greatest(300, 4 * high - 3 * low) END) AS a3,
+         max(CASE WHEN measure = 'word_size' THEN greatest(10000, 4 * high - 3 * low) END) AS a4,
+         max(CASE WHEN measure = 'word_size' THEN least(3000, 4 * low - 3 * high) END) AS b4
+  FROM f GROUP BY lang, source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       coalesce(CASE WHEN base_failed THEN FALSE ELSE
+         1000 * n_symbols // n_words <= a1 AND 1000 * n_repeat_words // n_words <= a2
+         AND 1000 * n_dup_lines // n_lines <= a3 AND 1000 * word_chars // n_words BETWEEN b4 AND a4 END, FALSE) AS kept
+FROM b LEFT JOIN l ON b.lang IS NOT DISTINCT FROM l.lang AND b.source IS NOT DISTINCT FROM l.source
+"""
+
+
+def _quartiles(keys: str) -> str:
+    named = keys if keys != "1" else "1 AS one"
+    return f"""
+  SELECT {named}, measure, max(total) AS total,
+         min(CASE WHEN 100 * upto >= 25 * total THEN bin END) AS low,
+         min(CASE WHEN 100 * upto >= 75 * total THEN bin END) AS high
+  FROM (SELECT *, sum(n) OVER (PARTITION BY {keys}, measure ORDER BY bin) AS upto,
+               sum(n) OVER (PARTITION BY {keys}, measure) AS total
+        FROM (SELECT {named}, measure, bin, sum(n) AS n FROM s GROUP BY {keys + ', ' if keys != '1' else ''}measure, bin))
+  GROUP BY {keys + ', ' if keys != '1' else ''}measure"""
+
+
+for _keys in ("lang, source", "lang", "1"):
+    _OP7_SQL = _OP7_SQL.replace(f"(@{_keys}@)", f"({_quartiles(_keys)})")
+
+
+@query("op7_quality_rules", _OP7_SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    measured = stored(quality.measure(table(spark, folder, "documents")).drop("text"), "measured")
+    judged = quality.judge(measured, quality.fences(quality.sketches(measured, "lang", "source")))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept")
