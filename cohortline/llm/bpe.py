@@ -56,7 +56,7 @@ class Transducer:
 
     START = 0
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 160_000):
         self.ranks, self.most_states = ranks, most_states
         self.token = {rank: data for data, rank in ranks.items()}
         self.children: list[dict[int, int]] = [{}]
@@ -147,7 +147,7 @@ class Transducer:
                     i += 1
                 else:
                     j += 1
-            if len(self.pairs) > 8 * self.most_states:
+            if len(self.pairs) > 3 * self.most_states:
                 self.pairs.clear()
             self.pairs[left, right] = found
         return found
@@ -175,7 +175,7 @@ class Transducer:
         found = self.hopes.get((left, node))
         if found is None:
             found = any(self.reachable(token) and (left < 0 or self.fits(left, token)) for token in below)
-            if len(self.hopes) > 8 * self.most_states:
+            if len(self.hopes) > 2 * self.most_states:
                 self.hopes.clear()
             self.hopes[left, node] = found
         return found

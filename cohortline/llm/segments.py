@@ -26,7 +26,7 @@ class SegmentMemory(dict):
     """Remembers the packed ids of short segments, in two generations: when the
     young one is full it becomes the old one, and the former old one goes."""
 
-    def __init__(self, encode: Callable[[str], bytes], most: int = 400_000):
+    def __init__(self, encode: Callable[[str], bytes], most: int = 200_000):
         super().__init__()
         self.encode, self.most, self.old = encode, most, {}
 
