@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import bpe, packing, quality
+from cohortline.llm import bpe, jaccard, packing, quality
 from cohortline.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     measured = stored(quality.measure(table(spark, folder, "documents")).drop("text"), "measured")
     judged = quality.judge(measured, quality.fences(quality.sketches(measured, "lang", "source")))
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
+@query("op4_ngram_jaccard_join")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.link(table(spark, folder, "documents"))
