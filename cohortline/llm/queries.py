@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import bpe, jaccard, packing, quality
-from cohortline.llm.common import stored, table
+from cohortline.llm import bpe, jaccard, langid, packing, quality, warc
+from cohortline.llm.common import crc32_text, stored, table
+from cohortline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -124,3 +125,24 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_ngram_jaccard_join")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.link(table(spark, folder, "documents"))
+
+
+@query("op6_warc_revisits", """
+SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM (SELECT page_id, h, CASE WHEN octet_length(encode(h)) >= 100 THEN min(page_id) OVER (PARTITION BY h) END AS first
+      FROM (SELECT page_id, coalesce(html, '') AS h FROM pages))""")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    archives = scratch_path(spark, "warc")
+    files = stored(warc.write(table(spark, folder, "pages"), archives), "warc-index")
+    records = stored(warc.read(files, archives), "warc-headers")
+    return warc.resolve(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    rest = F.pmod(crc32_text("doc_id"), F.lit(5))
+    found = langid.identify(docs, rest != 0)
+    return found.select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
