@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import bpe, jaccard, langid, packing, quality, warc
+from cohortline.llm import bpe, jaccard, langid, lm, packing, quality, warc
 from cohortline.llm.common import crc32_text, stored, table
 from cohortline.session import scratch_path
 
@@ -146,3 +146,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     rest = F.pmod(crc32_text("doc_id"), F.lit(5))
     found = langid.identify(docs, rest != 0)
     return found.select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_lm_scoring")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = lm.train(docs.where(lm.learned()))
+    rows = lm.score(docs.withColumn("held_out", ~lm.learned()), model)
+    return rows.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
