@@ -56,7 +56,7 @@ class Transducer:
 
     START = 0
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 160_000):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 140_000):
         self.ranks, self.most_states = ranks, most_states
         self.token = {rank: data for data, rank in ranks.items()}
         self.children: list[dict[int, int]] = [{}]
@@ -286,7 +286,7 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         self.transducer = Transducer(load_ranks(path))
         self.cut = regex.compile(pattern).findall
-        self.memory = SegmentMemory(self._pack)
+        self.memory = SegmentMemory(self._pack, 150_000)
 
     def _pack(self, segment: str) -> bytes:
         ids: list[int] = []
@@ -297,6 +297,9 @@ class Codec:
     def pack(self, text: str | None) -> bytes:
         return self.memory.pack(text) if text else b""
 
+    def unpack(self, ids: bytes | None) -> bytes:
+        return b"".join(decode_stream(self.transducer.token, np.frombuffer(ids or b"", "<u4")))
+
 
 @lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
@@ -304,33 +307,31 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, ids): ids of each whole text as little-endian unsigned 32-bit integers."""
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id", decoded: bool = False) -> DataFrame:
+    """(key, ids): ids of each whole text as little-endian unsigned 32-bit integers.
+    With ``decoded`` also data, what ``decode`` makes of the ids: one Python pass
+    and one worker instead of two."""
     kind = docs.schema[key].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = codec(path, pattern)
-        packed = pa.array([own.pack(x) for x in batch.column(1).to_pylist()], pa.binary())
-        return pa.RecordBatch.from_arrays([batch.column(0), packed], names=["key", "ids"])
+        packed = [own.pack(x) for x in batch.column(1).to_pylist()]
+        columns = [batch.column(0), pa.array(packed, pa.binary())]
+        if decoded:
+            columns.append(pa.array([own.unpack(x) for x in packed], pa.binary()))
+        return pa.RecordBatch.from_arrays(columns, names=[key, "ids", "data"][: len(columns)])
 
-    return in_batches(docs.select(docs[key], docs[text]), f"`{key}` {kind}, ids binary", _named(work, key))
+    schema = f"`{key}` {kind}, ids binary" + (", data binary" if decoded else "")
+    return in_batches(docs.select(docs[key], docs[text]), schema, work, 128)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
-    """(key, ids, data): the bytes that the ids stand for, beside the ids."""
+    """(key, ids, data): the bytes that the ids stand for, beside the ids. Null ids are none."""
     kind = encoded.schema[key].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        token = codec(path, pattern).transducer.token
-        data = [b"".join(decode_stream(token, np.frombuffer(x or b"", "<u4"))) for x in batch.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(data, pa.binary())], names=["key", "ids", "data"])
-
-    return in_batches(encoded.select(encoded[key], encoded["ids"]), f"`{key}` {kind}, ids binary, data binary", _named(work, key))
-
-
-def _named(work, key: str):
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = work(batch)
-        return out.rename_columns([key, *out.schema.names[1:]])
+        own = codec(path, pattern)
+        data = pa.array([own.unpack(x) for x in batch.column(1).to_pylist()], pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), data], names=[key, "ids", "data"])
 
-    return run
+    return in_batches(encoded.select(encoded[key], encoded["ids"]), f"`{key}` {kind}, ids binary, data binary", work, 128)

@@ -36,7 +36,7 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_byte_bpe")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    decoded = bpe.decode(bpe.encode(table(spark, folder, "documents"), path, pattern), path, pattern)
+    decoded = bpe.encode(table(spark, folder, "documents"), path, pattern, decoded=True)
     return decoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
