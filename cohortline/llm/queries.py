@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import bpe, jaccard, langid, lm, packing, quality, warc
+from cohortline.llm import bpe, hnsw, jaccard, langid, lm, packing, quality, warc
 from cohortline.llm.common import crc32_text, stored, table
 from cohortline.session import scratch_path
 
@@ -154,3 +154,10 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     model = lm.train(docs.where(lm.learned()))
     rows = lm.score(docs.withColumn("held_out", ~lm.learned()), model)
     return rows.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@query("op9_nearest_neighbours")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = hnsw.vectors_of(table(spark, folder, "embeddings"), "vec_id", "embedding")
+    found = hnsw.search(vectors, F.col("id") % 20 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
