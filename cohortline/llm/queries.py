@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import bpe, hnsw, jaccard, langid, lm, packing, quality, warc
+from cohortline.llm import bpe, hnsw, jaccard, langid, linededup, lm, packing, quality, warc
 from cohortline.llm.common import crc32_text, stored, table
 from cohortline.session import scratch_path
 
@@ -161,3 +161,9 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     vectors = hnsw.vectors_of(table(spark, folder, "embeddings"), "vec_id", "embedding")
     found = hnsw.search(vectors, F.col("id") % 20 == 0)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query("op2_line_dedup")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    kept = linededup.dedup(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
