@@ -50,18 +50,42 @@ def _sets(batch: pa.RecordBatch, column: int, width: int):
     return shingle_sets(batch.column(column).to_pylist(), width)
 
 
-def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = WIDTH) -> DataFrame:
-    """(key, n, class): set size and class of each document; the class is null for empty sets."""
+def survey(docs: DataFrame, text: str, key: str, width: int) -> DataFrame:
+    """One pass over the texts. Rows of documents: (key, n, class, bits), the class
+    null for empty sets. Rows of the count table: (slice, counts), for each task."""
     kind = docs.schema[key].dataType.simpleString()
+    names = [key, "n", "class", "bits", "slice", "counts"]
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n, ids = [], []
-        for values in _sets(batch, 1, width):
-            n.append(len(values))
-            ids.append(_class_of(values) if len(values) else None)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.int64())], names=[key, "n", "class"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        table = np.zeros(1 << COUNT_BITS, np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                n, ids, bits = [], [], []
+                for values in _sets(part, 1, width):
+                    n.append(len(values))
+                    own = _class_of(values) if len(values) else None
+                    ids.append(own)
+                    bits.append(bitmap(values) if len(values) else None)
+                    if own is not None and own not in seen:
+                        seen.add(own)
+                        np.add.at(table, (values >> np.uint64(64 - COUNT_BITS)).astype(np.int64), 1)
+                none = pa.nulls(len(n), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.int64()), pa.array(bits, pa.binary()), none, pa.nulls(len(n), pa.binary())], names=names)
+        if seen:
+            parts = _sliced(table)
+            none = pa.nulls(len(parts), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(parts), batch.schema.field(0).type), none, none, pa.nulls(len(parts), pa.binary()), pa.array(range(_SLICES), pa.int32()), pa.array(parts, pa.binary())], names=names)
 
-    return in_batches(docs.select(docs[key], docs[text]), f"`{key}` {kind}, n bigint, class bigint", work)
+    return docs.select(docs[key], docs[text]).mapInArrow(run, f"`{key}` {kind}, n bigint, class bigint, bits binary, slice int, counts binary")
+
+
+def _sliced(table: np.ndarray) -> list[bytes]:
+    """A count table in slices, so that no row grows with the input."""
+    return [x.astype("<u4").tobytes() for x in np.split(np.minimum(table, 0xFFFFFFFF), _SLICES)]
 
 
 def _fresh_sets(batches: Iterator[pa.RecordBatch], width: int):
@@ -77,44 +101,55 @@ def _fresh_sets(batches: Iterator[pa.RecordBatch], width: int):
                         yield own, values
 
 
-def _hashed_counts(df: DataFrame, run, bits: int) -> np.ndarray:
-    """Sum of the tasks' count tables of 2**bits places; ``run`` yields one table per task.
-    The tables travel in slices, so no task and no row grows with the input."""
-    size = (1 << bits) // _SLICES
-
-    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = run(batches)
-        if table is not None:
-            parts = [table[i * size:(i + 1) * size].astype("<u4").tobytes() for i in range(_SLICES)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array(parts, pa.binary())], names=["slice", "counts"])
+def _total(slices: DataFrame) -> np.ndarray:
+    """Sum of the tasks' count tables, from their slices (slice, counts)."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums[part] = sums.get(part, 0) + np.frombuffer(counts, "<u4").astype("<u8")
+                sums[part] = sums.get(part, 0) + np.frombuffer(counts, "<u4").astype(np.int64)
         if sums:
             packed = [np.minimum(v, 0xFFFFFFFF).astype("<u4").tobytes() for v in sums.values()]
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(packed, pa.binary())], names=["slice", "counts"])
 
-    schema = "slice int, counts binary"
-    rows = df.mapInArrow(slices, schema).repartition(_SLICES, "slice").mapInArrow(add, schema).collect()
-    total = np.zeros(1 << bits, np.uint64)
-    for row in rows:
-        total[row["slice"] * size:(row["slice"] + 1) * size] += np.frombuffer(row["counts"], "<u4")
-    return total
+    rows = slices.select("slice", "counts").repartition(_SLICES, "slice").mapInArrow(add, "slice int, counts binary").collect()
+    found = {r["slice"]: np.frombuffer(r["counts"], "<u4") for r in rows}
+    return np.concatenate([found[k] for k in range(_SLICES)]) if found else np.zeros(0, "<u4")
 
 
-def rarity(docs: DataFrame, text: str, width: int) -> np.ndarray:
-    """A level for each place of the count table: 0 for usual counts, then by powers of two."""
+def filter_of(ids: DataFrame) -> np.ndarray:
+    """Packed bits of fixed number: the leading bits of the ids in the one column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << FILTER_BITS, np.uint8)
+        for batch in batches:
+            table[(batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = 1
+        if table.any():
+            parts = [x.tobytes() for x in np.split(np.packbits(table), _SLICES)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array(parts, pa.binary())], names=["slice", "bits"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, bits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found[part] = found.get(part, np.uint8(0)) | np.frombuffer(bits, np.uint8)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([v.tobytes() for v in found.values()], pa.binary())], names=["slice", "bits"])
+
+    schema = "slice int, bits binary"
+    rows = ids.mapInArrow(run, schema).repartition(_SLICES, "slice").mapInArrow(join, schema).collect()
+    out = np.zeros((_SLICES, (1 << FILTER_BITS) // 8 // _SLICES), np.uint8)
+    for r in rows:
+        out[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
 
-    def run(batches):
-        table = np.zeros(1 << COUNT_BITS, np.int64)
-        for _, values in _fresh_sets(batches, width):
-            np.add.at(table, (values >> np.uint64(64 - COUNT_BITS)).astype(np.int64), 1)
-        return np.minimum(table, 0xFFFFFFFF)
 
-    counts = _hashed_counts(docs.select(docs[text]), run, COUNT_BITS)
+def rarity(slices: DataFrame) -> np.ndarray:
+    """A level for each place of the count table: 0 for usual counts, then by powers of two."""
+    counts = _total(slices)
+    if not len(counts):
+        return np.zeros(1 << COUNT_BITS, np.uint8)
     usual = max(float(np.median(counts)), 1.0)
     return np.clip(np.floor(np.log2(np.maximum(counts / usual, 1.0))), 0, 255).astype(np.uint8)
 
@@ -186,18 +221,11 @@ def _shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["s", "class", "n", "hub", "hub_n"])
 
 
-def _wanted_sets(docs: DataFrame, wanted: DataFrame, text: str, width: int) -> DataFrame:
-    """(class, items): sets of the wanted classes and, by chance, some others; a
-    filter of fixed size keeps most others from being shuffled."""
-
-    def run(batches):
-        table = np.zeros(1 << FILTER_BITS, np.uint8)
-        for batch in batches:
-            table[batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)] = 1
-        return table.astype(np.int64)
+def wanted_sets(docs: DataFrame, wanted: DataFrame, text: str, width: int) -> DataFrame:
+    """(class, items): sets of the wanted classes (the one column of ``wanted``) and, by
+    chance, some others; a filter of fixed size keeps most others from being shuffled."""
 
-    packed = np.packbits(_hashed_counts(wanted.select("class"), run, FILTER_BITS) > 0)
-    shared = docs.sparkSession.sparkContext.broadcast(packed)
+    shared = docs.sparkSession.sparkContext.broadcast(filter_of(wanted))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, bytes]] = []
@@ -278,13 +306,8 @@ def _tile_pairs(low: int, cls, n, comp, band, maps, percent: int) -> tuple[np.nd
     return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def tile_candidates(runs: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of shingles' classes in different components that pass the bitmap bound."""
-
-    def bitmaps(batch: pa.RecordBatch) -> pa.RecordBatch:
-        maps = [bitmap(np.frombuffer(x.as_buffer(), "<u8")) for x in batch.column(1)]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(maps, pa.binary())], names=["class", "bits"])
-
+def tile_candidates(runs: DataFrame, label: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of shingles' classes in different components that pass the bitmap bound. maps: (class, bits)."""
     rows = runs.select("s", "class", "n").join(label, F.col("class") == F.col("node"), "left")
     rows = rows.select("s", "class", "n", F.coalesce("component", "class").alias("comp"))
     mixed = rows.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo != hi")
@@ -295,8 +318,7 @@ def tile_candidates(runs: DataFrame, label: DataFrame, sets: DataFrame, percent:
     rows = rows.withColumn("low", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     rows = rows.select("s", "low", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "class", "n", "comp", "band")
     rows = stored(rows, "tiles")
-    maps = in_batches(sets, "class bigint, bits binary", bitmaps)
-    rows = rows.join(maps, "class").repartition(shuffle_partitions(runs.sparkSession), "s", "low", "i", "j").sortWithinPartitions("s", "low", "i", "j")
+    rows = rows.join(maps.join(rows.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"]), "class").repartition(shuffle_partitions(runs.sparkSession), "s", "low", "i", "j").sortWithinPartitions("s", "low", "i", "j")
     columns = ["s", "low", "i", "j", "class", "n", "comp", "band", "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,22 +353,26 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
     """(key, n_shingles, component_id): the least key reachable by links, for every row."""
     spark = docs.sparkSession
     docs = docs.select(docs[key], docs[text])
-    own = stored(classes(docs, text, key, width), "classes")
-    level = rarity(docs, text, width)
+    seen = stored(survey(docs, text, key, width), "sets")
+    own = seen.where("slice IS NULL").select(key, "n", "class")
+    level = rarity(seen.where("slice IS NOT NULL"))
     listed = prefixes(docs, level, text, width, percent)
     listed = listed.repartition(shuffle_partitions(spark), "s").sortWithinPartitions("s", "class")
     runs = stored(listed.mapInArrow(_shared_only, "s bigint, class bigint, n int, hub bigint, hub_n int"), "runs")
 
+    # First pass: only pairs that share half of the shorter list at least; all others are left to the tiles.
     near = (F.col("class") != F.col("hub")) & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
-    met = runs.where(near).groupBy("class", "hub").agg(F.count("*").alias("times"))
+    met = runs.where(near).groupBy("class", "hub").agg(F.count("*").alias("times"), F.min(F.least("n", "hub_n")).alias("n"))
+    met = met.where(200 * F.col("times") >= (100 - percent) * F.col("n"))
     first = met.groupBy("class").agg(F.max_by("hub", F.struct("times", "hub")).alias("hub"))
     first = stored(first.select(F.col("hub").alias("a"), F.col("class").alias("b")), "first")
-    sets = stored(_wanted_sets(docs, runs.select("class"), text, width), "sets")
-    edges = stored(verify(first, sets, percent), "edges")
+    wanted = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("class"))
+    edges = stored(verify(first, wanted_sets(docs, wanted(first), text, width), percent), "edges")
     label = components(edges)
-    more = stored(tile_candidates(runs, label, sets, percent), "candidates")
-    more = stored(verify(more, sets, percent), "edges")
+    maps = seen.where("class IS NOT NULL").select("class", "bits")
+    more = stored(tile_candidates(runs, label, maps, percent), "candidates")
     if not more.isEmpty():
+        more = stored(verify(more, wanted_sets(docs, wanted(more), text, width), percent), "edges")
         label = components(edges.unionByName(more))
 
     own_least = own.where("class IS NOT NULL").groupBy("class").agg(F.min(key).alias("least"), F.count("*").alias("copies"))
