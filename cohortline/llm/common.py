@@ -53,3 +53,12 @@ def in_batches(
 def crc32_text(column) -> F.Column:
     """CRC-32 of a value written as text."""
     return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
+def aside(docs: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The rows with columns of these names renamed, and a function that returns
+    the former columns of any frame made from them."""
+    columns = docs.columns
+    moved = {c: f"_own_{c}" for c in columns if c in names}
+    back = lambda df: df.select([F.col(f"`{moved.get(c, c)}`").alias(c) for c in columns])
+    return docs.withColumnsRenamed(moved), back

@@ -382,3 +382,12 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
     labels = joined.where("linked OR copies > 1").join(reach, "comp", "left").select("class", F.coalesce("reach", "least").alias("component_id"))
     return own.join(labels, "class", "left").select(
         F.col(f"`{key}`"), F.col("n").alias("n_shingles"), F.coalesce("component_id", F.col(f"`{key}`")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """The documents, of each component only the row with the least key; of rows
+    with equal key and text one. A null key stays where nothing with a key is linked."""
+    found = link(docs, text, key, width, percent)
+    least = found.where(F.col(f"`{key}`").eqNullSafe(F.col("component_id"))).select(F.col(f"`{key}`").alias("_least")).distinct()
+    rows = docs.join(least, F.col(f"`{key}`").eqNullSafe(F.col("_least")), "left_semi")
+    return rows.withColumn("_same", F.xxhash64(F.col(f"`{text}`"))).dropDuplicates([key, "_same"]).select(docs.columns)

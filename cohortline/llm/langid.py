@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import in_batches
+from cohortline.llm.common import aside, in_batches
 
 UNKNOWN = "und"
-SAMPLE_ROWS = 4_000       # bound of the training sample over all languages
+SAMPLE_ROWS = 2_000       # bound of the training sample over all languages
 SAMPLE_CHARS = 20_000     # longer texts are not taken into the sample
 LANGUAGES = 200           # the most frequent labels that are learned
 DICTIONARY = 8_192
@@ -102,10 +102,31 @@ class Model:
         return best, np.clip(shares[np.arange(len(texts)), best], 0, 1).astype(np.float64)
 
 
+def _portions(texts: list[str], most: int = 500_000) -> list[list[str]]:
+    """Texts in portions of bounded size."""
+    out, size = [], most
+    for text in texts:
+        if size + len(text) > most:
+            out.append([])
+            size = 0
+        out[-1].append(text)
+        size += len(text)
+    return out
+
+
 def _dictionary(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    owner, coded = grams(texts)
-    seen = np.concatenate([np.unique(np.stack([codes, owner]), axis=1)[0] for codes in coded])
-    codes, count = np.unique(seen[seen > 0], return_counts=True)
+    codes, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for portion in _portions(texts):
+        owner, coded = grams(portion)
+        cuts = np.searchsorted(owner, np.arange(1, len(portion)))
+        seen = [np.unique(part) for one in coded for part in np.split(one, cuts)]
+        new, times = np.unique(np.concatenate(seen), return_counts=True)
+        every = np.union1d(codes, new)
+        total = np.zeros(len(every), np.int64)
+        total[np.searchsorted(every, codes)] += count
+        total[np.searchsorted(every, new)] += times
+        codes, count = every, total
+    codes, count = codes[codes > 0], count[codes > 0]
     order = np.lexsort((codes, -count))
     codes = codes[order][: 2 * DICTIONARY]
     slots = np.full(1 << _SLOTS, -1, np.int32)
@@ -124,7 +145,7 @@ def fit(texts: list[str], labels: list[str]) -> Model | None:
         return None
     codes, slots = _dictionary(texts)
     model = Model(languages, codes, slots, np.zeros((len(codes), 1), np.float32), np.zeros((1, len(languages))))
-    found = model.presence(texts)
+    found = np.concatenate([model.presence(p) for p in _portions(texts)])
     target = np.array([languages.index(x) for x in labels])
     place = np.zeros(len(texts), np.int64)
     for k in range(len(languages)):
@@ -165,11 +186,12 @@ def sample(docs: DataFrame, learn: Column, text: str, lang: str, key: str) -> tu
     return [r["t"] for r in ranked], [r["lang"] for r in ranked]
 
 
-def identify(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame:
-    """The documents' columns but the text, with lang_pred and score. ``learn`` says which rows may be learned from."""
+def identify(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id", keep_text: bool = False) -> DataFrame:
+    """The documents' columns (the text only on demand) with lang_pred and score.
+    ``learn`` says which rows may be learned from."""
     model = fit(*sample(docs, learn, text, lang, key))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the constants above
-    rest = [c for c in docs.columns if c not in (text, "lang_pred", "score")]
+    rest = [c for c in docs.columns if c not in ("lang_pred", "score") and (keep_text or c != text)]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(0).to_pylist()
@@ -194,4 +216,11 @@ def identify(docs: DataFrame, learn: Column, text: str = "text", lang: str = "la
             [*(batch.column(i + 1) for i in range(len(rest))), pa.array(labels, pa.string()), pa.array(scores, pa.float64())], names=[*rest, "lang_pred", "score"])
 
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest]
-    return in_batches(docs.select(F.col(f"`{text}`"), *[F.col(f"`{c}`") for c in rest]), ", ".join([*fields, "lang_pred string, score double"]), work, 256)
+    return in_batches(docs.select(F.col(f"`{text}`").alias("_read"), *[F.col(f"`{c}`") for c in rest]), ", ".join([*fields, "lang_pred string, score double"]), work, 256)
+
+
+def known_language(docs: DataFrame, learn: Column, least: float = 0.3, text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame:
+    """The documents in a learned language, with the columns they had."""
+    own, back = aside(docs, "lang_pred", "score")
+    found = identify(own, learn, text, lang, key, keep_text=True)
+    return back(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import BLANKS, in_batches, shuffle_partitions, stored
+from cohortline.llm.common import BLANKS, aside, in_batches, shuffle_partitions, stored
 from cohortline.llm.components import components
 from cohortline.llm.jaccard import FILTER_BITS, _shared_only, filter_of
 from cohortline.llm.wordhash import _power, mix
@@ -328,3 +328,12 @@ def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int =
         *[lines_left.alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns if c not in made],
         F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"))
+
+
+def without_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
+    """The documents without later copies of lines, in the columns they had. A
+    document of which nothing but blanks is left goes: all of it is elsewhere."""
+    own, back = aside(docs, "n_lines", "n_dropped", "_row")
+    kept = dedup(own, text, key, edits, least)
+    gone = (F.col("n_dropped") > 0) & (F.length(F.trim(F.col(f"`{text}`"), F.lit(BLANKS))) == 0)
+    return back(kept.where(~gone))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import BLANKS, WORD_BREAK
+from cohortline.llm.common import BLANKS, WORD_BREAK, aside, stored
 
 LEAST_WORDS = 50
 LEAST_GROUP = 200
@@ -134,3 +134,10 @@ def judge(measured: DataFrame, limits: DataFrame, lang: str = "lang", source: st
             ok &= _thousandths(top, bottom) >= F.col(f"_{name}_below")
     rows = rows.withColumns({"base_failed": base_failed(), "kept": F.coalesce(ok, F.lit(False))})
     return rows.drop(*limits.columns)
+
+
+def kept_documents(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """The documents that the rules keep, with the columns they had."""
+    own, back = aside(docs, *COUNTS, "n_lines", "base_failed", "kept")
+    measured = stored(measure(own, text), "measured")  # else filters would be pushed below and repeat the measures
+    return back(judge(measured, fences(sketches(measured, lang, source)), lang, source).where("kept"))

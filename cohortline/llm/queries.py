@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import bpe, hnsw, jaccard, langid, linededup, lm, packing, quality, warc
+from cohortline.llm import bpe, hnsw, jaccard, langid, licenses, linededup, lm, packing, quality, warc
 from cohortline.llm.common import crc32_text, stored, table
 from cohortline.session import scratch_path
 
@@ -167,3 +167,9 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     kept = linededup.dedup(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+@query("op1_license_scan")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return licenses.scan(docs, licenses.train(docs))
