@@ -70,7 +70,7 @@ def impute_knn(
     unit = max(high - low for low, high in ends.values()) / 2**bits or 1.0
     count = max(1, min(max_cells, math.ceil(math.sqrt(facts["n"]) / 2)))
 
-    gaps = sum((F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(columns)), F.lit(0))
+    gaps = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
     order = ("_gaps", "_at", *columns)
     # Row ids follow the sort order, so ties break alike whatever the cells are.
     cells = durable(
@@ -81,7 +81,7 @@ def impute_knn(
     )
     boxes = _boxes(cells, columns)
     visitors = durable(
-        cells.filter(F.col("_gaps") > 0)
+        cells.filter(F.col("_gaps").contains("1"))
         .select("_id", *columns, _reachable(boxes, neighbors)(*columns).alias("_cells"))
     )
     visits = visitors.select("_id", *columns, F.explode("_cells").alias("_cell"))
@@ -107,7 +107,7 @@ def impute_knn(
                               for i, c in enumerate(columns)])
     )
     key = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    table = durable(cells.filter(F.col("_gaps") > 0).join(estimate, "_id").select(
+    table = durable(cells.filter(F.col("_gaps").contains("1")).join(estimate, "_id").select(
         key.alias("value"), "_m", *[f"_new_{c}" for c in columns]))
     complete = F.lit(True)
     for c in columns:

@@ -38,22 +38,6 @@ def unpivot_one(row: DataFrame, names: Sequence[str], fields: dict[str, str], ke
     return row.select(F.inline(F.array(*entries)))
 
 
-def few(groups: DataFrame, what: str, most: int = 1_000) -> list[Row]:
-    """Rows of a grouped table that must be small by meaning, such as one per label."""
-    rows = groups.limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} distinct values of {what}")
-    return rows
-
-
-def by_key(column: str, values: dict, kind: str) -> Column:
-    """A few key -> value pairs as one expression; a null key is a key too."""
-    out = F.lit(None).cast(kind)
-    for key, value in values.items():
-        out = F.when(F.col(column).eqNullSafe(F.lit(key)), F.lit(value)).otherwise(out)
-    return out
-
-
 def null_profile(df: DataFrame) -> DataFrame:
     """Null count and ratio per column, plus the total; one pass over the table."""
     names = df.columns
@@ -196,15 +180,11 @@ def histogram_by_label(df: DataFrame, column: str, label: str = D.LABEL, bins: i
         F.col("v").isNotNull() & F.col("label").isNotNull()
     )
     span = rows.groupBy("label").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    ends = {}
-    for row in few(span, "label"):
-        flat = 0.5 if row["lo"] == row["hi"] else 0.0
-        ends[row["label"]] = (row["lo"] - flat, row["hi"] + flat)
-    lo = by_key("label", {k: low for k, (low, _) in ends.items()}, "double")
-    width = by_key("label", {k: (high - low) / bins for k, (low, high) in ends.items()}, "double")
+    flat = F.when(F.col("lo") == F.col("hi"), 0.5).otherwise(0.0)
+    span = span.select("label", (F.col("lo") - flat).alias("_lo"), ((F.col("hi") + flat - (F.col("lo") - flat)) / bins).alias("_width"))
     position = F.least(F.floor((F.col("v") - F.col("_lo")) / F.col("_width")), F.lit(bins - 1)).cast("int")
     return (
-        rows.withColumns({"_lo": lo, "_width": width})
+        rows.join(span, "label")
         .groupBy("label", position.alias("bin"), (F.col("_lo") + F.col("_width") * position).alias("bin_start"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

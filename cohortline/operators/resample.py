@@ -11,7 +11,21 @@ from cohortline import defaults as D
 from cohortline.operators.timeline import fill_with, last_known, nearest_known, on_the_line, sliding_sequences
 
 DAY = 86_400_000_000
-MAX_GAP_ROWS = 1_000_000
+
+
+def _wall_micros(time: str) -> Column:
+    """Microseconds since 1970 on the column's own clock, whatever the session's zone."""
+    t = F.col(time)
+    seconds = F.hour(t) * 3600 + F.minute(t) * 60
+    return (
+        F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint") * DAY + seconds.cast("bigint") * 1_000_000
+        + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint"))
+
+
+def _from_wall(micros: str) -> Column:
+    return F.expr(
+        f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(CAST({micros} DIV {DAY} AS INT), 0, 0, "
+        f"CAST(({micros} % {DAY}) / 1000000 AS DECIMAL(18, 6)))")
 
 
 def _aggregate(column: str, how: str, order: Column) -> Column:
@@ -33,25 +47,27 @@ def resample(
     subject: str = D.SUBJECT,
     time: str = D.TIME,
     row_id: str = D.EVENT_ID,
-    max_gap_rows: int = MAX_GAP_ROWS,
+    max_gap_rows: int | None = None,
 ) -> DataFrame:
     """One row per subject and bin from the first to the last observation.
 
     ``how`` maps columns to mean, last, first, max or min. Bins are left
     labelled and counted from the midnight before the subject's first row;
-    bins without rows hold nulls. Rows are reduced to bins before anything is
+    bins without rows hold nulls. All is reckoned on the clock of the column, so
+    the session's time zone and its changes play no part. Rows without a subject
+    are a timeline of their own. ``max_gap_rows`` ends the job at longer gaps. Rows are reduced to bins before anything is
     partitioned by subject, and empty bins are generated from each bin's gap to
     the next one, so there is no separate grid to join.
     """
     step = seconds * 1_000_000
     kind = df.schema[time].dataType
-    at = F.unix_micros(F.col(time).cast("timestamp"))
-    rows = df.filter(F.col(time).isNotNull()).withColumn("_at", at)
+    rows = df.filter(F.col(time).isNotNull()).withColumn("_at", _wall_micros(time))
     if DAY % step == 0:
         origin = F.lit(0)
     else:
         first = rows.groupBy(subject).agg(F.min("_at").alias("_first"))
-        rows = rows.join(first, subject)
+        first = first.withColumnRenamed(subject, "_whose")
+        rows = rows.join(first, F.col(subject).eqNullSafe(F.col("_whose"))).drop("_whose")
         origin = F.col("_first") - F.pmod(F.col("_first"), F.lit(DAY))
     rows = rows.withColumn("_bin", F.col("_at") - F.pmod(F.col("_at") - origin, F.lit(step)))
     order = F.struct("_at", row_id) if row_id in df.columns else F.col("_at")
@@ -60,13 +76,14 @@ def resample(
     bins = bins.withColumn("_after", F.lead("_bin").over(Window.partitionBy(subject).orderBy("_bin")))
     after = F.col("_after")
     wanted = F.coalesce((after - F.col("_bin")) / step, F.lit(1))
-    last = F.when(
-        wanted > max_gap_rows, F.raise_error(F.lit(f"gap of more than {max_gap_rows} bins: check timestamps"))
-    ).otherwise(F.coalesce(after - step, F.col("_bin")))
+    last = F.coalesce(after - step, F.col("_bin"))
+    if max_gap_rows is not None:
+        error = F.raise_error(F.lit(f"gap of more than {max_gap_rows} bins: check timestamps"))
+        last = F.when(wanted > max_gap_rows, error).otherwise(last)
     grid = bins.withColumn("_slot", F.explode(F.sequence(F.col("_bin"), last.cast("bigint"), F.lit(step))))
     observed = F.col("_slot") == F.col("_bin")
     return grid.select(
-        subject, F.timestamp_micros("_slot").cast(kind).alias(time),
+        subject, _from_wall("_slot").cast(kind).alias(time),
         *[F.when(observed, F.col(c)).alias(c) for c in how],
     )
 
@@ -74,6 +91,7 @@ def resample(
 def resample_fill(
     df: DataFrame, how: Mapping[str, str], lines: Sequence[str] | None = None, method: str = "linear",
     seconds: int = 3600, subject: str = D.SUBJECT, time: str = D.TIME, row_id: str = D.EVENT_ID,
+    max_gap_rows: int | None = None,
 ) -> DataFrame:
     """Resample, interpolate the ``mean``-like columns, carry the others forward then back.
 
@@ -81,7 +99,7 @@ def resample_fill(
     subject's grid has as many rows as bins in its time span, whatever the
     number of its observations, so it is one partition's work.
     """
-    grid = resample(df, how, seconds, subject, time, row_id)
+    grid = resample(df, how, seconds, subject, time, row_id, max_gap_rows)
     drawn = set(lines if lines is not None else [c for c, h in how.items() if h in ("mean", "max", "min")])
 
     def fill(c: str):
@@ -94,10 +112,11 @@ def resample_fill(
 def sequence_dataset(
     df: DataFrame, how: Mapping[str, str], features: Sequence[str], label: str = D.LABEL,
     lookback: int = 48, horizon: int = 24, stride: int = 1, seconds: int = 3600,
-    subject: str = D.SUBJECT, time: str = D.TIME, row_id: str = D.EVENT_ID,
+    subject: str = D.SUBJECT, time: str = D.TIME, row_id: str = D.EVENT_ID, max_gap_rows: int | None = None,
 ) -> DataFrame:
     """Resample, fill, then cut windows with their labels."""
-    grid = resample_fill(df, how, seconds=seconds, subject=subject, time=time, row_id=row_id)
+    grid = resample_fill(
+        df, how, seconds=seconds, subject=subject, time=time, row_id=row_id, max_gap_rows=max_gap_rows)
     return sliding_sequences(
         grid, features, label, lookback, horizon, stride, subject=subject, order=(time,), max_rows=None,
     )

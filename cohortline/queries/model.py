@@ -9,6 +9,7 @@ from cohortline import fixtures as X
 from cohortline.plans import evaluation as ev
 from cohortline.plans import scoring as sc
 from cohortline.plans import training as tr
+from cohortline.session import kept
 from cohortline.queries._registry import DOUBLES, INDICATORS, query, r, rounded, rs
 
 ENC = f"WITH {X.ENCOUNTERS_SQL} "
@@ -47,15 +48,17 @@ def _(spark, sf):
 
 @query("l3_fit_logistic")
 def _(spark, sf):
-    rows = _training_rows(spark, sf).persist()
-    model = tr.fit_logistic(rows, FEATURES)
+    rows = _training_rows(spark, sf)
+    with kept(rows) as held:
+        model = tr.fit_logistic(held, FEATURES)
     return rounded(tr.predict(model, rows, FEATURES).select("event_id", "logit", "probability", "prediction"), 4)
 
 
 @query("l4_fit_mlp")
 def _(spark, sf):
-    rows = tr.stratified_split(_training_rows(spark, sf)).persist()
-    model = tr.fit_mlp(rows.filter("split = 'train'"), FEATURES, hidden=(16, 8), iterations=20)
+    rows = tr.stratified_split(_training_rows(spark, sf))
+    with kept(rows.filter("split = 'train'")) as learned:
+        model = tr.fit_mlp(learned, FEATURES)
     held = tr.predict(model, rows.filter("split = 'test'"), FEATURES)
     return ev.confusion(held, label=D.LABEL)
 
@@ -236,5 +239,5 @@ def _(spark, sf):
 
 @query("v12_feature_importance")
 def _(spark, sf):
-    rows = _training_rows(spark, sf).persist()
-    return rounded(tr.feature_importance(tr.fit_logistic(rows, FEATURES), FEATURES, spark), 4)
+    with kept(_training_rows(spark, sf)) as rows:
+        return rounded(tr.feature_importance(tr.fit_logistic(rows, FEATURES), FEATURES, spark), 4)

@@ -13,6 +13,7 @@ from cohortline.operators import outliers as ou
 from cohortline.operators import scale as sc
 from cohortline.operators.lookup import map_lookup
 from cohortline.operators.profile import group_mean
+from cohortline.session import kept
 from cohortline.queries._registry import CATEGORICAL, DOUBLES, NUMERIC, query, r, rounded, rs
 
 ENC = f"WITH {X.ENCOUNTERS_SQL} "
@@ -158,8 +159,10 @@ def _sequential() -> str:
 
 @query("o6_outlier_remove", _sequential())
 def _(spark, sf):
-    wide = X.encounters(spark, sf).select("event_id", *DOUBLES).persist()
-    return rounded(ou.Outliers.fit(wide, DOUBLES, action="remove", sequential=True).transform(wide))
+    wide = X.encounters(spark, sf).select("event_id", *DOUBLES)
+    with kept(wide) as rows:
+        fitted = ou.Outliers.fit(rows, DOUBLES, action="remove", sequential=True)
+    return rounded(fitted.transform(wide))
 
 
 _STATUS = ("F", "O", "P")

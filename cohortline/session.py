@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -29,12 +30,14 @@ def local_session(cores: int = 8, memory: str = "16g", app: str = "cohortline")
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a temporary
-    folder is set; on a cluster the setting must be present.
+    Where the session names none, a temporary folder serves a session on one
+    machine; on a cluster that is an error, as executors share no local folder.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="cohortline-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)

@@ -91,6 +91,11 @@ def _reader(spark: SparkSession, schema, glob: str | None):
     return reader.option("pathGlobFilter", glob) if glob else reader
 
 
+def _suffix_glob(suffix: str) -> str:
+    """File names with this suffix, in any case."""
+    return "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix.lstrip("."))
+
+
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, glob: str | None = None) -> DataFrame:
     """CSV with a header. Without a schema types are inferred by an extra pass."""
     reader = _reader(spark, schema, glob).option("header", True)
@@ -100,11 +105,16 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 
 def scan_json(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, lines: bool = False, glob: str | None = None,
+    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, lines: bool = False,
+    glob: str | None = None, mode: str = "PERMISSIVE",
 ) -> DataFrame:
-    """A JSON array of records per file, or with ``lines`` one record per line (splittable)."""
-    reader = _reader(spark, schema, glob).option("multiLine", not lines)
-    return nan_to_null(_checked(lambda: reader.json(path), path))
+    """A JSON array of records per file, or with ``lines`` one record per line (splittable).
+
+    A record that cannot be parsed is a row of nulls; with mode DROPMALFORMED
+    it is left out, with FAILFAST it ends the job.
+    """
+    reader = _reader(spark, schema, glob).option("multiLine", not lines).option("mode", mode)
+    return nan_to_null(_checked(lambda: reader.json(path), str(path)))
 
 
 def flatten(df: DataFrame) -> DataFrame:
@@ -122,10 +132,11 @@ def flatten(df: DataFrame) -> DataFrame:
 
 
 def scan_json_nested(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, lines: bool = False, glob: str | None = None,
+    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, lines: bool = False,
+    glob: str | None = None, mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """One nested object per file (or line), flattened to dotted columns."""
-    return flatten(scan_json(spark, path, schema, lines, glob))
+    return flatten(scan_json(spark, path, schema, lines, glob, mode))
 
 
 def scan_parquet(
@@ -139,14 +150,28 @@ def scan_parquet(
 
 
 def _scan_json_any(spark: SparkSession, path: str, schema, glob: str | None) -> DataFrame:
-    """Array, object or lines, told apart by the first line of the data."""
+    """Array, object or lines, told apart for each file by its first line."""
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    head = _checked(lambda: reader.text(path), path).filter(F.trim("value") != "").first()
-    text = head[0].strip() if head else ""
-    if text.startswith("["):
+    rows = _checked(lambda: reader.text(path), path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    # Within a file rows are numbered in order; parts of a large file keep their order among partitions.
+    first = rows.filter(F.trim("value") != "").groupBy("file").agg(F.min_by(F.trim("value"), "at").alias("head"))
+    layout = (
+        F.when(F.col("head").startswith("["), "array")
+        .when(F.col("head").startswith("{") & F.col("head").endswith("}"), "lines").otherwise("object"))
+    files: dict[str, list[str]] = {}
+    for row in first.select("file", layout.alias("layout")).orderBy("file").collect():  # names only, as in any listing
+        files.setdefault(row["layout"], []).append(row["file"])
+    if not files:
         return scan_json(spark, path, schema, glob=glob)
-    whole_line = text.startswith("{") and text.endswith("}")
-    return scan_json_nested(spark, path, schema, lines=whole_line, glob=glob)
+    parts = [
+        scan_json(spark, names, schema) if kind == "array" else scan_json_nested(spark, names, schema, lines=kind == "lines")
+        for kind, names in sorted(files.items())
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 _SCANS = {
@@ -166,14 +191,15 @@ def scan_auto(spark: SparkSession, path: str, schema: T.StructType | None = None
     if suffix:
         raise ValueError(f"unsupported file format: {suffix}")
     # Listing only: without the content column no file is opened.
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.{csv,json,jsonl,parquet}")
+    listing = spark.read.format("binaryFile").option(
+        "pathGlobFilter", "{" + ",".join(map(_suffix_glob, _SCANS)) + "}")
     names = _checked(lambda: listing.load(path), path).select(
         F.lower(F.regexp_extract("path", r"(\.[A-Za-z]+)$", 1)).alias("suffix")
     )
     found = sorted(row["suffix"] for row in names.distinct().collect())
     if not found:
         raise FileNotFoundError(f"no supported data files in {path}")
-    parts = [_SCANS[s](spark, path, schema, f"*{s}") for s in found if s in _SCANS]
+    parts = [_SCANS[s](spark, path, schema, _suffix_glob(s)) for s in found if s in _SCANS]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part, allowMissingColumns=True)

@@ -37,14 +37,17 @@ def write_events(events: DataFrame, path: str, buckets: int = 64, files: int | N
     order = ("bucket", "subject_id", "timestamp", "code")
     ranged = keyed.repartitionByRange(files, *order) if files else keyed.repartitionByRange(*order)
     ranged.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/events")
+    # The number of buckets belongs to the data: readers of single subjects need it.
+    events.sparkSession.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.mode("overwrite").json(f"{path}/layout")
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/events").drop("bucket")
 
 
-def read_subject_events(spark: SparkSession, path: str, subject: str, buckets: int = 64) -> DataFrame:
+def read_subject_events(spark: SparkSession, path: str, subject: str) -> DataFrame:
     """One subject's events: one folder is listed, row groups are pruned by id."""
+    buckets = spark.read.schema("buckets int").json(f"{path}/layout").first()["buckets"]
     rows = spark.read.parquet(f"{path}/events")
     wanted = rows.filter((F.col("bucket") == subject_bucket(F.lit(subject), buckets)) & (F.col("subject_id") == subject))
     return wanted.drop("bucket")

@@ -19,6 +19,17 @@ def spark():
     return session
 
 
+@pytest.fixture(autouse=True)
+def no_leftovers():
+    """What a test cached does not show in the plans of the next one."""
+    yield
+    from pyspark.sql import SparkSession
+
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        session.catalog.clearCache()
+
+
 @pytest.fixture(scope="session")
 def folder():
     return SMALL

@@ -10,7 +10,6 @@ from conftest import SMALL
 from tools.check_oracle import TABLES, close, plain, rows_of
 
 QUERIES, ORACLES = queries(), oracle_sql()
-SLOW_ON_SPARK = {"l4_fit_mlp", "i5_impute_iterative"}
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +33,7 @@ def test_same_as_sql(spark, duck, name):
     assert not differing[:3]
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES and n not in SLOW_ON_SPARK])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES])
 def test_rows_only(spark, name):
     assert QUERIES[name](spark, SMALL).count() > 0
 

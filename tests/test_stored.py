@@ -71,7 +71,7 @@ def test_event_layout(spark, folder, tmp_path):
     wr.write_metadata(events, str(tmp_path))
     assert rows(wr.read_events(spark, str(tmp_path)).groupBy("code").count(), "code") == rows(events.groupBy("code").count(), "code")
     subject = events.first()["subject_id"]
-    one = wr.read_subject_events(spark, str(tmp_path), subject, buckets=4)
+    one = wr.read_subject_events(spark, str(tmp_path), subject)
     assert one.count() == events.filter(F.col("subject_id") == subject).count()
     assert "PartitionFilters: [isnotnull(bucket" in plan_of(one)
     meta = spark.read.json(str(tmp_path / "metadata")).first()
