@@ -36,6 +36,8 @@ PERCENT = 75
 COUNT_BITS = 18
 FILTER_BITS = 23
 TILE = 2048
+SMALL = 64
+SHORT_BITS = 8
 _SLICES = 64
 
 
@@ -268,7 +270,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _bits(n: int) -> int:
     """Bits of a set's bitmap: twice its size, as a power of two."""
-    return 1 << max(8, min(20, (2 * n - 1).bit_length()))
+    return 1 << max(SHORT_BITS, min(20, (2 * n - 1).bit_length()))
 
 
 def bitmap(values: np.ndarray) -> bytes:
@@ -283,70 +285,107 @@ def _folded(data: bytes, size: int) -> np.ndarray:
     return np.bitwise_xor.reduce(own.reshape(-1, size // 8), axis=0)
 
 
-def _tile_pairs(low: int, cls, n, comp, band, maps, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a tile that may be similar and lie in different components."""
-    x = np.flatnonzero(band == low)
-    if not len(x) or len(cls) < 2:
+def short(data: bytes) -> bytes:
+    """A bitmap in its shortest form."""
+    return _folded(data, 1 << SHORT_BITS).tobytes()
+
+
+def bound_holds(x: bytes, y: bytes, n: int, m: int, percent: int) -> bool:
+    """Whether the bitmaps leave room for enough overlap: it is at most half of what
+    the sizes add up to less the differing bits."""
+    size = min(len(x), len(y)) * 8
+    apart = int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum())
+    return (100 + percent) * (n + m - apart) >= 2 * percent * (n + m)
+
+
+def _tile_pairs(tile, low, cls, n, comp, band, maps, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows sorted by tile, whole tiles only: pairs of different components whose sizes
+    fit and whose short bitmaps leave room. ``low`` is the lower band that a tile
+    compares with itself and the next one, or -1 where it holds all of a shingle's rows."""
+    start = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
+    size = np.diff(np.append(start, len(tile)))
+    left_over = np.repeat(size, size) - (np.arange(len(tile)) - np.repeat(start, size))  # rows from here to the tile's end
+    found, rows = [], np.arange(len(tile))
+    for d in range(1, int(size.max(initial=1))):
+        rows = rows[left_over[rows] > d]
+        other = rows + d
+        ok = (comp[rows] != comp[other]) & ((low[rows] < 0) | (band[rows] == low[rows]) | (band[other] == low[rows]))
+        ok &= 100 * np.minimum(n[rows], n[other]) >= percent * np.maximum(n[rows], n[other])
+        i, j = rows[ok], other[ok]
+        apart = np.bitwise_count(maps[i] ^ maps[j]).sum(axis=1, dtype=np.int64)
+        # overlap <= (total - apart) / 2 and similar means (100 + p) * overlap >= p * total
+        room = (100 + percent) * (n[i] + n[j] - apart) >= 2 * percent * (n[i] + n[j])
+        found.append((cls[i[room]], cls[j[room]]))
+    if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    size = min(_bits(int(n[i])) for i in x)
-    words = np.array([_folded(m, size) for m in maps]).view(np.uint64)
-    left, right = [], []
-    for i in x:
-        other = (comp != comp[i]) & ((band != low) | (cls > cls[i]))
-        small, large = np.minimum(n, n[i]), np.maximum(n, n[i])
-        other &= 100 * small >= percent * large
-        rows = np.flatnonzero(other)
-        if len(rows):
-            apart = np.bitwise_count(words[rows] ^ words[i]).sum(axis=1, dtype=np.int64)
-            total = n[rows] + n[i]
-            # overlap <= (total - apart) / 2 and similar means (100 + p) * overlap >= p * total
-            rows = rows[(100 + percent) * (total - apart) >= 2 * percent * total]
-            left.append(np.full(len(rows), cls[i]))
-            right.append(cls[rows])
-    return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    a, b = (np.concatenate(x) for x in zip(*found))
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+    return pairs[0], pairs[1]
 
 
 def tile_candidates(runs: DataFrame, label: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of shingles' classes in different components that pass the bitmap bound. maps: (class, bits)."""
+    """Pairs (a, b) of shingles' classes in different components that pass the bitmap bounds. maps: (class, n, bits)."""
+    spark = runs.sparkSession
     rows = runs.select("s", "class", "n").join(label, F.col("class") == F.col("node"), "left")
     rows = rows.select("s", "class", "n", F.coalesce("component", "class").alias("comp"))
     mixed = rows.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo != hi")
     rows = rows.join(mixed.select("s", "size"), "s")
+    # Few rows are one tile; more are cut by size band, and a crowded shingle also into blocks.
     rows = rows.withColumn("band", F.floor(F.log("n") / F.log(F.lit(101.0 / percent))).cast("int"))
     rows = rows.withColumn("blocks", F.ceil(F.col("size") / TILE).cast("int")).withColumn("block", F.pmod("class", "blocks").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumn("low", F.explode(F.array(F.col("band"), F.col("band") - 1)))
-    rows = rows.select("s", "low", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "class", "n", "comp", "band")
+    few = F.col("size") <= SMALL
+    rows = rows.withColumn("low", F.explode(F.when(few, F.array(F.lit(-1))).otherwise(F.array(F.col("band"), F.greatest(F.col("band") - 1, F.lit(0))))))
+    rows = rows.select("s", "low", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "class", "n", "comp", "band").distinct()
     rows = stored(rows, "tiles")
-    rows = rows.join(maps.join(rows.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"]), "class").repartition(shuffle_partitions(runs.sparkSession), "s", "low", "i", "j").sortWithinPartitions("s", "low", "i", "j")
+    known = maps.join(rows.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"])
+
+    def shorten(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([short(x) for x in batch.column(1).to_pylist()], pa.binary())], names=["class", "bits"])
+
+    signed = rows.join(in_batches(known.select("class", "bits"), "class bigint, bits binary", shorten), "class")
+    signed = signed.repartition(shuffle_partitions(spark), "s", "low", "i", "j").sortWithinPartitions("s", "low", "i", "j")
     columns = ["s", "low", "i", "j", "class", "n", "comp", "band", "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last = [], None
-
-        def close():
-            whole = pa.Table.from_batches(held)
-            cls, n, comp, band = (whole.column(k).to_numpy().astype(np.int64) for k in ("class", "n", "comp", "band"))
-            a, b = _tile_pairs(last[1], cls, n, comp, band, whole.column("bits").to_pylist(), percent)
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        held: list[pa.RecordBatch] = []
 
-        for batch in batches:
-            keys = [batch.column(k).to_numpy() for k in range(4)]
-            change = np.zeros(batch.num_rows, bool)
+        def close(table: pa.Table):
+            keys = [table.column(k).to_numpy() for k in range(4)]
+            change = np.zeros(table.num_rows, bool)
             for k in keys:
                 change[1:] |= k[1:] != k[:-1]
-            cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-            for start, end in zip(cuts, cuts[1:]):
-                tile = tuple(int(k[start]) for k in keys)
-                if last is not None and tile != last:
-                    yield close()
-                    held = []
-                held.append(batch.slice(start, end - start))
-                last = tile
+            cls, n, comp, band = (table.column(k).to_numpy().astype(np.int64) for k in ("class", "n", "comp", "band"))
+            bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(table.num_rows, -1)
+            a, b = _tile_pairs(np.cumsum(change), keys[1], cls, n, comp, band, bits, percent)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            last = np.ones(batch.num_rows, bool)
+            for k in range(4):
+                last &= batch.column(k).to_numpy() == batch.column(k)[batch.num_rows - 1].as_py()
+            cut = int(batch.num_rows - last[::-1].argmin()) if not last.all() else 0
+            if cut:  # the last tile may go on in the next batch
+                yield close(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            elif held and any(held[-1].column(k)[held[-1].num_rows - 1] != batch.column(k)[0] for k in range(4)):
+                yield close(pa.Table.from_batches(held))
+                held = []
+            held.append(batch.slice(cut))
         if held:
-            yield close()
+            yield close(pa.Table.from_batches(held))
+
+    pairs = signed.select(*columns).mapInArrow(run, "a bigint, b bigint").distinct()
+    left, right = (known.select(F.col("class").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}")) for k in "ab")
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+
+    def bound(batch: pa.RecordBatch) -> pa.RecordBatch:
+        columns = [batch.column(k).to_pylist() for k in range(2, 6)]
+        keep = [bound_holds(x, y, n, m, percent) for n, m, x, y in zip(*columns)]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return rows.select(*columns).mapInArrow(run, "a bigint, b bigint").distinct()
+    return in_batches(both, "a bigint, b bigint", bound, 4096)
 
 
 def link(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -369,7 +408,7 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
     wanted = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("class"))
     edges = stored(verify(first, wanted_sets(docs, wanted(first), text, width), percent), "edges")
     label = components(edges)
-    maps = seen.where("class IS NOT NULL").select("class", "bits")
+    maps = seen.where("class IS NOT NULL").select("class", "n", "bits")
     more = stored(tile_candidates(runs, label, maps, percent), "candidates")
     if not more.isEmpty():
         more = stored(verify(more, wanted_sets(docs, wanted(more), text, width), percent), "edges")

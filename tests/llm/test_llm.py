@@ -180,6 +180,7 @@ def test_sum_of_squares_rule():
 @pytest.mark.parametrize("tile", [jaccard.TILE, 3])
 def test_jaccard_links(corpus, empty, monkeypatch, tile):
     monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(jaccard, "SMALL", 64 if tile > 3 else 2)
     texts = texts_of(corpus)
     sets = []
     for _, t in texts:
@@ -208,11 +209,14 @@ def test_tiles_find_what_the_first_pass_leaves(spark):
     sets = [np.unique(np.concatenate([core[: 300 - 3 * k], rng.integers(0, 2**63, 40).astype(np.uint64)])) for k in range(20)]
     n = np.array([len(s) for s in sets])
     band = np.floor(np.log(n) / np.log(101 / 75)).astype(int)
-    found = set()
-    for low in range(band.min(), band.max() + 1):
-        at = np.flatnonzero((band == low) | (band == low + 1))
-        a, b = jaccard._tile_pairs(low, at, n[at], at, band[at], [jaccard.bitmap(sets[i]) for i in at], 75)
-        found |= {(min(p), max(p)) for p in zip(a.tolist(), b.tolist())}
+    bits = [jaccard.bitmap(s) for s in sets]
+    short = np.array([np.frombuffer(jaccard.short(x), np.uint64) for x in bits])
+    tiles = [(low, k) for low in range(band.min(), band.max() + 1) for k in range(20) if band[k] in (low, low + 1)]
+    low, at = (np.array(x) for x in zip(*tiles))
+    a, b = jaccard._tile_pairs(low, low, at, n[at], at, band[at], short[at], 75)
+    found = {p for p in zip(a.tolist(), b.tolist()) if jaccard.bound_holds(bits[p[0]], bits[p[1]], int(n[p[0]]), int(n[p[1]]), 75)}
+    one = jaccard._tile_pairs(np.zeros(20), np.full(20, -1), np.arange(20), n, np.arange(20), band, short, 75)
+    assert found <= set(zip(*(x.tolist() for x in one)))
     for a, b in itertools.combinations(range(20), 2):
         common = len(np.intersect1d(sets[a], sets[b]))
         if 100 * common >= 75 * (n[a] + n[b] - common):
