@@ -180,12 +180,17 @@ def _stripped(a: str, b: str) -> tuple[np.ndarray, np.ndarray]:
     return x[: len(x) - end], y[: len(y) - end]
 
 
+def _bag(points: np.ndarray) -> np.ndarray:
+    """Counts of signs in 64 bins. An edit changes them by two at most."""
+    return np.bincount((points & 63).astype(np.int64), minlength=64)
+
+
 def within(pairs: list[tuple[str, str]], edits: int) -> np.ndarray:
     """Which pairs are at most ``edits`` (up to 30) edits apart. The bits of a word are the
     cells of the band around the diagonal; the top bit is the band's lowest row."""
     close = np.zeros(len(pairs), bool)
     trimmed = [_stripped(a, b) for a, b in pairs]
-    todo = [i for i, (x, y) in enumerate(trimmed) if abs(len(x) - len(y)) <= edits]
+    todo = [i for i, (x, y) in enumerate(trimmed) if abs(len(x) - len(y)) <= edits and np.abs(_bag(x) - _bag(y)).sum() <= 2 * edits]
     todo.sort(key=lambda i: len(trimmed[i][1]))
     one = np.uint64(1)
     for start in range(0, len(todo), 1024):
@@ -233,21 +238,15 @@ def verify(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
 
 def _tile_links(cls, kind, comp, lines: list[str], edits: int) -> list[tuple[int, int]]:
     """Links of a tile between different components, enough to join what belongs together."""
-    parent = {c: c for c in comp.tolist()}
-
-    def root(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
     size, links = np.fromiter(map(len, lines), np.int64, len(lines)), []
+    bags = np.stack([_bag(np.frombuffer(x.encode("utf-32-le", "surrogatepass"), "<u4")) for x in lines])
+    comp = comp.copy()
     for i in np.flatnonzero(kind == 0).tolist():
-        roots = np.array([root(c) for c in comp.tolist()])
-        rows = np.flatnonzero((roots != roots[i]) & (np.abs(size - size[i]) <= edits) & ((kind == 1) | (cls > cls[i]))).tolist()
+        rows = np.flatnonzero((comp != comp[i]) & (np.abs(size - size[i]) <= edits) & ((kind == 1) | (cls > cls[i])))
+        rows = rows[np.abs(bags[rows] - bags[i]).sum(axis=1) <= 2 * edits].tolist()
         for j, ok in zip(rows, within([(lines[i], lines[j]) for j in rows], edits)):
-            if ok and root(int(comp[i])) != root(int(comp[j])):
-                parent[root(int(comp[i]))] = root(int(comp[j]))
+            if ok and comp[i] != comp[j]:
+                comp[comp == comp[j]] = comp[i]
                 links.append((int(cls[i]), int(cls[j])))
     return links
 
