@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Names of the key, time and label columns.
 SUBJECT = "patient_id"
 EVENT_ID = "event_id"
 TIME = "observation_date"

@@ -67,7 +67,7 @@ class Preprocessor:
 
     def transform(self, df: DataFrame) -> DataFrame:
         if not self.fitted:
-            raise RuntimeError("Preprocessor must be fitted before calling transform()")
+            raise RuntimeError("no steps yet: call fit first, transform applies what it learned")
         for step in self.steps:
             df = step.transform(df)
         return df

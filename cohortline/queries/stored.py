@@ -118,7 +118,7 @@ def _(spark, sf):
     return rounded(rows.withColumn("total_samples", summary.scalar()))
 
 
-_METRICS = ("accuracy", "precision", "recall", "f1_score", "auc_roc", "specificity", "balanced_accuracy")
+_METRICS = D.RUN_METRICS
 
 
 @query("x1_comparison_table", f"""WITH {X.RUNS_SQL}

@@ -14,6 +14,7 @@ from cohortline.defaults import RUN_METRICS
 
 SUFFIXES = (".csv", ".json", ".jsonl", ".parquet")
 
+# Column and field names of observation tables and run records.
 OBSERVATION_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("patient_id", "event_id")]
     + [T.StructField(c, T.TimestampType()) for c in ("observation_date", "admission_date", "discharge_date")]

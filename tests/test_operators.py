@@ -231,7 +231,7 @@ def test_null_to_zero_and_unknown_subject(spark):
 
 def test_preprocessor_contract(spark, folder):
     wide = X.encounters(spark, folder).cache()
-    with pytest.raises(RuntimeError, match="must be fitted"):
+    with pytest.raises(RuntimeError, match="call fit first"):
         Preprocessor().transform(wide)
     fitted = Preprocessor().fit(wide)
     once, again = fitted.transform(wide), fitted.transform(wide)
