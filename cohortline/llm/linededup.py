@@ -6,6 +6,15 @@ shorter one at a place near its own; each line lists its segments and probes,
 for every length it may meet, the few places where such a segment can lie
 (substrings by length and place, as hashes). A shared key is a candidate:
 
+With ``per`` given, lines are also near copies where they are few word edits
+apart, and the limit grows with the shorter line: at least one edit from
+``per / 2`` words on, then one for each ``per`` words at the start of its length
+class (classes grow by a quarter). Words are runs of letters and digits, cut
+after 16; other signs, and those of scripts without blanks, are words of their
+own. The first ``limit + 1`` stretches of words of the class's one size are the
+segments. If segment k is the first before which k edits lie, it stands at most k
+places off in the other line; long lines list all their places instead.
+
 1. Every line is compared with the first line of the key it shares most often.
 2. Keys that still hold several components are cut into tiles of bounded size;
    in a tile, pairs of different components are compared.
@@ -23,6 +32,8 @@ so other columns may have any names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,31 +47,85 @@ from cohortline.llm.wordhash import _power, mix
 
 EDITS = 2
 LEAST_CHARS = 40
+WORDS_PER_EDIT = 20
+LONGEST_WORD = 16
 TILE = 1024
 BLOCK_CHARS = 1_000_000
 
 
-class Lines:
-    """Lines of several texts as one array of code points with running hash sums."""
+class Stretches:
+    """Several sequences of values as one array with running hash sums."""
 
-    def __init__(self, lines: list[str]):
-        self.size = np.fromiter(map(len, lines), np.int64, len(lines))
-        self.first = np.concatenate([[0], np.cumsum(self.size)])[:-1]
-        points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    def __init__(self, points: np.ndarray, size: np.ndarray):
+        self.points, self.size = points, size
+        self.first = np.concatenate([[0], np.cumsum(size)])[:-1]
         with np.errstate(over="ignore"):
             value = mix(points + np.uint64(1)) * _power(len(points) + 1, False)[: len(points)]
             self.total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
         self.back = _power(len(points) + 1, True)
-        self.ids = self.part(np.zeros(len(lines), np.int64), self.size, np.zeros(len(lines), np.int64))
 
-    def part(self, start: np.ndarray, size: np.ndarray, salt: np.ndarray) -> np.ndarray:
-        """Hashes of one substring of each line."""
-        a = self.first + start
+    def part(self, start: np.ndarray, size: np.ndarray, salt: np.ndarray, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Hashes of one substring of each line, or of each line in rows."""
+        a = self.first[rows] + start
         with np.errstate(over="ignore"):
             body = (self.total[a + size] - self.total[a]) * self.back[a]
             return mix(body + (size.astype(np.uint64) << np.uint64(32)) + mix(salt.astype(np.uint64) + np.uint64(77))).view(np.int64)
 
 
+class Lines(Stretches):
+    """Lines of several texts by their code points."""
+
+    def __init__(self, lines: list[str]):
+        points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        super().__init__(points, np.fromiter(map(len, lines), np.int64, len(lines)))
+        self.ids = self.part(np.zeros(len(lines), np.int64), self.size, np.zeros(len(lines), np.int64))
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """Of each code point: 0 for blanks, 1 inside words, 2 for a word of its own."""
+    kind = np.full(0x110000, 2, np.uint8)
+    kind[:0x2E80] = [0 if chr(c).isspace() else 1 if chr(c).isalnum() else 2 for c in range(0x2E80)]
+    kind[0x3000] = 0
+    return kind
+
+
+class Words(Stretches):
+    """Lines by hashes of their words."""
+
+    def __init__(self, lines: Lines):
+        kind = _kinds()[lines.points]
+        place = np.arange(len(kind))
+        fresh = np.zeros(len(kind), bool)
+        fresh[lines.first[lines.size > 0]] = True
+        start = (kind == 2) | ((kind == 1) & (fresh | (np.concatenate([[0], kind])[:-1] != 1)))
+        start |= (kind == 1) & ((place - np.maximum.accumulate(np.where(start, place, 0))) % LONGEST_WORD == 0)
+        last = (kind == 2) | ((kind == 1) & np.concatenate([start | (kind != 1), [True]])[1:])
+        at, end = np.flatnonzero(start), np.flatnonzero(last) + 1
+        with np.errstate(over="ignore"):
+            body = (lines.total[end] - lines.total[at]) * lines.back[at]
+            points = mix(body + ((end - at).astype(np.uint64) << np.uint64(32))) >> np.uint64(1)
+        first = np.searchsorted(at, lines.first)
+        super().__init__(points, np.diff(np.append(first, len(at))))
+
+    def of(self, row: int) -> np.ndarray:
+        return self.points[self.first[row]: self.first[row] + self.size[row]].astype(np.int64)
+
+
+def length_classes(longest: int, per: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least numbers of words of the length classes, one beyond the longest line, and their limits; below the first the limit is 0."""
+    starts = [max(per // 2, 2), per]
+    while starts[-1] <= longest:
+        starts.append(max(starts[-1] + per, starts[-1] * 5 // 4 // per * per))
+    starts = np.array(starts)
+    return starts, np.maximum(starts // per, 1)
+
+
+def limits_of(size: np.ndarray, per: int) -> np.ndarray:
+    starts, limits = length_classes(int(size.max(initial=0)), per)
+    return np.concatenate([[0], limits])[np.searchsorted(starts, size, "right")]
+
+
 def segment(size: np.ndarray, number: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
     """Start and size of a segment; the last ones are the longer ones."""
     parts = edits + 1
@@ -88,6 +153,36 @@ def keys_of(lines: Lines, edits: int) -> Iterator[tuple[np.ndarray, np.ndarray,
                 yield rows, lines.part(np.clip(at, 0, np.maximum(lines.size - size, 0)), size, length * 16 + number)[rows], 1
 
 
+def word_keys_of(words: Words, per: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(rows, keys, kind) like keys_of, over words and with the limit of each length class."""
+    starts, limits = length_classes(int(words.size.max(initial=0)), per)
+    for number, (low, high, edits) in enumerate(zip(starts.tolist(), starts[1:].tolist(), limits.tolist())):
+        size = low // (edits + 1)
+        own = np.flatnonzero((words.size >= low) & (words.size < high))
+        longer = np.flatnonzero((words.size >= low) & (words.size < high + edits))
+        shifts = [range(max(-k, k - edits), k + 1) for k in range(edits + 1)]
+        anywhere = sum(map(len, shifts)) > low
+
+        def keys(rows, start, k):
+            full = lambda value: np.full(len(rows), value, np.int64)
+            return words.part(start, full(size), full((1 << 40) + (number << 20) + (0 if anywhere else k)), rows)  # noqa: B023
+
+        for k in range(edits + 1):
+            if len(own):
+                yield own, keys(own, k * size, k), 0
+            for shift in () if anywhere else shifts[k]:
+                at = k * size + shift
+                rows = longer[(words.size[longer] >= at + size) & ((shift != 0) | (words.size[longer] >= high))]
+                if len(rows):
+                    yield rows, keys(rows, at, k), 1
+        if anywhere and len(longer):
+            count = words.size[longer] - size + 1
+            rows = np.repeat(longer, count)
+            at = np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)
+            probe = (words.size[rows] >= high) | (at % size != 0) | (at // size > edits)
+            yield rows[probe], keys(rows[probe], at[probe], 0), 1
+
+
 def _blocks(texts: list[str | None], least: int):
     """(row, place, line) of the lines that take part, in blocks of bounded size."""
     rows, places, lines, size = [], [], [], 0
@@ -136,13 +231,13 @@ def _fresh_lines(batches: Iterator[pa.RecordBatch], least: int):
                     yield list(own.values())
 
 
-def shared_keys(docs: DataFrame, edits: int, least: int) -> DataFrame:
+def shared_keys(docs: DataFrame, edits: int, least: int, per: int | None = None) -> DataFrame:
     """(s, class, n, hub, hub_n): lines of keys that several share; n is 0 for a segment and 1 for a probe."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _fresh_lines(batches, least):
             lines = Lines(block)
-            for rows, keys, kind in keys_of(lines, edits):
+            for rows, keys, kind in chain(keys_of(lines, edits), word_keys_of(Words(lines), per) if per else ()):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys), pa.array(lines.ids[rows]), pa.array(np.full(len(rows), kind, np.int32))], names=["s", "class", "n"])
 
@@ -168,9 +263,12 @@ def wanted_lines(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "class bigint, line string").dropDuplicates(["class"])
 
 
-def _stripped(a: str, b: str) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of both without their common ends."""
-    x, y = (np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4") for t in (a, b))
+def _points(line: str) -> np.ndarray:
+    return np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _stripped(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both without their common ends."""
     n = min(len(x), len(y))
     off = x[:n] != y[:n]
     start = int(off.argmax()) if off.any() else n
@@ -186,10 +284,14 @@ def _bag(points: np.ndarray) -> np.ndarray:
 
 
 def within(pairs: list[tuple[str, str]], edits: int) -> np.ndarray:
-    """Which pairs are at most ``edits`` (up to 30) edits apart. The bits of a word are the
+    """Which pairs are at most ``edits`` (up to 30) edits apart."""
+    return _banded([_stripped(_points(a), _points(b)) for a, b in pairs], edits)
+
+
+def _banded(trimmed: list[tuple[np.ndarray, np.ndarray]], edits: int) -> np.ndarray:
+    """Which of the stripped pairs are within ``edits`` (up to 30). The bits of a word are the
     cells of the band around the diagonal; the top bit is the band's lowest row."""
-    close = np.zeros(len(pairs), bool)
-    trimmed = [_stripped(a, b) for a, b in pairs]
+    close = np.zeros(len(trimmed), bool)
     todo = [i for i, (x, y) in enumerate(trimmed) if abs(len(x) - len(y)) <= edits and np.abs(_bag(x) - _bag(y)).sum() <= 2 * edits]
     todo.sort(key=lambda i: len(trimmed[i][1]))
     one = np.uint64(1)
@@ -225,33 +327,92 @@ def within(pairs: list[tuple[str, str]], edits: int) -> np.ndarray:
     return close
 
 
-def verify(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+def distance(x: np.ndarray, y: np.ndarray) -> int:
+    """Edit distance with bit vectors as long as x."""
+    if not len(x) or not len(y):
+        return max(len(x), len(y))
+    has: dict[int, int] = {}
+    for i, value in enumerate(x.tolist()):
+        has[value] = has.get(value, 0) | 1 << i
+    mask, top, score = (1 << len(x)) - 1, 1 << (len(x) - 1), len(x)
+    up, down = mask, 0
+    for value in y.tolist():
+        same = has.get(value, 0)
+        diagonal = (((same & up) + up) ^ up) | same | down
+        right, left = (down | ~(diagonal | up)) & mask, diagonal & up
+        score += bool(right & top) - bool(left & top)
+        right, left = (right << 1 | 1) & mask, left << 1
+        up, down = (left | ~(diagonal | right)) & mask, right & diagonal
+    return score
+
+
+def words_within(words: Words, left: np.ndarray, right: np.ndarray, per: int) -> np.ndarray:
+    """Which pairs of rows are at most the limit of the shorter one apart, in words."""
+    close = np.zeros(len(left), bool)
+    limits = limits_of(np.minimum(words.size[left], words.size[right]), per)
+    live = (limits > 0) & (np.abs(words.size[left] - words.size[right]) <= limits)
+    for limit in np.unique(limits[live]).tolist():
+        at = np.flatnonzero(live & (limits == limit))
+        trimmed = [_stripped(words.of(left[i]), words.of(right[i])) for i in at]
+        close[at] = _banded(trimmed, limit) if limit <= 30 else [distance(x, y) <= limit for x, y in trimmed]
+    return close
+
+
+def near(pairs: list[tuple[str, str]], edits: int, per: int | None = None) -> np.ndarray:
+    close = within(pairs, edits)
+    if per:
+        part, size = [], 0
+        for i in [*np.flatnonzero(~close).tolist(), None]:
+            if i is None or size > BLOCK_CHARS:
+                both = [x for k in part for x in pairs[k]]
+                if both:
+                    close[part] = words_within(Words(Lines(both)), np.arange(0, len(both), 2), np.arange(1, len(both), 2), per)
+                part, size = [], 0
+            if i is not None:
+                part.append(i)
+                size += len(pairs[i][0]) + len(pairs[i][1])
+    return close
+
+
+def verify(pairs: DataFrame, texts: DataFrame, edits: int, per: int | None = None) -> DataFrame:
     left, right = (texts.select(F.col("class").alias(k), F.col("line").alias(f"{k}_line")) for k in "ab")
     both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "a_line", "b_line")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = within(list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())), edits)
+        keep = near(list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())), edits, per)
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
     return in_batches(both, "a bigint, b bigint", work, 4096)
 
 
-def _tile_links(cls, kind, comp, lines: list[str], edits: int) -> list[tuple[int, int]]:
+def _tile_links(cls, kind, comp, lines: list[str], edits: int, per: int | None = None) -> list[tuple[int, int]]:
     """Links of a tile between different components, enough to join what belongs together."""
     size, links = np.fromiter(map(len, lines), np.int64, len(lines)), []
-    bags = np.stack([_bag(np.frombuffer(x.encode("utf-32-le", "surrogatepass"), "<u4")) for x in lines])
+    bags = np.stack([_bag(_points(x)) for x in lines])
+    if per:
+        words = Words(Lines(lines))
+        word_bags, limits = np.stack([_bag(words.of(i)) for i in range(len(lines))]), limits_of(words.size, per)
     comp = comp.copy()
     for i in np.flatnonzero(kind == 0).tolist():
-        rows = np.flatnonzero((comp != comp[i]) & (np.abs(size - size[i]) <= edits) & ((kind == 1) | (cls > cls[i])))
-        rows = rows[np.abs(bags[rows] - bags[i]).sum(axis=1) <= 2 * edits].tolist()
-        for j, ok in zip(rows, within([(lines[i], lines[j]) for j in rows], edits)):
-            if ok and comp[i] != comp[j]:
+        rows = np.flatnonzero((comp != comp[i]) & ((kind == 1) | (cls > cls[i])))
+        alike = rows[np.abs(size[rows] - size[i]) <= edits]
+        alike = alike[np.abs(bags[alike] - bags[i]).sum(axis=1) <= 2 * edits]
+        found = alike[within([(lines[i], lines[j]) for j in alike.tolist()], edits)]
+        if per:
+            rows = rows[~np.isin(comp[rows], comp[found])]
+            limit = np.minimum(limits[rows], limits[i])
+            able = (limit > 0) & (np.abs(words.size[rows] - words.size[i]) <= limit)
+            rows, limit = rows[able], limit[able]
+            rows = rows[np.abs(word_bags[rows] - word_bags[i]).sum(axis=1) <= 2 * limit]
+            found = np.concatenate([found, rows[words_within(words, np.full(len(rows), i), rows, per)]])
+        for j in found.tolist():
+            if comp[i] != comp[j]:
                 comp[comp == comp[j]] = comp[i]
                 links.append((int(cls[i]), int(cls[j])))
     return links
 
 
-def tile_links(runs: DataFrame, label: DataFrame, docs: DataFrame, edits: int, least: int) -> DataFrame:
+def tile_links(runs: DataFrame, label: DataFrame, docs: DataFrame, edits: int, least: int, per: int | None = None) -> DataFrame:
     rows = runs.select("s", "class", "n").join(label, F.col("class") == F.col("node"), "left")
     rows = rows.select("s", "class", "n", F.coalesce("component", "class").alias("comp"))
     mixed = rows.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo != hi")
@@ -268,7 +429,7 @@ def tile_links(runs: DataFrame, label: DataFrame, docs: DataFrame, edits: int, l
         def close():
             whole = pa.Table.from_batches(held)
             cls, kind, comp = (whole.column(k).to_numpy() for k in ("class", "n", "comp"))
-            links = _tile_links(cls, kind, comp, whole.column("line").to_pylist(), edits)
+            links = _tile_links(cls, kind, comp, whole.column("line").to_pylist(), edits, per)
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
         for batch in batches:
@@ -290,24 +451,24 @@ def tile_links(runs: DataFrame, label: DataFrame, docs: DataFrame, edits: int, l
     return rows.select("s", "i", "j", "class", "n", "comp", "line").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
+def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS, per: int | None = None) -> DataFrame:
     """(node, component) of lines, by hash, that have a near copy; of the column text."""
-    runs = stored(shared_keys(docs, edits, least), "line-runs")
+    runs = stored(shared_keys(docs, edits, least, per), "line-runs")
     met = runs.where("class != hub").groupBy("class", "hub").agg(F.count("*").alias("times"))
     first = met.groupBy("class").agg(F.max_by("hub", F.struct("times", "hub")).alias("hub"))
     first = stored(first.select(F.col("hub").alias("a"), F.col("class").alias("b")), "line-first")
     wanted = first.select(F.explode(F.array("a", "b")).alias("class"))
-    edges = stored(verify(first, wanted_lines(docs, wanted, least), edits), "line-edges")
+    edges = stored(verify(first, wanted_lines(docs, wanted, least), edits, per), "line-edges")
     label = components(edges)
-    more = stored(tile_links(runs, label, docs, edits, least), "line-edges")
+    more = stored(tile_links(runs, label, docs, edits, least, per), "line-edges")
     return label if more.isEmpty() else components(edges.unionByName(more))
 
 
-def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
+def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS, least: int = LEAST_CHARS, per: int | None = None) -> DataFrame:
     """The documents with the text lacking later copies of lines, and n_lines and n_dropped."""
     row = F.xxhash64(F.col(f"`{text}`"))
     plain = docs.select(F.col(f"`{key}`").alias("doc"), row.alias("row"), F.col(f"`{text}`").alias("text"))
-    label = line_classes(plain, edits, least)
+    label = line_classes(plain, edits, least, per)
     seen = stored(occurrences(plain, least), "lines")
     place = F.struct("doc", "row", "place")
     lines = seen.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("n"))
@@ -329,10 +490,10 @@ def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int =
         F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
-def without_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
+def without_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS, least: int = LEAST_CHARS, per: int | None = None) -> DataFrame:
     """The documents without later copies of lines, in the columns they had. A
     document of which nothing but blanks is left goes: all of it is elsewhere."""
     own, back = aside(docs, "n_lines", "n_dropped", "_row")
-    kept = dedup(own, text, key, edits, least)
+    kept = dedup(own, text, key, edits, least, per)
     gone = (F.col("n_dropped") > 0) & (F.length(F.trim(F.col(f"`{text}`"), F.lit(BLANKS))) == 0)
     return back(kept.where(~gone))

@@ -289,6 +289,47 @@ def test_line_dedup(spark, empty, monkeypatch, tile):
     assert linededup.dedup(empty).count() == 0
 
 
+def test_word_limits_grow_with_the_line():
+    rng = random.Random(3)
+    lines = []
+    for n in (9, 10, 25, 50, 90, 300, 900):
+        line = [f"w{rng.randrange(30)}" for _ in range(n)]
+        for _ in range(8 if n < 300 else 3):
+            other = line[:]
+            for _ in range(rng.randrange(0, max(2, n // 12))):
+                k = rng.randrange(len(other) + 1)
+                other[k:k + rng.randrange(2)] = rng.choice([[], ["new"], ["w1"]])
+            lines.append(" ".join(other))
+    words = linededup.Words(linededup.Lines(lines))
+    assert words.size.tolist() == [len(x.split()) for x in lines]
+    shared = [set() for _ in lines]
+    kinds = [set() for _ in lines]
+    for rows, keys, kind in linededup.word_keys_of(words, 20):
+        for r, k in zip(rows.tolist(), keys.tolist()):
+            (kinds if kind else shared)[r].add(k)
+    pairs = list(itertools.combinations(range(len(lines)), 2))
+    limits = linededup.limits_of(np.array([min(words.size[a], words.size[b]) for a, b in pairs]), 20)
+    want = []
+    for (a, b), limit in zip(pairs, limits.tolist()):
+        close = limit and abs(int(words.size[a] - words.size[b])) <= limit and edits(lines[a].split(), lines[b].split()) <= limit
+        want.append(bool(close))
+        if close:  # no pair within the limit lacks a common key
+            assert shared[a] & (shared[b] | kinds[b]) or shared[b] & kinds[a]
+    assert linededup.words_within(words, *np.array(pairs).T, 20).tolist() == want and 10 < sum(want) < len(want) - 10
+
+
+def test_near_lines_of_one_changed_word(spark):
+    rng = random.Random(2)
+    long = " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(50))
+    assert 295 <= len(long) <= 305
+    changed = long.split()
+    changed[20] = "replacement"
+    many = [w if i % 3 else "other" for i, w in enumerate(long.split())]
+    docs = spark.createDataFrame([(0, long), (1, " ".join(changed)), (2, " ".join(many))], "doc_id bigint, text string")
+    kept = linededup.without_copies(docs, per=linededup.WORDS_PER_EDIT)
+    assert {r["doc_id"] for r in kept.collect()} == {0, 2}
+
+
 # --- language model -----------------------------------------------------------------------------
 
 def test_language_model_equals_plain_python(corpus, empty):
