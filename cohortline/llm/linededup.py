@@ -24,8 +24,8 @@ over many pairs at once. Components of all links found are the line classes; no
 link is left out. ``dedup`` drops a line where its class has an earlier one, by
 (document id, place), and keeps everything else of the text as it is.
 
-Null text stays null, an empty one empty. Lines that are too short are left
-alone. Rows with equal id and text are one document. Only id and text are used,
+Null text stays null, an empty one empty. Lines below ``least`` are left alone,
+or with ``short`` are copies where they are equal (blank lines always stay). Rows with equal id and text are one document. Only id and text are used,
 so other columns may have any names.
 """
 
@@ -464,12 +464,12 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS,
     return label if more.isEmpty() else components(edges.unionByName(more))
 
 
-def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS, least: int = LEAST_CHARS, per: int | None = None) -> DataFrame:
+def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS, least: int = LEAST_CHARS, per: int | None = None, short: bool = False) -> DataFrame:
     """The documents with the text lacking later copies of lines, and n_lines and n_dropped."""
     row = F.xxhash64(F.col(f"`{text}`"))
     plain = docs.select(F.col(f"`{key}`").alias("doc"), row.alias("row"), F.col(f"`{text}`").alias("text"))
     label = line_classes(plain, edits, least, per)
-    seen = stored(occurrences(plain, least), "lines")
+    seen = stored(occurrences(plain, 1 if short else least), "lines")
     place = F.struct("doc", "row", "place")
     lines = seen.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     lines = lines.join(label, F.col("line") == F.col("node"), "left").withColumn("class", F.coalesce("component", "line"))
@@ -490,10 +490,10 @@ def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int =
         F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
-def without_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS, least: int = LEAST_CHARS, per: int | None = None) -> DataFrame:
+def without_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS, least: int = LEAST_CHARS, per: int | None = None, short: bool = False) -> DataFrame:
     """The documents without later copies of lines, in the columns they had. A
     document of which nothing but blanks is left goes: all of it is elsewhere."""
     own, back = aside(docs, "n_lines", "n_dropped", "_row")
-    kept = dedup(own, text, key, edits, least, per)
+    kept = dedup(own, text, key, edits, least, per, short)
     gone = (F.col("n_dropped") > 0) & (F.length(F.trim(F.col(f"`{text}`"), F.lit(BLANKS))) == 0)
     return back(kept.where(~gone))

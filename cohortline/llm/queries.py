@@ -165,7 +165,7 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op2_line_dedup")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
-    kept = linededup.dedup(table(spark, folder, "documents"), per=linededup.WORDS_PER_EDIT)
+    kept = linededup.dedup(table(spark, folder, "documents"), per=linededup.WORDS_PER_EDIT, short=True)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 

@@ -26,7 +26,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return linededup.without_copies(docs, per=linededup.WORDS_PER_EDIT)
+    return linededup.without_copies(docs, per=linededup.WORDS_PER_EDIT, short=True)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

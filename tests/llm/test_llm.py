@@ -330,6 +330,14 @@ def test_near_lines_of_one_changed_word(spark):
     assert {r["doc_id"] for r in kept.collect()} == {0, 2}
 
 
+def test_equal_short_lines_go(spark):
+    text = "Released under MIT.\n\n  A line of forty characters and some more.\nend"
+    docs = spark.createDataFrame([(0, text), (1, text), (2, "end\nown\n"), (3, None), (4, ""), (5, "End")], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup(docs, short=True).collect()}
+    assert got == {0: text, 1: "", 2: "own\n", 3: None, 4: "", 5: "End"}
+    assert {r["doc_id"] for r in linededup.without_copies(docs, short=True).collect()} == {0, 2, 3, 4, 5}
+
+
 # --- language model -----------------------------------------------------------------------------
 
 def test_language_model_equals_plain_python(corpus, empty):
