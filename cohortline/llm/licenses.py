@@ -8,8 +8,9 @@ probability below which a prediction counts as unknown. A predicted family is
 confirmed where the paragraph holds enough of the features of one of its
 templates.
 
-A paragraph is a line. Every line with one of the marks (such as ``licen``) is
-judged; a line without any is no licence notice by definition, and the marks
+Every line with one of the marks (such as ``licen``) is judged by itself, and
+where that leaves it unknown, joined with the nearest lines that hold words, so
+that wrapped notices are whole again; a line without any is no licence notice by definition, and the marks
 are looked for in whole texts before anything is split. Built-in functions and
 JVM models only. Null and empty texts have no paragraphs; rows with equal id and
 text are judged once. An empty table gives no rows.
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 UNKNOWN = "unknown"
 VARIANTS = 24
 SAMPLE_LINES = 2_000     # bound of the corpus's own lines to learn from
+NEAR_LINES = 24          # lines with words joined on each side of a mark,
+NEAR_CHARS = 2_000       # and signs of them, several times the longest template
 CONFIRMED = 0.6          # share of a template's features that a paragraph must hold
 
 # Marks, one of which every licence notice holds.
@@ -203,13 +206,18 @@ def scan(docs: DataFrame, scanner: Scanner, text: str = "text", key: str = "doc_
     """(key, line, family, probability, template, overlap) of every line with a mark;
     the family is unknown where it is not sure enough or not confirmed."""
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("row"), F.col(f"`{text}`").alias("text")).where(marked(F.col("text")))
-    rows = rows.select("key", "row", F.posexplode(F.split("text", "\n", -1)).alias("line", "paragraph")).where(marked(F.col("paragraph")))
+    rows = rows.select("key", "row", F.filter(F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("line"), x.alias("text"))), lambda x: x["text"].rlike(r"[\p{L}\p{N}]")).alias("lines"))
+    rows = rows.select("key", "row", "lines", F.posexplode("lines").alias("at", "own")).where(marked(F.col("own.text")))
+    before = F.expr(f"right(array_join(slice(lines, greatest(at - {NEAR_LINES}, 0) + 1, least(at, {NEAR_LINES})).text, ' '), {NEAR_CHARS})")
+    after = F.expr(f"left(array_join(slice(lines, at + 2, {NEAR_LINES}).text, ' '), {NEAR_CHARS})")
+    both = F.array(F.col("own.text"), F.concat_ws(" ", before, F.col("own.text"), after))
+    rows = rows.select("key", "row", F.col("own.line").alias("line"), F.posexplode(both).alias("wide", "paragraph"))
     rows = rows.withColumn("words", words(F.col("paragraph")))
-    grams = rows.select("key", "row", "line", F.explode_outer(features("words")).alias("feature"))
+    grams = rows.select("key", "row", "line", "wide", F.explode_outer(features("words")).alias("feature"))
     found = grams.join(F.broadcast(scanner.table), "feature", "left")  # bounded by the templates
     sums = [F.coalesce(F.sum(F.get("weights", F.lit(k))), F.lit(0.0)).alias(f"z{k}") for k in range(len(scanner.classes))]
     held = [F.count(F.when(F.array_contains("templates", t), 1)).alias(f"h{t}") for t in range(len(scanner.templates))]
-    one = found.dropDuplicates(["key", "row", "line", "feature"]).groupBy("key", "row", "line").agg(*sums, *held)
+    one = found.dropDuplicates(["key", "row", "line", "wide", "feature"]).groupBy("key", "row", "line", "wide").agg(*sums, *held)
     one = one.withColumn("p", F.array(*[F.col(f"z{k}") + b for k, b in enumerate(scanner.bias)]))
     one = one.withColumn("p", F.expr("transform(p, x -> exp(x - array_max(p)))")).withColumn("p", F.expr("transform(p, x -> x / aggregate(p, 0D, (a, b) -> a + b))"))
     best = F.array_max(F.expr(f"transform(slice(p, 2, {len(scanner.classes) - 1}), (x, k) -> struct(x AS p, -k AS k))"))
@@ -217,6 +225,11 @@ def scan(docs: DataFrame, scanner: Scanner, text: str = "text", key: str = "doc_
     hold = [F.when(F.col("family") == f, F.struct((F.col(f"h{t}") / n).alias("overlap"), F.lit(-t).alias("t"))) for t, (f, n) in enumerate(scanner.templates) if n]
     one = one.withColumn("near", F.array_max(F.array(*hold)))
     sure = (F.col("best.p") >= scanner.least) & (F.get("p", F.lit(0)) < F.col("best.p")) & (F.col("near.overlap") >= CONFIRMED)
+    # The line by itself where it is sure, else with its neighbours where these are.
+    one = one.withColumn("sure", F.coalesce(sure, F.lit(False)))
+    fields = F.struct("sure", (-F.col("wide")).alias("narrow"), "family", "best", "near")
+    one = one.groupBy("key", "row", "line").agg(F.max(fields).alias("judged")).select("key", "row", "line", "judged.*")
+    sure = F.col("sure")
     return one.select(
         F.col("key").alias(key), F.col("line"), F.when(sure, F.col("family")).otherwise(UNKNOWN).alias("family"),
         F.when(sure, F.col("best.p")).otherwise(1 - F.col("best.p")).alias("probability"),

@@ -501,3 +501,18 @@ def test_licence_scan(spark, corpus, empty):
     assert {found[900 + i] for i in range(len(licenses.OTHERS))} == {"unknown"} and found[803] == "unknown"
     assert not {800, 801, 802} & set(found)
     assert licenses.scan(empty, scanner).count() == 0
+
+
+def test_wrapped_notices(spark, corpus):
+    import textwrap
+
+    scanner = licenses.train(corpus)
+    notes = [(f, t) for f, texts in licenses.TEMPLATES.items() for t in texts]
+    rows = []
+    for k, width in enumerate((72, 40)):
+        for i, (_, t) in enumerate(notes):
+            rows.append((100 * k + i, "int main() {}\n\n" + "\n".join(" * " + x for x in textwrap.wrap(t, width, break_on_hyphens=False)) + "\n\nSome words after."))
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), scanner).collect()
+    for k in range(2):
+        for i, (family, _) in enumerate(notes):
+            assert {r["family"] for r in got if r["doc_id"] == 100 * k + i} == {family}
