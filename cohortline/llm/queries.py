@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import bpe, hnsw, jaccard, langid, licenses, linededup, lm, packing, quality, warc
+from cohortline.llm import bpe, hnsw, jaccard, langid, licenses, linededup, lm, merkle, packing, quality, warc
 from cohortline.llm.common import crc32_text, stored, table
 from cohortline.session import scratch_path
 
@@ -173,3 +173,70 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return licenses.scan(docs, licenses.train(docs))
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ("doc_id", "source", "lang", "n_chars", text)
+    return "sha256(concat(" + ", ".join(
+        f"coalesce(concat(octet_length(encode(CAST({c} AS VARCHAR))), ':', CAST({c} AS VARCHAR)), '-')" for c in fields) + "))"
+
+
+# CRC-32 of the decimal doc_id, bit by bit.
+_CRC_SQL = """xor(list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+_LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op13_merkle_manifest", f"""
+WITH RECURSIVE l AS (
+  SELECT row_number() OVER () AS id, doc_id, source, {_leaf_sql('text')} AS leaf, {_leaf_sql(_LOWER_SQL)} AS lowered
+  FROM documents),
+p AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+             count(*) OVER (PARTITION BY source) AS n FROM l),
+up(source, lvl, pos, node, n) AS (
+  SELECT source, 0, pos, leaf, n FROM p
+  UNION ALL
+  SELECT source, lvl + 1, pos // 16, sha256(string_agg(node, '' ORDER BY pos)), (max(n) + 15) // 16
+  FROM up WHERE n > 1 GROUP BY source, lvl, pos // 16),
+subs AS (SELECT source, node, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top(lvl, pos, node, n) AS (
+  SELECT 0, pos, node, n FROM subs
+  UNION ALL
+  SELECT lvl + 1, pos // 16, sha256(string_agg(node, '' ORDER BY pos)), (max(n) + 15) // 16
+  FROM top WHERE n > 1 GROUP BY lvl, pos // 16),
+nodes AS (
+  SELECT 0 AS tree, source, lvl, pos, node, n FROM up UNION ALL SELECT 1, NULL, lvl, pos, node, n FROM top),
+sides AS (
+  SELECT a.tree, a.source, a.lvl, a.pos,
+         coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.source IS NOT DISTINCT FROM b.source AND a.lvl = b.lvl AND a.pos // 16 = b.pos // 16
+  WHERE a.n > 1 GROUP BY ALL),
+steps AS (
+  SELECT id, tree, lvl, l, r FROM p JOIN sides s ON s.tree = 0 AND s.source IS NOT DISTINCT FROM p.source AND s.pos = p.pos // CAST(pow(16, lvl) AS BIGINT)
+  UNION ALL
+  SELECT id, tree, lvl, l, r FROM p JOIN subs g ON g.source IS NOT DISTINCT FROM p.source
+  JOIN sides s ON s.tree = 1 AND s.pos = g.pos // CAST(pow(16, lvl) AS BIGINT)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY tree, lvl) AS step FROM steps),
+proofs AS (SELECT id, sha256(string_agg(l || r, '' ORDER BY step)) AS proof_sha256 FROM numbered GROUP BY id),
+folded(id, step, node) AS (
+  SELECT id, CAST(0 AS BIGINT), CASE WHEN crc % 5 = 0 THEN lowered ELSE leaf END
+  FROM (SELECT *, {_CRC_SQL} AS crc FROM p)
+  UNION ALL
+  SELECT f.id, s.step, sha256(s.l || f.node || s.r) FROM folded f JOIN numbered s ON s.id = f.id AND s.step = f.step + 1),
+last AS (SELECT id, node AS folded_root FROM folded QUALIFY row_number() OVER (PARTITION BY id ORDER BY step DESC) = 1)
+SELECT p.doc_id, p.leaf, g.node AS subroot, t.node AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+       folded_root = t.node AS verified
+FROM p JOIN subs g ON g.source IS NOT DISTINCT FROM p.source JOIN (SELECT node FROM top WHERE n = 1) t ON true
+JOIN last USING (id) LEFT JOIN proofs USING (id)""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    column = lambda text: [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(crc32_text("doc_id") % 5 == 0, merkle.leaf(*column(lowered)))
+    built = merkle.build(docs, column(F.col("text")), F.col("doc_id"), F.col("source"), {"doc_id": F.col("doc_id"), "tampered": tampered})
+    rows = built.proofs().withColumn("folded_root", merkle.fold(F.coalesce("own.tampered", "leaf"), F.col("path")))
+    return rows.select(
+        "own.doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
