@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import bpe, hnsw, jaccard, langid, licenses, linededup, lm, merkle, packing, quality, warc
+from cohortline.llm import bpe, divergence, hnsw, jaccard, langid, licenses, linededup, lm, merkle, packing, quality, warc
 from cohortline.llm.common import crc32_text, stored, table
 from cohortline.session import scratch_path
 
@@ -240,3 +240,37 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(
         "own.doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op12_source_divergence", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+tok AS (SELECT id, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS whole FROM tok GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM tok JOIN k USING (lang, term) GROUP BY ALL),
+l AS (SELECT lang, count(*) AS v, sum(whole) AS whole_total FROM k GROUP BY lang),
+g AS (
+  SELECT lang, source, coalesce(total, 0) AS total, coalesce(whole_total, 0) AS whole_total, coalesce(v, 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) USING (lang, source) LEFT JOIN l USING (lang)),
+s AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+         CAST(1 + 1000000000 * (coalesce(n, 0) + 1) // (total + v) AS BIGINT) AS p,
+         CAST(1 + 1000000000 * (whole + 1) // (whole_total + v) AS BIGINT) AS q
+  FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM s WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 200""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
