@@ -26,6 +26,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the files behind a frame from ``stored`` that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame, *keys) -> DataFrame:
     """Hash rows over the session's shuffle partitions."""
     return df.repartition(shuffle_partitions(df.sparkSession), *keys)

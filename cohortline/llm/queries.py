@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import bpe, divergence, hnsw, jaccard, langid, licenses, linededup, lm, merkle, packing, quality, warc
+from cohortline.llm import bpe, divergence, hnsw, jaccard, langid, licenses, linededup, lm, merkle, packing, quality, repeats, warc
 from cohortline.llm.common import crc32_text, stored, table
 from cohortline.session import scratch_path
 
@@ -274,3 +274,23 @@ SELECT lang, source, part, item, value,
 FROM r QUALIFY part = 'pair' OR rank <= 200""")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
+
+
+@query("op11_substring_dedup", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, doc_id,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+w AS (SELECT id, i, array_to_string(words[i:i + 34], ' ') AS seq FROM (SELECT id, words, unnest(range(1, len(words) - 33)) AS i FROM d)),
+r AS (SELECT id, i FROM w QUALIFY count(*) OVER (PARTITION BY seq) > 1),
+gone AS (SELECT DISTINCT id, unnest(range(i, i + 35)) AS i FROM r),
+k AS (
+  SELECT a.id, string_agg(word, ' ' ORDER BY a.i) FILTER (g.i IS NULL) AS kept, count(g.i) AS n_removed
+  FROM (SELECT id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d) a LEFT JOIN gone g ON a.id = g.id AND a.i = g.i
+  GROUP BY a.id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (id)""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    kept = repeats.remove(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))

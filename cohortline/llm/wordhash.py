@@ -88,6 +88,17 @@ def shingles(words: Words, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(owners), np.concatenate(values)
 
 
+def rolling(hashes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
+    """The hash of each run of ``width`` neighbouring hashes; another seed gives an independent hash."""
+    n = len(hashes) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    with np.errstate(over="ignore"):
+        own = mix(hashes + np.uint64(seed)) if seed else hashes
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own * _power(len(own), False), dtype=np.uint64)])
+        return mix((total[width:] - total[:n]) * _power(n, True))
+
+
 def shingle_sets(texts: list[str | None], width: int = 5, most_bytes: int = 4_000_000) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text; null has none."""
     for block in blocks(texts, most_bytes):
