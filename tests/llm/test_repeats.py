@@ -46,11 +46,11 @@ def texts(width: int) -> list[str | None]:
         out.append(rng.choice([" ", "\n", "  \t"]).join(parts))
     out += ["same " * (width + 1), "same " * (width - 1), "x y " * (2 * width)]  # overlaps in one document
     out += [" ".join(run(30_000)) + " " + " ".join(shared[4]), out[5], out[6], out[6], out[9]]
-    out += [out[6].upper(), out[6].replace(" ", " ")]  # other case; a blank that is part of words
+    out += [out[6].upper(), out[6].replace(" ", "\u00a0")]  # other case; a blank that is part of words
     return out
 
 
-@pytest.mark.parametrize("width", [35, 8, 2])
+@pytest.mark.parametrize("width", [35, 8, 5])
 def test_equals_plain_python(spark, width):
     rows = [(i, t) for i, t in enumerate(texts(width))]
     rows += [(None, rows[7][1]), rows[8], rows[8]]
