@@ -9,8 +9,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from cohortline.functions.quantiles import SMALL, exact_quantiles
+from cohortline.functions.quantiles import exact_quantiles
 from cohortline.operators.profile import category_counts
 from cohortline.session import durable
 
@@ -57,17 +58,24 @@ class MissingIndicators:
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
-    """Most frequent value per column, the smallest one on a tie.
+    """Most frequent value per numeric column, the smallest one on a tie.
 
-    Values are counted per (column, value) first; ``mode`` as an aggregate
-    would hold every distinct value in one task.
+    One job counts by (column, value); ``mode`` as an aggregate would hold
+    every distinct value in one task.
     """
-    out: dict[str, object] = {}
-    for c in columns:
-        counts = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-        top = counts.orderBy(F.desc("_n"), F.asc(c)).first()
-        out[c] = top[c] if top else None
-    return out
+    if not columns:
+        return {}
+    integral = {c: isinstance(df.schema[c].dataType, IntegralType) for c in columns}
+    pairs = F.array(*[
+        F.struct(F.lit(i).alias("column"), *[
+            (F.col(f"`{c}`") if integral[c] == whole else F.lit(None)).cast(kind).alias(kind)
+            for whole, kind in ((True, "long"), (False, "double"))])
+        for i, c in enumerate(columns)])
+    counts = df.select(F.inline(pairs)).where("long IS NOT NULL OR double IS NOT NULL")
+    counts = counts.groupBy("column", "long", "double").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy("column").agg(F.min(F.struct(-F.col("n"), "long", "double")).alias("top")).collect()
+    found = {columns[r["column"]]: r["top"]["long"] if integral[columns[r["column"]]] else r["top"]["double"] for r in best}
+    return {c: found.get(c) for c in columns}
 
 
 @dataclass(frozen=True)
@@ -79,7 +87,7 @@ class Imputer:
     @classmethod
     def fit(
         cls, df: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[str] = (),
-        strategy: str = "median", small: int = SMALL,
+        strategy: str = "median",
     ) -> Imputer:
         if strategy not in STRATEGIES:
             raise ValueError(f"unknown strategy {strategy!r}")
@@ -90,7 +98,7 @@ class Imputer:
             row = df.agg(*[F.avg(c).alias(c) for c in numeric]).first()
             values.update({c: row[c] for c in numeric})
         elif strategy == "median":
-            values.update({c: v[0] for c, v in exact_quantiles(df, numeric, (0.5,), small=small).items()})
+            values.update({c: v[0] for c, v in exact_quantiles(df, numeric, (0.5,)).items()})
         elif numeric:
             values.update(modes(df, numeric))
         if categorical:

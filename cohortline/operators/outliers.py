@@ -8,14 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.functions.quantiles import SMALL, exact_quantiles
+from cohortline.functions.quantiles import exact_quantiles
 
 Bounds = dict[str, tuple[float | None, float | None]]
 
 
-def bounds_iqr(df: DataFrame, columns: Sequence[str], factor: float = 1.5, small: int = SMALL) -> Bounds:
+def bounds_iqr(df: DataFrame, columns: Sequence[str], factor: float = 1.5) -> Bounds:
     out: Bounds = {}
-    for c, (q1, q3) in exact_quantiles(df, columns, (0.25, 0.75), small=small).items():
+    for c, (q1, q3) in exact_quantiles(df, columns, (0.25, 0.75)).items():
         out[c] = (None, None) if q1 is None else (q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
     return out
 
@@ -33,10 +33,8 @@ def bounds_zscore(df: DataFrame, columns: Sequence[str], threshold: float = 3.0)
     return out
 
 
-def bounds_winsorize(
-    df: DataFrame, columns: Sequence[str], limits: Sequence[float] = (0.01, 0.99), small: int = SMALL,
-) -> Bounds:
-    return {c: tuple(v) for c, v in exact_quantiles(df, columns, limits, small=small).items()}
+def bounds_winsorize(df: DataFrame, columns: Sequence[str], limits: Sequence[float] = (0.01, 0.99)) -> Bounds:
+    return {c: tuple(v) for c, v in exact_quantiles(df, columns, limits).items()}
 
 
 _METHODS = {"iqr": bounds_iqr, "zscore": bounds_zscore, "winsorize": bounds_winsorize}

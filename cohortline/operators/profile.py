@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortline import defaults as D
-from cohortline.functions.quantiles import SMALL, exact_quantiles
+from cohortline.functions.quantiles import exact_quantiles
 from cohortline.functions.scalar import band
 
 
@@ -51,10 +51,10 @@ def null_profile(df: DataFrame) -> DataFrame:
     return unpivot_one(row, [*names, "(total)"], {"null_count": "n", "null_ratio": "r"})
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None, small: int = SMALL) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, quartiles and max per numeric column."""
     columns = list(columns or numeric_columns(df))
-    quartiles = exact_quantiles(df, columns, (0.25, 0.5, 0.75), small=small)
+    quartiles = exact_quantiles(df, columns, (0.25, 0.5, 0.75))
     aggregates = []
     for c in columns:
         v = F.col(c).cast("double")
@@ -70,8 +70,8 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, small: int = S
     return unpivot_one(row, columns, {f: f for f in fields})
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], small: int = SMALL) -> DataFrame:
-    found = exact_quantiles(df, columns, probabilities, small=small)
+def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    found = exact_quantiles(df, columns, probabilities)
     rows = [(c, float(p), v) for c in columns for p, v in zip(probabilities, found[c])]
     return df.sparkSession.createDataFrame(rows, "column_name string, probability double, value double")
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.functions.quantiles import SMALL, exact_quantiles
+from cohortline.functions.quantiles import exact_quantiles, landmarks
 
 
 @dataclass(frozen=True)
@@ -20,12 +20,12 @@ class Scaler:
     parameters: dict[str, tuple[float, float]] = field(default_factory=dict)
 
     @classmethod
-    def fit(cls, df: DataFrame, columns: Sequence[str], method: str = "standard", small: int = SMALL) -> Scaler:
+    def fit(cls, df: DataFrame, columns: Sequence[str], method: str = "standard") -> Scaler:
         columns = [c for c in columns if c in df.columns]
         if not columns:
             return cls()
         if method == "robust":
-            found = exact_quantiles(df, columns, (0.25, 0.5, 0.75), small=small)
+            found = exact_quantiles(df, columns, (0.25, 0.5, 0.75))
             pairs = {c: (q2, None if q1 is None else q3 - q1) for c, (q1, q2, q3) in found.items()}
         elif method in ("standard", "minmax"):
             center, width = {
@@ -95,20 +95,10 @@ class QuantileNormal:
     landmarks: dict[str, tuple[float, ...]] = field(default_factory=dict)
 
     @classmethod
-    def fit(cls, df: DataFrame, columns: Sequence[str], points: int = 1000, accuracy: int = 100_000) -> QuantileNormal:
-        """Landmarks from one mergeable sketch per column, rank error 1 / accuracy.
-
-        The landmarks only draw a curve of ``points`` pieces, so a rank error a
-        hundred times smaller than a piece does not show.
-        """
-        columns = [c for c in columns if c in df.columns]
-        if not columns:
-            return cls()
-        shares = ", ".join(f"{i / (points - 1)!r}D" for i in range(points))
-        row = df.agg(*[
-            F.expr(f"percentile_approx(CAST(`{c}` AS DOUBLE), array({shares}), {accuracy})").alias(c) for c in columns
-        ]).first()
-        return cls({c: tuple(row[c]) for c in columns if row[c]})
+    def fit(cls, df: DataFrame, columns: Sequence[str], points: int = 1000) -> QuantileNormal:
+        """Exact landmarks: interpolated quantiles at ``points`` evenly spaced shares, or one per row if rows are fewer."""
+        found = landmarks(df, [c for c in columns if c in df.columns], points)
+        return cls({c: tuple(marks) for c, marks in found.items()})
 
     def cdf(self, column: str) -> Column:
         """Mean of the interpolations from below and from above, as ties need."""

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortline.functions.quantiles import running_sums
 from cohortline.operators.profile import unpivot_one
 
-BUCKETS = 10_000
-
 
 def confusion(df: DataFrame, label: str = "label", probability: str = "probability", threshold: float = 0.5) -> DataFrame:
     """tp, fp, tn, fn at a threshold: one aggregate."""
@@ -37,36 +36,21 @@ def classification_metrics(df: DataFrame, **columns) -> DataFrame:
 
 
 def _by_score(df: DataFrame, label: str, probability: str) -> DataFrame:
-    """Positives and negatives per distinct score, with its coarse bucket."""
+    """Positives and negatives per distinct score."""
     p = F.col(probability)
     return (
         df.filter(p.isNotNull() & F.col(label).isNotNull())
         .groupBy(p.alias("score"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
-        .withColumn("_bucket", F.least(F.floor(F.col("score") * BUCKETS), F.lit(BUCKETS - 1)).cast("int"))
     )
 
 
 def _ahead(df: DataFrame, label: str, probability: str) -> DataFrame:
-    """Per distinct score the positives and negatives with a strictly higher score.
-
-    Sums over higher buckets come from a table of at most 10,000 rows, sums
-    inside a bucket from a window per bucket, so no window covers all scores.
-    """
-    scores = _by_score(df, label, probability)
-    totals = scores.groupBy("_bucket").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
-    before = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "_bucket",
-        F.coalesce(F.sum("_pos").over(before), F.lit(0)).alias("_pos_off"),
-        F.coalesce(F.sum("_neg").over(before), F.lit(0)).alias("_neg_off"),
-    )
-    inside = Window.partitionBy("_bucket").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
-    return scores.join(F.broadcast(offsets), "_bucket").select(
+    """Per distinct score the positives and negatives with a strictly higher score, by ranges of scores."""
+    summed = running_sums(_by_score(df, label, probability), [F.desc("score")], ["pos", "neg"])
+    return summed.select(
         "score", "pos", "neg",
-        (F.col("_pos_off") + F.coalesce(F.sum("pos").over(inside), F.lit(0))).alias("pos_above"),
-        (F.col("_neg_off") + F.coalesce(F.sum("neg").over(inside), F.lit(0))).alias("neg_above"),
-    )
+        (F.col("pos_upto") - F.col("pos")).alias("pos_above"), (F.col("neg_upto") - F.col("neg")).alias("neg_above"))
 
 
 def auc_roc(df: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:

@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from cohortline import defaults as D
-from cohortline.functions.quantiles import SMALL
 from cohortline.operators import encode as en
 from cohortline.operators.impute import DropSparse, Imputer, MissingIndicators, null_ratios
 from cohortline.operators.outliers import Outliers
@@ -46,7 +45,6 @@ class Preprocessor:
     scaling: str = "standard"
     features: FeatureSet | None = None
     reference_order: bool = False
-    small: int = SMALL
     steps: list = field(default_factory=list, init=False)
     fitted: bool = field(default=False, init=False)
 
@@ -94,13 +92,12 @@ class Preprocessor:
             return None
 
         def impute(df):
-            return Imputer.fit(df, numeric(df), categorical(df), self.strategy, self.small)
+            return Imputer.fit(df, numeric(df), categorical(df), self.strategy)
 
         def outliers(df):
             if not self.outlier_method:
                 return None
-            options = {} if self.outlier_method == "zscore" else {"small": self.small}
-            return Outliers.fit(df, numeric(df), self.outlier_method, self.outlier_action, **options)
+            return Outliers.fit(df, numeric(df), self.outlier_method, self.outlier_action)
 
         def encode(df):
             return _ENCODERS[self.encoding](df, categorical(df), self.label, self.max_categories)
@@ -108,7 +105,7 @@ class Preprocessor:
         def scale(df):
             if self.scaling == "quantile":
                 return QuantileNormal.fit(df, numeric(df))
-            return Scaler.fit(df, numeric(df), self.scaling, self.small) if self.scaling else None
+            return Scaler.fit(df, numeric(df), self.scaling) if self.scaling else None
 
         def derive(df):
             return self.features

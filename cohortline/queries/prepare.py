@@ -59,10 +59,11 @@ def _mode(c: str) -> str:
 
 @query("i3_impute_mode", ENC + "SELECT event_id, " + ", ".join(
     [f"coalesce({c}, {_mode(c)}) AS {c}" for c in CATEGORICAL]
-    + [r(f"coalesce({c}, {_mode(c)})", c) for c in ("creatinine", "glucose")]) + " FROM encounters")
+    + [r(f"coalesce({c}, {_mode(c)})", c) if c in DOUBLES else f"coalesce({c}, {_mode(c)}) AS {c}" for c in NUMERIC])
+    + " FROM encounters")
 def _(spark, sf):
-    wide = X.encounters(spark, sf).select("event_id", *CATEGORICAL, "creatinine", "glucose")
-    fitted = im.Imputer.fit(wide, ("creatinine", "glucose"), CATEGORICAL, strategy="mode")
+    wide = X.encounters(spark, sf).select("event_id", *CATEGORICAL, *NUMERIC)
+    fitted = im.Imputer.fit(wide, NUMERIC, CATEGORICAL, strategy="mode")
     return rounded(fitted.transform(wide))
 
 
@@ -252,10 +253,35 @@ def _(spark, sf):
     return _scale(spark, sf, "robust")
 
 
-@query("n4_scale_quantile_normal")
+def _inverse_normal(p: str) -> str:
+    """The published approximation, from the fixed values of the operator."""
+    power = lambda c, x: "0" + "".join(f" + {v!r} * pow({x}, {len(c) - 1 - i})" for i, v in enumerate(c))
+    root = f"sqrt(-2 * ln(least({p}, 1 - {p})))"
+    middle = f"({p} - 0.5) * ({power(sc._A, f'({p} - 0.5) * ({p} - 0.5)')}) / ({power(sc._B, f'({p} - 0.5) * ({p} - 0.5)')})"
+    tail = f"({power(sc._C, root)}) / ({power(sc._D, root)})"
+    return f"CASE WHEN {p} >= {sc._TAIL} AND {p} <= 1 - {sc._TAIL} THEN {middle} WHEN {p} < 0.5 THEN {tail} ELSE -({tail}) END"
+
+
+# Each column's 1000 interpolated quantiles; a value equal to some of them takes the middle of their levels.
+_LANDMARKS = f"""long AS (UNPIVOT (SELECT event_id, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in NUMERIC)} FROM encounters)
+  ON {', '.join(NUMERIC)} INTO NAME c VALUE x),
+marks AS (SELECT c, unnest(q) AS mark, generate_subscripts(q, 1) - 1 AS k FROM (
+  SELECT c, quantile_cont(x, list_transform(range(1000), lambda i: CAST(i AS DOUBLE) / 999)) AS q FROM long GROUP BY c)),
+steps AS (SELECT c, mark, min(k) AS first, max(k) AS last,
+                 lead(mark) OVER (PARTITION BY c ORDER BY mark) AS next FROM marks GROUP BY c, mark),
+shares AS (
+  SELECT event_id, l.c, CASE WHEN x = mark AND first = 0 THEN 0 WHEN next IS NULL THEN 1
+         WHEN x = mark THEN (first + last) / 2.0 / 999 ELSE (last + (x - mark) / (next - mark)) / 999 END AS share
+  FROM long l ASOF JOIN steps s ON l.c = s.c AND l.x >= s.mark),
+clipped AS (SELECT event_id, c, greatest(1e-7, least(share, 1 - 1e-7)) AS p FROM shares)"""
+
+
+@query("n4_scale_quantile_normal", f"""{ENC}, {_LANDMARKS}, normal AS (SELECT event_id, c, {_inverse_normal('p')} AS z FROM clipped)
+SELECT e.event_id, {', '.join(r(f"max(z) FILTER (c = '{c}')", c) for c in NUMERIC)}
+FROM encounters e LEFT JOIN normal n ON e.event_id = n.event_id GROUP BY e.event_id""")
 def _(spark, sf):
-    wide = X.encounters(spark, sf).select("event_id", "bmi", "heart_rate", "glucose")
-    return rounded(sc.QuantileNormal.fit(wide, ("bmi", "heart_rate", "glucose")).transform(wide))
+    wide = X.encounters(spark, sf).select("event_id", *NUMERIC)
+    return rounded(sc.QuantileNormal.fit(wide, NUMERIC).transform(wide))
 
 
 _BANDS = list(zip(D.AGE_EDGES, D.AGE_EDGES[1:], D.AGE_LABELS))
