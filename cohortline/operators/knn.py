@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortline.operators.lookup import map_lookup
@@ -37,136 +38,220 @@ def _with_curve(
     return df.withColumns(steps).withColumn("_at", position).drop(*steps)
 
 
-def impute_knn(
-    df: DataFrame,
-    columns: Sequence[str],
-    neighbors: int = 5,
-    max_cells: int = 20_000,
-    slice_rows: int = 20_000,
-) -> DataFrame:
-    """Fill gaps with the mean of the ``neighbors`` nearest rows that know the value.
+@dataclass(frozen=True)
+class _Boxes:
+    """Extents of the cells, and of groups of neighbouring cells above them: a tree of two levels."""
+
+    cell: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    always: np.ndarray  # all rows know the column
+    known: np.ndarray  # rows that know it
+    fan: int = 64
+
+    @classmethod
+    def of(cls, cells: DataFrame, columns: Sequence[str]) -> _Boxes:
+        rows = cells.groupBy("_cell").agg(
+            *[F.min(c).alias(f"lo{i}") for i, c in enumerate(columns)],
+            *[F.max(c).alias(f"hi{i}") for i, c in enumerate(columns)],
+            *[F.every(F.col(c).isNotNull()).alias(f"all{i}") for i, c in enumerate(columns)],
+            *[F.coalesce(F.sum(F.when(F.col(c).isNotNull(), F.col("_m"))), F.lit(0)).alias(f"n{i}") for i, c in enumerate(columns)],
+        ).orderBy("_cell").toPandas()
+
+        def part(name: str, kind: type) -> np.ndarray:
+            return rows[[f"{name}{i}" for i in range(len(columns))]].to_numpy(dtype=kind)
+
+        return cls(rows["_cell"].to_numpy(dtype=np.int32), part("lo", float), part("hi", float), part("all", bool), part("n", float))
+
+    def above(self) -> _Boxes:
+        """One box around each ``fan`` cells; cells follow the curve, so these lie close together."""
+        starts = np.arange(0, len(self.cell), self.fan)
+        fold = lambda op, x: op.reduceat(x, starts, axis=0) if len(starts) else x
+        return _Boxes(starts, fold(np.fmin, self.low), fold(np.fmax, self.high), fold(np.logical_and, self.always), fold(np.add, self.known))
+
+    def part(self, start: int) -> _Boxes:
+        s = slice(start, start + self.fan)
+        return _Boxes(self.cell[s], self.low[s], self.high[s], self.always[s], self.known[s])
+
+    def nearest_possible(self, points: np.ndarray, has: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(points x boxes) lower bound of the distance to any row inside, and whether all rows there have a distance."""
+        square = np.zeros((len(points), len(self.cell)))
+        for f in range(points.shape[1]):
+            x = points[:, f][:, None]
+            gap = np.fmax(np.fmax(self.low[:, f][None, :] - x, x - self.high[:, f][None, :]), 0.0)
+            square += np.where(self.always[:, f][None, :] & has[:, f][:, None], gap * gap, 0.0)
+        # A pair shares at most the columns that some row of the box knows.
+        shared = has.astype(float) @ (self.known > 0).T.astype(float)
+        lower = np.where(shared > 0, square * points.shape[1] / np.maximum(shared, 1), np.inf)
+        return lower, has.astype(float) @ self.always.T.astype(float) > 0
+
+
+def _first_cells(boxes: _Boxes, above: _Boxes, points: np.ndarray, k: int) -> list[np.ndarray]:
+    """For each point the nearest cells that together offer k rows for each of its gaps."""
+    has = ~np.isnan(points)
+    out: list[list] = [[] for _ in points]
+    need = np.where(has, 0.0, float(k))
+    need[~has.any(1)] = 0.0  # nothing to measure by
+    lower, sure = above.nearest_possible(points, has)
+    order = np.argsort(np.where(sure, lower, np.where(np.isfinite(lower), 1e300, np.inf)), axis=1, kind="stable")
+    for step in range(len(above.cell)):
+        waiting = np.flatnonzero((need > 0).any(1))
+        if not len(waiting):
+            break
+        group = order[waiting, step]
+        for g in np.unique(group):
+            rows = waiting[group == g]
+            part = boxes.part(int(above.cell[g]))
+            near, certain = part.nearest_possible(points[rows], has[rows])
+            ranked = np.argsort(np.where(certain, near, np.where(np.isfinite(near), 1e300, np.inf)), axis=1, kind="stable")
+            for row, cells, possible in zip(rows, ranked, near):
+                for cell in cells:
+                    gaps = need[row] > 0
+                    if not gaps.any():
+                        break
+                    if np.isfinite(possible[cell]) and (part.known[cell][gaps] > 0).any():
+                        out[row].append(part.cell[cell])
+                        need[row] -= np.where(gaps, part.known[cell], 0.0)
+    return [np.array(cells, np.int32) for cells in out]
+
+
+def _further_cells(boxes: _Boxes, above: _Boxes, points: np.ndarray, limits: np.ndarray, seen: list) -> list[np.ndarray]:
+    """For each point the cells not yet seen that may hold a row within the distance found for one of its gaps."""
+    has = ~np.isnan(points)
+    limits = np.where(has | ~has.any(1)[:, None], -1.0, limits)  # only gaps count
+    out: list[list] = [[] for _ in points]
+    reach = above.nearest_possible(points, has)[0] * (1 - 1e-9) <= limits.max(1, initial=-1.0)[:, None]
+    for g in np.flatnonzero(reach.any(0)):
+        rows = np.flatnonzero(reach[:, g])
+        part = boxes.part(int(above.cell[g]))
+        near = part.nearest_possible(points[rows], has[rows])[0] * (1 - 1e-9)
+        wanted = np.zeros(near.shape, bool)
+        for f in range(points.shape[1]):
+            wanted |= (near <= limits[rows, f][:, None]) & (part.known[:, f] > 0)[None, :] & np.isfinite(near)
+        for row, cells in zip(rows, wanted):
+            out[row].extend(part.cell[cells])
+    return [np.setdiff1d(np.array(cells, np.int32), np.asarray(before, np.int32)) for cells, before in zip(out, seen)]
+
+
+@dataclass(frozen=True)
+class KnnImputer:
+    """Fills gaps with the mean of the ``neighbors`` nearest fitted rows that know the value. Exact.
 
     Distance is Euclidean over the columns both rows know, scaled up for those
-    they do not; rows sharing no known column fall back to the column mean.
+    they do not; rows that share no known column with any other take the
+    column mean. Ties go to the donor that sorts first by gaps, curve and value.
 
     Equal rows are handled once, with their multiplicity, so copies cost
-    nothing. Distinct rows are cut along a space-filling curve into about
-    sqrt(n) cells; only the bounding box of each cell (at most ``max_cells``
-    rows) is shared. A row visits exactly the cells whose box could hold one
-    of its nearest, and crowded cells serve their visitors in slices.
+    nothing. ``fit`` cuts the distinct donors along a space-filling curve into
+    about sqrt(n) / 2 cells and keeps a tree of their bounding boxes (at most
+    ``max_cells``) besides the donors themselves, which are written to the
+    checkpoint folder. ``transform`` searches in two phases: a row first visits
+    the nearest cells that offer enough donors, then the cells that lie within
+    the distance found there. Crowded cells serve visitors in slices.
     """
-    columns = list(columns)
-    typed = df.withColumns({c: F.col(c).cast("double") for c in columns})
-    vectors = durable(typed.groupBy(*columns).agg(F.count(F.lit(1)).alias("_m")))
-    facts = vectors.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[(F.sum(F.col(c) * F.col("_m")) / F.sum(F.when(F.col(c).isNotNull(), F.col("_m")))).alias(f"mean:{c}") for c in columns],
-        *[F.percentile_approx(c, [0.01, 0.99]).alias(f"ends:{c}") for c in columns],
-    ).first()
-    means = {c: facts[f"mean:{c}"] for c in columns}
-    ends = {c: facts[f"ends:{c}"] or [0.0, 0.0] for c in columns}
-    curved = columns[:60]
-    bits = max(1, min(8, 60 // len(curved)))
-    unit = max(high - low for low, high in ends.values()) / 2**bits or 1.0
-    count = max(1, min(max_cells, math.ceil(math.sqrt(facts["n"]) / 2)))
-
-    gaps = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
-    order = ("_gaps", "_at", *columns)
-    # Row ids follow the sort order, so ties break alike whatever the cells are.
-    cells = durable(
-        _with_curve(vectors, curved, {c: low for c, (low, _) in ends.items()}, unit, bits).withColumn("_gaps", gaps)
-        .repartitionByRange(count, *order).sortWithinPartitions(*order)
-        .select(*columns, "_m", "_gaps", F.spark_partition_id().alias("_cell"),
-                F.monotonically_increasing_id().alias("_id"))
-    )
-    boxes = _boxes(cells, columns)
-    visitors = durable(
-        cells.filter(F.col("_gaps").contains("1"))
-        .select("_id", *columns, _reachable(boxes, neighbors)(*columns).alias("_cells"))
-    )
-    visits = visitors.select("_id", *columns, F.explode("_cells").alias("_cell"))
-    # One row per cell: how many slices its visitors need.
-    slices = visits.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / slice_rows).cast("int").alias("_slices"))
-    slices = F.broadcast(durable(slices))
-    asked = visits.join(slices, "_cell").select(
-        *visits.columns, F.pmod(F.xxhash64("_id"), F.col("_slices")).cast("int").alias("_slice"))
-    offered = cells.join(slices, "_cell").select(
-        "_id", "_m", *columns, "_cell", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)).alias("_slice"))
-    # Fresh column identities: both sides come from the same cells.
-    offered = offered.toDF(*offered.columns)
-    found = asked.groupBy("_cell", "_slice").cogroup(offered.groupBy("_cell", "_slice")).applyInPandas(
-        _nearest(columns, neighbors), "_id long, _feature int, _d double, _from long, _value double, _w long")
-
-    nearest_first = Window.partitionBy("_id", "_feature").orderBy("_d", "_from")
-    before = F.coalesce(F.sum("_w").over(nearest_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    used = found.withColumn("_take", F.least(F.col("_w"), F.lit(neighbors) - before)).filter(F.col("_take") > 0)
-    estimate = (
-        used.groupBy("_id", "_feature")
-        .agg((F.sum(F.col("_value") * F.col("_take")) / F.sum("_take")).alias("_value"))
-        .groupBy("_id").agg(*[F.max(F.when(F.col("_feature") == i, F.col("_value"))).alias(f"_new_{c}")
-                              for i, c in enumerate(columns)])
-    )
-    key = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    table = durable(cells.filter(F.col("_gaps").contains("1")).join(estimate, "_id").select(
-        key.alias("value"), "_m", *[f"_new_{c}" for c in columns]))
-    complete = F.lit(True)
-    for c in columns:
-        complete = complete & F.col(c).isNotNull()
-    whole, partial = typed.filter(complete), typed.filter(~complete).withColumn("_key", key)
-    filled = map_lookup(partial, table, "_key", {f"_new_{c}": F.lit(None) for c in columns}, weight="_m")
-    return whole.unionByName(filled.select(*[
-        F.coalesce(F.col(c), F.col(f"_new_{c}"), F.lit(means[c])).alias(c) if c in columns else F.col(c)
-        for c in df.columns
-    ]))
-
-
-def _boxes(cells: DataFrame, columns: Sequence[str]) -> dict[str, np.ndarray]:
-    """Per cell: extent, whether a column is always or ever known, rows knowing it."""
-    rows = cells.groupBy("_cell").agg(
-        *[F.min(c).alias(f"lo{i}") for i, c in enumerate(columns)],
-        *[F.max(c).alias(f"hi{i}") for i, c in enumerate(columns)],
-        *[F.every(F.col(c).isNotNull()).alias(f"all{i}") for i, c in enumerate(columns)],
-        *[F.coalesce(F.sum(F.when(F.col(c).isNotNull(), F.col("_m"))), F.lit(0)).alias(f"n{i}") for i, c in enumerate(columns)],
-    ).orderBy("_cell").toPandas()
-    def part(name: str, kind: type) -> np.ndarray:
-        return rows[[f"{name}{i}" for i in range(len(columns))]].to_numpy(dtype=kind)
-
-    return {
-        "cell": rows["_cell"].to_numpy(dtype=np.int32), "lo": part("lo", float), "hi": part("hi", float),
-        "all": part("all", bool), "n": part("n", float),
-    }
-
-
-def _reachable(boxes: dict[str, np.ndarray], k: int):
-    """Cells that may hold one of the k nearest: lower bound <= the k-th upper bound."""
-    lo, hi, always, known = boxes["lo"], boxes["hi"], boxes["all"], boxes["n"]
-    ever = known > 0
-    size = lo.shape[1]
-
-    @F.pandas_udf("array<int>")
-    def cells(*values: pd.Series) -> pd.Series:
-        points = np.column_stack([v.to_numpy(dtype=float, na_value=np.nan) for v in values])
-        out = []
-        for point in points:
-            has = ~np.isnan(point)
-            sure, maybe = always & has, ever & has
-            with np.errstate(invalid="ignore", divide="ignore"):
-                near = np.where(sure, np.maximum(np.maximum(lo - point, point - hi), 0.0), 0.0)
-                far = np.where(maybe, np.maximum(np.abs(point - lo), np.abs(hi - point)), 0.0)
-                # A pair shares at least the sure and at most the possible columns.
-                lower = np.square(near).sum(1) * size / np.maximum(maybe.sum(1), 1)
-                upper = np.where(sure.any(1), np.square(far).sum(1) * size / np.maximum(sure.sum(1), 1), np.inf)
-            wanted = np.zeros(len(lo), dtype=bool)
-            by_upper = np.argsort(upper, kind="stable")
-            for feature in np.flatnonzero(~has):
-                reach = np.cumsum(known[by_upper, feature])
-                enough = np.searchsorted(reach, k)
-                limit = upper[by_upper[enough]] if enough < len(reach) else np.inf
-                wanted |= (lower * (1 - 1e-9) <= limit) & (known[:, feature] > 0)
-            out.append(boxes["cell"][wanted])
-        return pd.Series(out)
-
-    return cells
+
+    columns: tuple[str, ...]
+    neighbors: int
+    donors: DataFrame
+    boxes: _Boxes
+    means: dict[str, float | None]
+
+    @classmethod
+    def fit(cls, df: DataFrame, columns: Sequence[str], neighbors: int = 5, max_cells: int = 20_000) -> KnnImputer:
+        columns = [c for c in columns if c in df.columns]
+        vectors = durable(
+            df.select([F.col(f"`{c}`").cast("double").alias(c) for c in columns]).groupBy(*columns).agg(F.count(F.lit(1)).alias("_m")))
+        facts = vectors.agg(
+            F.count(F.lit(1)).alias("n"),
+            *[(F.sum(F.col(c) * F.col("_m")) / F.sum(F.when(F.col(c).isNotNull(), F.col("_m")))).alias(f"mean:{c}") for c in columns],
+            *[F.percentile_approx(c, [0.01, 0.99]).alias(f"ends:{c}") for c in columns],
+        ).first()
+        ends = {c: facts[f"ends:{c}"] or [0.0, 0.0] for c in columns}
+        curved = columns[:60]
+        bits = max(1, min(8, 60 // max(len(curved), 1)))
+        unit = max((high - low for low, high in ends.values()), default=0.0) / 2**bits or 1.0
+        count = max(1, min(max_cells, math.ceil(math.sqrt(facts["n"]) / 2)))
+        order = ("_gaps", "_at", *columns)
+        # Row ids follow the sort order, so ties break alike whatever the cells are.
+        donors = durable(
+            _with_curve(vectors, curved, {c: low for c, (low, _) in ends.items()}, unit, bits).withColumn("_gaps", _gaps(columns))
+            .repartitionByRange(count, *order).sortWithinPartitions(*order)
+            .select(*columns, "_m", F.spark_partition_id().alias("_cell"), F.monotonically_increasing_id().alias("_from"))
+        )
+        return cls(tuple(columns), neighbors, donors, _Boxes.of(donors, columns), {c: facts[f"mean:{c}"] for c in columns})
+
+    def transform(self, df: DataFrame, slice_rows: int = 20_000) -> DataFrame:
+        columns, k = list(self.columns), self.neighbors
+        typed = df.withColumns({c: F.col(f"`{c}`").cast("double") for c in columns})
+        complete = ~F.contains(_gaps(columns), F.lit("1"))
+        whole, partial = typed.filter(complete), typed.filter(~complete)
+        kinds = ", ".join(f"`{c}` double" for c in columns)
+        boxes, above = self.boxes, self.boxes.above()
+
+        def points(frame: pd.DataFrame) -> np.ndarray:
+            return frame[columns].to_numpy(dtype=float, na_value=np.nan)
+
+        def first(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                yield frame.assign(_cells=_first_cells(boxes, above, points(frame), k))
+
+        def further(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                limits = frame[[f"_limit{i}" for i in range(len(columns))]].to_numpy(dtype=float, na_value=np.inf)
+                cells = _further_cells(boxes, above, points(frame), limits, list(frame["_cells"]))
+                yield frame[["_id", *columns]].assign(_cells=cells)
+
+        visitors = durable(partial.groupBy(*columns).agg(F.count(F.lit(1)).alias("_m")).withColumn("_id", F.monotonically_increasing_id()))
+        started = durable(visitors.select("_id", *columns).mapInPandas(first, f"_id long, {kinds}, _cells array<int>"))
+        found = durable(self._met(started, slice_rows))
+        # The distance within which k donors are known so far, for each gap.
+        upto = Window.partitionBy("_id", "_feature").orderBy("_d", "_from").rowsBetween(Window.unboundedPreceding, 0)
+        limits = found.withColumn("_upto", F.sum("_w").over(upto)).filter(F.col("_upto") >= k).groupBy("_id").agg(
+            *[F.min(F.when(F.col("_feature") == i, F.col("_d"))).alias(f"_limit{i}") for i in range(len(columns))])
+        rest = started.join(limits, "_id", "left").mapInPandas(further, f"_id long, {kinds}, _cells array<int>")
+        found = found.unionByName(self._met(durable(rest), slice_rows))
+
+        nearest_first = Window.partitionBy("_id", "_feature").orderBy("_d", "_from")
+        before = F.coalesce(F.sum("_w").over(nearest_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        used = found.withColumn("_take", F.least(F.col("_w"), F.lit(k) - before)).filter(F.col("_take") > 0)
+        estimate = (
+            used.groupBy("_id", "_feature")
+            .agg((F.sum(F.col("_value") * F.col("_take")) / F.sum("_take")).alias("_value"))
+            .groupBy("_id").agg(*[F.max(F.when(F.col("_feature") == i, F.col("_value"))).alias(f"_new_{c}")
+                                  for i, c in enumerate(columns)])
+        )
+        key = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+        table = durable(visitors.join(estimate, "_id").select(key.alias("value"), "_m", *[f"_new_{c}" for c in columns]))
+        filled = map_lookup(partial.withColumn("_key", key), table, "_key", {f"_new_{c}": F.lit(None) for c in columns}, weight="_m")
+        return whole.unionByName(filled.select(*[
+            F.coalesce(F.col(c), F.col(f"_new_{c}"), F.lit(self.means[c]).cast("double")).alias(c) if c in columns else F.col(f"`{c}`")
+            for c in df.columns
+        ]))
+
+    def _met(self, visitors: DataFrame, slice_rows: int) -> DataFrame:
+        """Up to k nearest donors of each visitor in each of its cells, per gap."""
+        columns = list(self.columns)
+        visits = visitors.select("_id", *columns, F.explode("_cells").alias("_cell"))
+        # One row per cell: how many slices its visitors need.
+        slices = visits.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / slice_rows).cast("int").alias("_slices"))
+        slices = F.broadcast(durable(slices))
+        asked = visits.join(slices, "_cell").select(
+            *visits.columns, F.pmod(F.xxhash64("_id"), F.col("_slices")).cast("int").alias("_slice"))
+        offered = self.donors.join(slices, "_cell").select(
+            "_from", "_m", *columns, "_cell", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)).alias("_slice"))
+        # Fresh column identities: both sides may come from the same rows.
+        offered = offered.toDF(*offered.columns)
+        return asked.groupBy("_cell", "_slice").cogroup(offered.groupBy("_cell", "_slice")).applyInPandas(
+            _nearest(columns, self.neighbors), "_id long, _feature int, _d double, _from long, _value double, _w long")
+
+
+def _gaps(columns: Sequence[str]) -> Column:
+    return F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in columns])
+
+
+def impute_knn(df: DataFrame, columns: Sequence[str], neighbors: int = 5, max_cells: int = 20_000, slice_rows: int = 20_000) -> DataFrame:
+    """Fill the gaps of a table from its own rows."""
+    return KnnImputer.fit(df, columns, neighbors, max_cells).transform(df, slice_rows)
 
 
 def _nearest(columns: Sequence[str], k: int):
@@ -183,9 +268,9 @@ _EMPTY = pd.DataFrame({
 
 
 def _blocks(visitors: pd.DataFrame, residents: pd.DataFrame, columns: list[str], k: int) -> Iterator[pd.DataFrame]:
-    residents = residents.sort_values("_id")
+    residents = residents.sort_values("_from")
     there = residents[columns].to_numpy(dtype=float, na_value=np.nan)
-    ids, weights = residents["_id"].to_numpy(), residents["_m"].to_numpy()
+    ids, weights = residents["_from"].to_numpy(), residents["_m"].to_numpy()
     known, theirs = (~np.isnan(there)).astype(float), np.nan_to_num(there)
     height = max(1, _BLOCK // max(1, len(there)))
     for start in range(0, len(visitors) if len(there) else 0, height):
