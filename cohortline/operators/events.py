@@ -79,9 +79,12 @@ def to_events(
     row_id: str | None = D.EVENT_ID,
     prefix: Mapping[str, str] = D.CODE_PREFIX,
     deduplicate: bool = True,
+    names: Sequence[str] = EVENT_COLUMNS,
 ) -> DataFrame:
     """All events of a wide table, one row per (subject, timestamp, code).
 
+    ``names`` are those of the four columns: subject, time, code and value.
+
     Of several source rows with the same key the one with the smallest
     ``row_id`` (then value) survives. The result is unordered: sort when writing.
     """
@@ -94,7 +97,7 @@ def to_events(
     )
     if deduplicate:
         events = dedupe_first(events, ("subject_id", "timestamp", "code"), (*row_ids, "numeric_value"))
-    return events.select(*EVENT_COLUMNS)
+    return events.select([F.col(c).alias(n) for c, n in zip(EVENT_COLUMNS, names, strict=True)])
 
 
 def validate_events(events: DataFrame) -> DataFrame:

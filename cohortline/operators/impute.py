@@ -5,15 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from cohortline.functions.quantiles import exact_quantiles
 from cohortline.operators.profile import category_counts
-from cohortline.session import durable
 
 STRATEGIES = ("mean", "median", "mode")
 
@@ -124,44 +121,3 @@ def _category_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     )
     found = {r["column_name"]: r["value"] for r in best.collect()}
     return {c: found.get(c) for c in columns}
-
-
-def impute_iterative(
-    df: DataFrame, columns: Sequence[str], rounds: int = 10, regularization: float = 1e-3, tolerance: float = 1e-3,
-) -> DataFrame:
-    """Chained regressions: every column predicted from the others, in turns.
-
-    Columns with few nulls go first and start at their mean. Each round is one
-    regression per column with nulls (normal equations, one pass) and ends
-    with a checkpoint, so the plan does not grow with the rounds.
-    """
-    columns = list(columns)
-    ratios = null_ratios(df, columns)
-    order = sorted((c for c in columns if ratios[c] > 0), key=lambda c: (ratios[c], c))
-    means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    spread = df.agg(*[F.max(F.abs(c)).alias(c) for c in columns]).first()
-    limit = tolerance * max((float(spread[c]) for c in columns if spread[c] is not None), default=0.0)
-    work = durable(df.withColumns({
-        **{f"_gap_{c}": F.col(c).isNull() for c in order},
-        **{c: F.coalesce(F.col(c).cast("double"), F.lit(means[c])) for c in columns},
-    }))
-    for _ in range(rounds if order else 0):
-        shifts = [f"_shift_{c}" for c in order]
-        for c, shift in zip(order, shifts):
-            others = [o for o in columns if o != c]
-            assembler = VectorAssembler(inputCols=others, outputCol="_x")
-            model = LinearRegression(
-                featuresCol="_x", labelCol=c, regParam=regularization, solver="normal",
-            ).fit(assembler.transform(work.filter(~F.col(f"_gap_{c}"))))
-            estimate = sum(
-                (F.lit(float(w)) * F.col(o) for w, o in zip(model.coefficients, others)),
-                F.lit(float(model.intercept)),
-            )
-            guess = F.when(F.col(f"_gap_{c}"), estimate).otherwise(F.col(c))
-            work = work.withColumn(shift, F.abs(guess - F.col(c))).withColumn(c, guess)
-        work = durable(work)
-        moved = work.agg(*[F.max(s).alias(s) for s in shifts]).first()
-        work = work.drop(*shifts)
-        if max(float(moved[s] or 0.0) for s in shifts) < limit:
-            break
-    return work.select(*df.columns)

@@ -44,6 +44,8 @@ class FeatureSet:
     rolling_windows: tuple[int, ...] = D.ROLLING_WINDOWS
     rolling_stats: tuple[str, ...] = ("mean", "std")
     degree: int = 2
+    age_edges: tuple[float, ...] = D.AGE_EDGES
+    age_labels: tuple[str, ...] = D.AGE_LABELS
     subject: str = D.SUBJECT
     order: tuple[str, ...] = D.TIMELINE
     max_rows: int | None = MAX_ROWS
@@ -51,7 +53,7 @@ class FeatureSet:
     def transform(self, df: DataFrame) -> DataFrame:
         """Row features are projections; all timeline features share one window."""
         if self.age_groups:
-            df = df.transform(age_band_onehot)
+            df = age_band_onehot(df, edges=self.age_edges, labels=self.age_labels)
         if self.risk_scores:
             df = df.transform(risk_scores)
         if self.interactions:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
 from cohortline import defaults as D
 from cohortline.operators import encode as en
+from cohortline.operators.chained import IterativeImputer
 from cohortline.operators.impute import DropSparse, Imputer, MissingIndicators, null_ratios
+from cohortline.operators.knn import KnnImputer
 from cohortline.operators.outliers import Outliers
 from cohortline.operators.scale import QuantileNormal, Scaler
 from cohortline.plans.features import FeatureSet
@@ -29,7 +31,10 @@ class Preprocessor:
 
     ``features`` places derived features between outliers and encoding, where
     they see values in their own units; ``reference_order`` derives them last,
-    from encoded and scaled columns.
+    from encoded and scaled columns. ``strategy`` is mean, median, mode, knn or
+    iterative; categories always take their mode. ``outlier_options`` go to the
+    method (``factor``, ``threshold`` or ``limits``); with
+    ``sequential_outliers`` removal by one column shows in the next one's bounds.
     """
 
     numeric: Sequence[str] = D.NUMERIC
@@ -40,6 +45,10 @@ class Preprocessor:
     indicator_features: bool = True
     outlier_method: str = "iqr"
     outlier_action: str = "clip"
+    outlier_options: Mapping[str, object] = field(default_factory=dict)
+    sequential_outliers: bool = False
+    neighbors: int = 5
+    rounds: int = 10
     encoding: str = "target"
     max_categories: int = 20
     scaling: str = "standard"
@@ -51,13 +60,21 @@ class Preprocessor:
     def fit(self, df: DataFrame) -> Preprocessor:
         """Learn each step on the output of the steps before it.
 
-        The input is read once and kept while the steps are fitted.
+        Null shares are counted on the whole input; the fitted columns alone
+        are kept while the other steps learn from them. Derived features learn
+        nothing and are not computed here.
         """
         self.steps, self.fitted = [], False
-        with kept(df) as now:
-            for make in self._plan():
+        ratios = null_ratios(df)
+        self.steps.append(DropSparse.fit(df, self.max_missing_ratio, ratios))
+        left = self.steps[0].transform(df).columns
+        needed = [c for c in dict.fromkeys((*self.numeric, *self.categorical, self.label)) if c in left]
+        with kept(df.select(*needed)) as now:
+            for make in self._plan(ratios):
                 step = make(now)
-                if step is not None:
+                if isinstance(step, FeatureSet):
+                    self.steps.append(step)
+                elif step is not None:
                     self.steps.append(step)
                     now = step.transform(now)
         self.fitted = True
@@ -73,13 +90,7 @@ class Preprocessor:
     def fit_transform(self, df: DataFrame) -> DataFrame:
         return self.fit(df).transform(df)
 
-    def _plan(self):
-        ratios: dict[str, float] = {}
-
-        def sparse(df):
-            ratios.update(null_ratios(df))
-            return DropSparse.fit(df, self.max_missing_ratio, ratios)
-
+    def _plan(self, ratios: dict[str, float]):
         def numeric(df):
             return [c for c in self.numeric if c in df.columns]
 
@@ -92,12 +103,20 @@ class Preprocessor:
             return None
 
         def impute(df):
+            if self.strategy in ("knn", "iterative"):
+                return Imputer.fit(df, (), categorical(df))
             return Imputer.fit(df, numeric(df), categorical(df), self.strategy)
 
+        def model(df):
+            if self.strategy == "knn":
+                return KnnImputer.fit(df, numeric(df), self.neighbors)
+            return IterativeImputer.fit(df, numeric(df), self.rounds) if self.strategy == "iterative" else None
+
         def outliers(df):
             if not self.outlier_method:
                 return None
-            return Outliers.fit(df, numeric(df), self.outlier_method, self.outlier_action)
+            return Outliers.fit(
+                df, numeric(df), self.outlier_method, self.outlier_action, self.sequential_outliers, **self.outlier_options)
 
         def encode(df):
             return _ENCODERS[self.encoding](df, categorical(df), self.label, self.max_categories)
@@ -111,4 +130,4 @@ class Preprocessor:
             return self.features
 
         tail = (encode, scale, derive) if self.reference_order else (derive, encode, scale)
-        return (sparse, flags, impute, outliers, *tail)
+        return (flags, impute, model, outliers, *tail)

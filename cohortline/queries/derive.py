@@ -11,7 +11,8 @@ from cohortline.operators import resample as rs_
 from cohortline.operators import timeline as tl
 from cohortline.plans.features import FeatureSet, interaction_features, polynomial_features, risk_scores
 from cohortline.plans.preprocess import Preprocessor
-from cohortline.queries._registry import CATEGORICAL, NUMERIC, query, r, rounded
+from cohortline.queries._registry import CATEGORICAL, DOUBLES, NUMERIC, query, r, rounded
+from cohortline.queries.prepare import nearest_sql
 
 ENC = f"WITH {X.ENCOUNTERS_SQL} "
 OBS = f"WITH {X.OBSERVATIONS_SQL} "
@@ -147,14 +148,16 @@ def _(spark, sf):
     return rounded(made.drop(*[c for c in wide.columns if c != "event_id"]))
 
 
-def _preprocess_sql() -> str:
-    """Median, clip at 1.5 IQR, target mean, standard score, stage by stage."""
+def _preprocess_sql(near: str | None = None) -> str:
+    """Median (or the mean of the nearest rows), clip at 1.5 IQR, target mean, standard score, stage by stage."""
     nulls = ("bmi", "blood_pressure_systolic", "oxygen_saturation", "creatinine", "glucose", "admission_type")
     fills = ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in NUMERIC)
     modes = ", ".join(
         f"(SELECT {c} FROM encounters WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS m_{c}"
         for c in CATEGORICAL)
-    filled = ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in (*NUMERIC, *CATEGORICAL))
+    best = {c: f"k_{c}" if near and c in DOUBLES else f"m_{c}" for c in (*NUMERIC, *CATEGORICAL)}
+    filled = ", ".join(f"coalesce({c}, {best[c]}) AS {c}" for c in best)
+    source = "encounters LEFT JOIN near USING (event_id)" if near else "encounters"
     flags = ", ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END AS {c}_missing" for c in nulls)
     ends = ", ".join(
         f"quantile_cont({c}, 0.25) - 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) AS lo_{c}, "
@@ -166,9 +169,9 @@ def _preprocess_sql() -> str:
     out = ", ".join(
         [r(f"({c} - a_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END", c) for c in NUMERIC]
         + [r(f"t_{c}", c) for c in CATEGORICAL])
-    return f"""{ENC},
+    return f"""{ENC}, {near + ',' if near else ''}
     f AS (SELECT {fills} FROM encounters), g AS (SELECT {modes}),
-    filled AS (SELECT event_id, readmission_30day, {filled}, {flags} FROM encounters, f, g),
+    filled AS (SELECT event_id, readmission_30day, {filled}, {flags} FROM {source} CROSS JOIN f CROSS JOIN g),
     b AS (SELECT {ends} FROM filled),
     clipped AS (SELECT event_id, readmission_30day, {clips}, {', '.join(CATEGORICAL)}, {names} FROM filled, b),
     z AS (SELECT {stats} FROM clipped),
@@ -182,6 +185,44 @@ def _(spark, sf):
     return rounded(Preprocessor().fit_transform(wide).drop(D.LABEL))
 
 
+@query("f10_preprocess_knn", _preprocess_sql(nearest_sql(NUMERIC)))
+def _(spark, sf):
+    wide = _enc(spark, sf, *NUMERIC, *CATEGORICAL, D.LABEL)
+    return rounded(Preprocessor(strategy="knn").fit_transform(wide).drop(D.LABEL))
+
+
+def _removal_sql() -> str:
+    """Mean, removal beyond 2.5 deviations column after column, frequency, minimum to maximum."""
+    means = ", ".join(f"avg({c}) AS m_{c}" for c in NUMERIC)
+    modes = ", ".join(
+        f"(SELECT {c} FROM encounters WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS m_{c}"
+        for c in CATEGORICAL)
+    filled = ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in (*NUMERIC, *CATEGORICAL))
+    steps, source = [], "filled"
+    for n, c in enumerate(NUMERIC):
+        steps.append(f"b{n} AS (SELECT avg({c}) AS mean, stddev_samp({c}) AS std FROM {source}), "
+                     f"k{n} AS (SELECT s.* FROM {source} s, b{n} WHERE NOT ({c} < mean - 2.5 * std OR {c} > mean + 2.5 * std))")
+        source = f"k{n}"
+    spans = ", ".join(f"min({c}) AS lo_{c}, max({c}) - min({c}) AS w_{c}" for c in NUMERIC)
+    shares = ", ".join(f"CAST(count(*) OVER (PARTITION BY {c}) AS DOUBLE) / count(*) OVER () AS t_{c}" for c in CATEGORICAL)
+    out = ", ".join(
+        [r(f"({c} - lo_{c}) / CASE WHEN w_{c} = 0 THEN 1 ELSE w_{c} END", c) for c in NUMERIC]
+        + [r(f"t_{c}", c) for c in CATEGORICAL])
+    return f"""{ENC}, f AS (SELECT {means} FROM encounters), g AS (SELECT {modes}),
+    filled AS (SELECT event_id, {filled} FROM encounters, f, g), {', '.join(steps)},
+    z AS (SELECT {spans} FROM {source}), coded AS (SELECT *, {shares} FROM {source})
+    SELECT event_id, {out} FROM coded, z"""
+
+
+@query("f10_preprocess_remove", _removal_sql())
+def _(spark, sf):
+    wide = _enc(spark, sf, *NUMERIC, *CATEGORICAL, D.LABEL)
+    chosen = Preprocessor(
+        strategy="mean", indicator_features=False, outlier_method="zscore", outlier_action="remove",
+        outlier_options={"threshold": 2.5}, sequential_outliers=True, encoding="frequency", scaling="minmax")
+    return rounded(chosen.fit_transform(wide).drop(D.LABEL))
+
+
 # Time series: hourly means of a vital, last label and last category per hour.
 HOW = {"heart_rate": "mean", "num_medications": "mean", "readmission_30day": "last", "admission_type": "last"}
 GRID_SQL = X.OBSERVATIONS_SQL + """,

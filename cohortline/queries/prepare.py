@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortline import defaults as D
 from cohortline import fixtures as X
+from cohortline.operators import chained as ch
 from cohortline.operators import encode as en
 from cohortline.operators import impute as im
 from cohortline.operators import knn as kn
@@ -67,17 +68,19 @@ def _(spark, sf):
     return rounded(fitted.transform(wide))
 
 
-_D2 = ("6 / (" + " + ".join(f"CASE WHEN a.{c} IS NOT NULL AND b.{c} IS NOT NULL THEN 1 ELSE 0 END" for c in DOUBLES)
-       + ") * (" + " + ".join(f"coalesce((a.{c} - b.{c}) * (a.{c} - b.{c}), 0)" for c in DOUBLES) + ")")
-_ANY_GAP = " OR ".join(f"{c} IS NULL" for c in DOUBLES)
+def nearest_sql(columns) -> str:
+    """CTE ``near``: for each row with a gap the mean of its five nearest rows, over all pairs."""
+    square = (f"{len(columns)} / (" + " + ".join(f"CASE WHEN a.{c} IS NOT NULL AND b.{c} IS NOT NULL THEN 1 ELSE 0 END" for c in columns)
+              + ") * (" + " + ".join(f"coalesce((a.{c} - b.{c}) * (a.{c} - b.{c}), 0)" for c in columns) + ")")
+    means = ", ".join(
+        f"CASE WHEN any_value(a.{c}) IS NULL THEN list_avg(arg_min(b.{c}, {square}, 5) FILTER (WHERE b.{c} IS NOT NULL)) END AS k_{c}"
+        for c in DOUBLES)
+    gap = " OR ".join(f"{c} IS NULL" for c in DOUBLES)
+    return f"near AS (SELECT a.event_id, {means} FROM (SELECT * FROM encounters WHERE {gap}) a, encounters b GROUP BY a.event_id)"
 
 
 @query("i4_impute_knn", ENC + f""",
-near AS (
-  SELECT a.event_id, {', '.join(
-    f"CASE WHEN any_value(a.{c}) IS NULL THEN list_avg(arg_min(b.{c}, {_D2}, 5) FILTER (WHERE b.{c} IS NOT NULL)) END AS k_{c}"
-    for c in DOUBLES)}
-  FROM (SELECT * FROM encounters WHERE {_ANY_GAP}) a, encounters b GROUP BY a.event_id)
+{nearest_sql(DOUBLES)}
 SELECT encounters.event_id, {', '.join(r(f'coalesce({c}, k_{c})', c) for c in DOUBLES)}
 FROM encounters LEFT JOIN near ON encounters.event_id = near.event_id""")
 def _(spark, sf):
@@ -88,7 +91,57 @@ def _(spark, sf):
 @query("i5_impute_iterative")
 def _(spark, sf):
     wide = X.encounters(spark, sf).select("event_id", *DOUBLES)
-    return rounded(im.impute_iterative(wide, DOUBLES, rounds=3))
+    return rounded(ch.impute_iterative(wide, DOUBLES))
+
+
+# Two columns: a filled value is a line over the other column, so the rounds need sums by gap pattern only.
+# a = p + q * b where only a is a gap, b = r + s * a where only b is, u and v where both are.
+_PAIR = f"""{ENC.replace('WITH', 'WITH RECURSIVE', 1)}, mean AS (SELECT avg(glucose) AS ma, avg(bmi) AS mb, 1e-3 * max(greatest(abs(glucose), abs(bmi))) AS lim FROM encounters),
+c AS (SELECT event_id, glucose - ma AS a, bmi - mb AS b FROM encounters, mean),
+m AS (
+  SELECT lim, {', '.join(f"CAST(count(*) FILTER ({w}) AS DOUBLE) AS n{i}, " + ', '.join(
+    f"coalesce(sum({e}) FILTER ({w}), 0) AS {k}{i}" for k, e in (('a', 'a'), ('b', 'b'), ('aa', 'a * a'), ('bb', 'b * b'), ('ab', 'a * b')))
+    for i, w in enumerate(('a IS NOT NULL AND b IS NOT NULL', 'a IS NULL AND b IS NOT NULL', 'a IS NOT NULL AND b IS NULL', 'a IS NULL AND b IS NULL')))},
+    min(b) FILTER (a IS NULL) AS b_lo, max(b) FILTER (a IS NULL) AS b_hi, min(a) FILTER (b IS NULL) AS a_lo, max(a) FILTER (b IS NULL) AS a_hi
+  FROM c, mean GROUP BY lim),
+st AS (
+  SELECT 1 AS turn, 0 AS f, 0 AS it, 0.0::DOUBLE AS alpha, 1.0::DOUBLE AS lam, 0.0::DOUBLE AS old, 0.0::DOUBLE AS p, 0.0::DOUBLE AS q,
+         0.0::DOUBLE AS r, 0.0::DOUBLE AS s, 0.0::DOUBLE AS u, 0.0::DOUBLE AS v, [0.0, 0.0, 0.0, 0.0, 0.0, 0.0]::DOUBLE[] AS was, FALSE AS done
+  UNION ALL
+  SELECT CASE WHEN conv AND f = 1 THEN turn + 1 ELSE turn END, CASE WHEN conv THEN 1 - f ELSE f END, CASE WHEN conv THEN 0 ELSE it + 1 END,
+         CASE WHEN conv THEN 0 ELSE alpha2 END, CASE WHEN conv THEN 1 ELSE lam2 END, w, p2, q2, r2, s2, u2, v2,
+         CASE WHEN conv AND f = 1 THEN [p2, q2, r2, s2, u2, v2] ELSE was END,
+         conv AND f = 1 AND (turn = 10 OR greatest(
+           CASE WHEN n1 > 0 THEN greatest(abs(p2 - was[1] + (q2 - was[2]) * b_lo), abs(p2 - was[1] + (q2 - was[2]) * b_hi)) ELSE 0 END,
+           CASE WHEN n2 > 0 THEN greatest(abs(r2 - was[3] + (s2 - was[4]) * a_lo), abs(r2 - was[3] + (s2 - was[4]) * a_hi)) ELSE 0 END,
+           CASE WHEN n3 > 0 THEN greatest(abs(u2 - was[5]), abs(v2 - was[6])) ELSE 0 END) < lim)
+  FROM (
+    SELECT *, CASE WHEN conv AND f = 0 THEN shift ELSE p END AS p2, CASE WHEN conv AND f = 0 THEN w2 ELSE q END AS q2,
+           CASE WHEN conv AND f = 1 THEN shift ELSE r END AS r2, CASE WHEN conv AND f = 1 THEN w2 ELSE s END AS s2,
+           CASE WHEN conv AND f = 0 THEN shift + w2 * v ELSE u END AS u2, CASE WHEN conv AND f = 1 THEN shift + w2 * u ELSE v END AS v2
+    FROM (
+      SELECT *, y / n - w2 * x / n AS shift FROM (
+        SELECT *, cxy / (cxx + lam2 / alpha2) AS w2, (it > 0 AND abs(old - w) < 1e-3) OR it = 299 AS conv FROM (
+          SELECT *, (gamma + 2e-6) / (w * w + 2e-6) AS lam2, (n - gamma + 2e-6) / (greatest(cyy - 2 * w * cxy + w * w * cxx, 0) + 2e-6) AS alpha2 FROM (
+            SELECT *, cxy / (cxx + lam / al) AS w, al * cxx / (lam + al * cxx) AS gamma FROM (
+              SELECT *, CASE WHEN it = 0 THEN 1 / (cyy / n + 2.220446049250313e-16) ELSE alpha END AS al FROM (
+                SELECT *, xx - x * x / n AS cxx, xy - x * y / n AS cxy, yy - y * y / n AS cyy FROM (
+                  SELECT *, CASE f WHEN 0 THEN n0 + n2 ELSE n0 + n1 END AS n,
+                         CASE f WHEN 0 THEN b0 + r * n2 + s * a2 ELSE a0 + p * n1 + q * b1 END AS x,
+                         CASE f WHEN 0 THEN bb0 + r * r * n2 + 2 * r * s * a2 + s * s * aa2 ELSE aa0 + p * p * n1 + 2 * p * q * b1 + q * q * bb1 END AS xx,
+                         CASE f WHEN 0 THEN a0 + a2 ELSE b0 + b1 END AS y, CASE f WHEN 0 THEN aa0 + aa2 ELSE bb0 + bb1 END AS yy,
+                         CASE f WHEN 0 THEN ab0 + r * a2 + s * aa2 ELSE ab0 + p * b1 + q * bb1 END AS xy
+                  FROM st, m WHERE NOT done)))))))))
+"""
+
+
+@query("i5_impute_iterative_pair", _PAIR + f"""
+SELECT event_id, {r('ma + coalesce(a, CASE WHEN b IS NULL THEN u ELSE p + q * b END)', 'glucose')},
+       {r('mb + coalesce(b, CASE WHEN a IS NULL THEN v ELSE r + s * a END)', 'bmi')}
+FROM c, mean, (SELECT * FROM st WHERE done)""")
+def _(spark, sf):
+    wide = X.encounters(spark, sf).select("event_id", "glucose", "bmi")
+    return rounded(ch.impute_iterative(wide, ("glucose", "bmi")))
 
 
 _BOUNDS = {

@@ -19,6 +19,8 @@ from cohortline.operators import knn as kn
 from cohortline.operators import outliers as ou
 from cohortline.operators import profile as pf
 from cohortline.operators import scale as sc
+from cohortline.operators.chained import IterativeImputer
+from cohortline.operators.knn import KnnImputer
 from cohortline.operators.lookup import map_lookup
 from cohortline.plans.features import FeatureSet
 from cohortline.plans.preprocess import Preprocessor
@@ -202,14 +204,30 @@ def test_knn_equals_brute_force(spark):
             assert tied or got[i]["abcd"[f]] == pytest.approx(want), (i, f)
 
 
-def test_iterative_recovers_a_linear_relation(spark):
-    rng = np.random.default_rng(2)
-    a = rng.normal(size=400)
-    df = spark.createDataFrame(
-        [(i, float(x), None if i % 10 == 0 else float(3 * x + 1)) for i, x in enumerate(a)], "i long, a double, b double")
-    out = im.impute_iterative(df, ["a", "b"], rounds=3, regularization=1e-6)
-    for r in out.filter("i % 10 = 0").collect():
-        assert r["b"] == pytest.approx(3 * r["a"] + 1, abs=1e-2)
+@pytest.mark.parametrize("strategy", ["knn", "iterative"])
+def test_preprocessor_reuses_fitted_models(spark, folder, strategy):
+    """New rows take their values from the rows and regressions of the fit."""
+    wide = X.encounters(spark, folder).select("event_id", "patient_id", "bmi", "glucose", "heart_rate", "admission_type", "readmission_30day").cache()
+    old, new = wide.filter("event_id % 3 != 0"), wide.filter("event_id % 3 = 0")
+    chosen = ("bmi", "glucose", "heart_rate")
+    made = Preprocessor(numeric=chosen, categorical=("admission_type",), strategy=strategy, outlier_method="", scaling="", encoding="frequency").fit(old)
+    kind = KnnImputer if strategy == "knn" else IterativeImputer
+    want = {r["event_id"]: r for r in kind.fit(old, chosen).transform(new).collect()}
+    for r in made.transform(new).collect():
+        assert [r[c] for c in chosen] == pytest.approx([want[r["event_id"]][c] for c in chosen]) and r["bmi_missing"] in (0, 1)
+
+
+def test_event_field_names(wide):
+    names = ["person", "at", "what", "value"]
+    renamed = ev.to_events(wide, names=names)
+    assert renamed.columns == names and sorted(map(str, renamed.collect())) != []
+    assert rows(renamed, *names) == rows(ev.to_events(wide), *ev.EVENT_COLUMNS)
+
+
+def test_age_bands_of_a_feature_set(spark):
+    df = spark.createDataFrame([(5,), (40,), (95,)], "age int")
+    out = FeatureSet(age_edges=(0, 30, 60), age_labels=("young", "old")).transform(df)
+    assert [(r["age_grp_young"], r["age_grp_old"]) for r in out.collect()] == [(1, 0), (0, 1), (0, 0)]
 
 
 def test_defaults_and_ranges(spark):
