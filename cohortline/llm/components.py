@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import stored
+from cohortline.llm.common import discard, stored
 
 SALTS = 8
 
@@ -26,7 +26,8 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         small = _with_least(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
-        edges = stored(small.where("u != v").distinct(), "stars")
+        old, edges = edges, stored(small.where("u != v").distinct(), "stars")
+        discard(old)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

@@ -10,8 +10,9 @@
    set sizes (only neighbouring bands can link), and blocks of bounded size in
    crowded ones. In a tile, bitmaps of hashed parities, as wide as the band
    needs, bound each overlap from above: two sets differ at least in as many
-   elements as their bitmaps in bits. What passes and joins different
-   components is verified exactly on the sorted arrays.
+   elements as their bitmaps in bits. Only what passes, and would join
+   different components, leaves the tile; it is verified exactly on the
+   sorted arrays.
 
 No pair is left out and no group is expanded into all its pairs of copies.
 Null and empty texts have empty sets and link with nothing. Repeated rows are
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import in_batches, shuffle_partitions, stored
+from cohortline.llm.common import discard, in_batches, shuffle_partitions, stored
 from cohortline.llm.components import components
 from cohortline.llm.wordhash import mix, shingle_sets
 
@@ -298,10 +299,43 @@ def bound_holds(x: bytes, y: bytes, n: int, m: int, percent: int) -> bool:
     return (100 + percent) * (n + m - apart) >= 2 * percent * (n + m)
 
 
-def _tile_pairs(tile, low, cls, n, comp, band, maps, percent: int) -> tuple[np.ndarray, np.ndarray]:
+class _Maps:
+    """Bitmaps of a tile's rows in their own widths, and all of them in the shortest."""
+
+    def __init__(self, maps: list[bytes]):
+        self.width = np.fromiter(map(len, maps), np.int64, len(maps))
+        self.place = np.zeros(len(maps), np.int64)
+        self.short = np.zeros((len(maps), (1 << SHORT_BITS) // 8), np.uint8)
+        self.rows = {}
+        for width in np.unique(self.width).tolist():
+            at = np.flatnonzero(self.width == width)
+            self.place[at] = np.arange(len(at))
+            self.rows[width] = np.frombuffer(b"".join(maps[i] for i in at), np.uint8).reshape(len(at), width)
+            self.short[at] = self._folded(self.rows[width], self.short.shape[1])
+
+    @staticmethod
+    def _folded(rows: np.ndarray, width: int) -> np.ndarray:
+        return np.bitwise_xor.reduce(rows.reshape(len(rows), -1, width), axis=1)
+
+    def apart(self, i: np.ndarray, j: np.ndarray, most: int = 32_000_000) -> np.ndarray:
+        """Differing bits of pairs of rows, in the narrower of their two widths."""
+        out = np.zeros(len(i), np.int64)
+        for a in np.unique(self.width[i]).tolist():
+            for b in np.unique(self.width[j[self.width[i] == a]]).tolist():
+                both = np.flatnonzero((self.width[i] == a) & (self.width[j] == b))
+                step = max(1, most // max(a, b))
+                for start in range(0, len(both), step):
+                    at = both[start:start + step]
+                    x, y = self.rows[a][self.place[i[at]]], self.rows[b][self.place[j[at]]]
+                    out[at] = np.bitwise_count(self._folded(x, min(a, b)) ^ self._folded(y, min(a, b))).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def _tile_pairs(tile, low, cls, n, comp, band, maps, percent: int, wide: _Maps | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Rows sorted by tile, whole tiles only: pairs of different components whose sizes
-    fit and whose short bitmaps leave room. ``low`` is the lower band that a tile
-    compares with itself and the next one, or -1 where it holds all of a shingle's rows."""
+    fit and whose bitmaps leave room, first the short ones, then the ``wide`` ones. ``low``
+    is the lower band that a tile compares with itself and the next one, or -1 where it
+    holds all of a shingle's rows."""
     start = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
     size = np.diff(np.append(start, len(tile)))
     left_over = np.repeat(size, size) - (np.arange(len(tile)) - np.repeat(start, size))  # rows from here to the tile's end
@@ -315,7 +349,11 @@ def _tile_pairs(tile, low, cls, n, comp, band, maps, percent: int) -> tuple[np.n
         apart = np.bitwise_count(maps[i] ^ maps[j]).sum(axis=1, dtype=np.int64)
         # overlap <= (total - apart) / 2 and similar means (100 + p) * overlap >= p * total
         room = (100 + percent) * (n[i] + n[j] - apart) >= 2 * percent * (n[i] + n[j])
-        found.append((cls[i[room]], cls[j[room]]))
+        i, j = i[room], j[room]
+        if wide is not None and len(i):
+            room = (100 + percent) * (n[i] + n[j] - wide.apart(i, j)) >= 2 * percent * (n[i] + n[j])
+            i, j = i[room], j[room]
+        found.append((cls[i], cls[j]))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     a, b = (np.concatenate(x) for x in zip(*found))
@@ -339,12 +377,7 @@ def tile_candidates(runs: DataFrame, label: DataFrame, maps: DataFrame, percent:
     rows = rows.select("s", "low", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "class", "n", "comp", "band").distinct()
     rows = stored(rows, "tiles")
     known = maps.join(rows.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"])
-
-    def shorten(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([short(x) for x in batch.column(1).to_pylist()], pa.binary())], names=["class", "bits"])
-
-    signed = rows.join(in_batches(known.select("class", "bits"), "class bigint, bits binary", shorten), "class")
+    signed = rows.join(known.select("class", "bits"), "class")
     signed = signed.repartition(shuffle_partitions(spark), "s", "low", "i", "j").sortWithinPartitions("s", "low", "i", "j")
     columns = ["s", "low", "i", "j", "class", "n", "comp", "band", "bits"]
 
@@ -357,8 +390,8 @@ def tile_candidates(runs: DataFrame, label: DataFrame, maps: DataFrame, percent:
             for k in keys:
                 change[1:] |= k[1:] != k[:-1]
             cls, n, comp, band = (table.column(k).to_numpy().astype(np.int64) for k in ("class", "n", "comp", "band"))
-            bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(table.num_rows, -1)
-            a, b = _tile_pairs(np.cumsum(change), keys[1], cls, n, comp, band, bits, percent)
+            wide = _Maps(table.column("bits").to_pylist())
+            a, b = _tile_pairs(np.cumsum(change), keys[1], cls, n, comp, band, wide.short.view(np.uint64), percent, wide)
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
@@ -376,16 +409,9 @@ def tile_candidates(runs: DataFrame, label: DataFrame, maps: DataFrame, percent:
         if held:
             yield close(pa.Table.from_batches(held))
 
-    pairs = signed.select(*columns).mapInArrow(run, "a bigint, b bigint").distinct()
-    left, right = (known.select(F.col("class").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}")) for k in "ab")
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-
-    def bound(batch: pa.RecordBatch) -> pa.RecordBatch:
-        columns = [batch.column(k).to_pylist() for k in range(2, 6)]
-        keep = [bound_holds(x, y, n, m, percent) for n, m, x, y in zip(*columns)]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return in_batches(both, "a bigint, b bigint", bound, 4096)
+    pairs = stored(signed.select(*columns).mapInArrow(run, "a bigint, b bigint").distinct(), "candidates")
+    discard(rows)
+    return pairs
 
 
 def link(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -409,7 +435,8 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
     edges = stored(verify(first, wanted_sets(docs, wanted(first), text, width), percent), "edges")
     label = components(edges)
     maps = seen.where("class IS NOT NULL").select("class", "n", "bits")
-    more = stored(tile_candidates(runs, label, maps, percent), "candidates")
+    more = tile_candidates(runs, label, maps, percent)
+    discard(runs)
     if not more.isEmpty():
         more = stored(verify(more, wanted_sets(docs, wanted(more), text, width), percent), "edges")
         label = components(edges.unionByName(more))

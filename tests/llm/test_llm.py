@@ -217,6 +217,10 @@ def test_tiles_find_what_the_first_pass_leaves(spark):
     found = {p for p in zip(a.tolist(), b.tolist()) if jaccard.bound_holds(bits[p[0]], bits[p[1]], int(n[p[0]]), int(n[p[1]]), 75)}
     one = jaccard._tile_pairs(np.zeros(20), np.full(20, -1), np.arange(20), n, np.arange(20), band, short, 75)
     assert found <= set(zip(*(x.tolist() for x in one)))
+    wide = jaccard._Maps(bits)
+    inside = jaccard._tile_pairs(np.zeros(20), np.full(20, -1), np.arange(20), n, np.arange(20), band, wide.short.view(np.uint64), 75, wide)
+    assert set(zip(*(x.tolist() for x in inside))) == {
+        p for p in zip(*(x.tolist() for x in one)) if jaccard.bound_holds(bits[p[0]], bits[p[1]], int(n[p[0]]), int(n[p[1]]), 75)}
     for a, b in itertools.combinations(range(20), 2):
         common = len(np.intersect1d(sets[a], sets[b]))
         if 100 * common >= 75 * (n[a] + n[b] - common):
