@@ -10,9 +10,10 @@
    set sizes (only neighbouring bands can link), and blocks of bounded size in
    crowded ones. In a tile, bitmaps of hashed parities, as wide as the band
    needs, bound each overlap from above: two sets differ at least in as many
-   elements as their bitmaps in bits. Only what passes, and would join
-   different components, leaves the tile; it is verified exactly on the
-   sorted arrays.
+   elements as their bitmaps in bits. Of the pairs that pass and would join
+   different components a tile gives a spanning forest, likelier pairs first;
+   these are verified exactly on the sorted arrays and components updated, until
+   no forest joins any; the pairs then left are all verified.
 
 No pair is left out and no group is expanded into all its pairs of copies.
 Null and empty texts have empty sets and link with nothing. Repeated rows are
@@ -280,25 +281,6 @@ def bitmap(values: np.ndarray) -> bytes:
     return np.packbits((np.bincount((mix(values) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8)).tobytes()
 
 
-def _folded(data: bytes, size: int) -> np.ndarray:
-    """A wider bitmap as a narrower one: places that fall together add their parities."""
-    own = np.frombuffer(data, np.uint8)
-    return np.bitwise_xor.reduce(own.reshape(-1, size // 8), axis=0)
-
-
-def short(data: bytes) -> bytes:
-    """A bitmap in its shortest form."""
-    return _folded(data, 1 << SHORT_BITS).tobytes()
-
-
-def bound_holds(x: bytes, y: bytes, n: int, m: int, percent: int) -> bool:
-    """Whether the bitmaps leave room for enough overlap: it is at most half of what
-    the sizes add up to less the differing bits."""
-    size = min(len(x), len(y)) * 8
-    apart = int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum())
-    return (100 + percent) * (n + m - apart) >= 2 * percent * (n + m)
-
-
 class _Maps:
     """Bitmaps of a tile's rows in their own widths, and all of them in the shortest."""
 
@@ -331,14 +313,36 @@ class _Maps:
         return out
 
 
-def _tile_pairs(tile, low, cls, n, comp, band, maps, percent: int, wide: _Maps | None = None) -> tuple[np.ndarray, np.ndarray]:
+def _forest(i: np.ndarray, j: np.ndarray, likely: np.ndarray, comp: np.ndarray) -> np.ndarray:
+    """Which pairs make a spanning forest of their components, likelier pairs first."""
+    order = np.argsort(-likely, kind="stable")
+    _, ends = np.unique(np.concatenate([comp[i[order]], comp[j[order]]]), return_inverse=True)
+    a, b = ends[:len(order)], ends[len(order):]
+    label, chosen = np.arange(ends.max(initial=-1) + 1), []
+    while True:
+        x, y = label[a], label[b]
+        live = np.flatnonzero(x != y)
+        if not len(live):
+            return order[np.array(sorted(chosen), np.int64)]
+        # Each tree takes its likeliest pair; taken in order, they close no ring.
+        _, first = np.unique(np.stack([x[live], y[live]], axis=1).ravel(), return_index=True)
+        for k in sorted(set((live[first // 2]).tolist())):
+            p, q = label[a[k]], label[b[k]]
+            if p != q:
+                label[label == max(p, q)] = min(p, q)
+                chosen.append(k)
+
+
+def _tile_pairs(tile, low, cls, n, comp, band, wide: _Maps, percent: int, forest: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Rows sorted by tile, whole tiles only: pairs of different components whose sizes
-    fit and whose bitmaps leave room, first the short ones, then the ``wide`` ones. ``low``
+    fit and whose bitmaps leave room, first the short ones, then the wide ones. ``low``
     is the lower band that a tile compares with itself and the next one, or -1 where it
-    holds all of a shingle's rows."""
+    holds all of a shingle's rows. With ``forest`` each tile gives a spanning forest of
+    such pairs only, likelier ones first, and (c, c) for each class c that is in any."""
     start = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
     size = np.diff(np.append(start, len(tile)))
     left_over = np.repeat(size, size) - (np.arange(len(tile)) - np.repeat(start, size))  # rows from here to the tile's end
+    short = wide.short.view(np.uint64)
     found, rows = [], np.arange(len(tile))
     for d in range(1, int(size.max(initial=1))):
         rows = rows[left_over[rows] > d]
@@ -346,26 +350,33 @@ def _tile_pairs(tile, low, cls, n, comp, band, maps, percent: int, wide: _Maps |
         ok = (comp[rows] != comp[other]) & ((low[rows] < 0) | (band[rows] == low[rows]) | (band[other] == low[rows]))
         ok &= 100 * np.minimum(n[rows], n[other]) >= percent * np.maximum(n[rows], n[other])
         i, j = rows[ok], other[ok]
-        apart = np.bitwise_count(maps[i] ^ maps[j]).sum(axis=1, dtype=np.int64)
         # overlap <= (total - apart) / 2 and similar means (100 + p) * overlap >= p * total
-        room = (100 + percent) * (n[i] + n[j] - apart) >= 2 * percent * (n[i] + n[j])
-        i, j = i[room], j[room]
-        if wide is not None and len(i):
-            room = (100 + percent) * (n[i] + n[j] - wide.apart(i, j)) >= 2 * percent * (n[i] + n[j])
-            i, j = i[room], j[room]
-        found.append((cls[i], cls[j]))
+        for apart in (lambda i, j: np.bitwise_count(short[i] ^ short[j]).sum(axis=1, dtype=np.int64), wide.apart):
+            common = n[i] + n[j] - apart(i, j)
+            room = (100 + percent) * common >= 2 * percent * (n[i] + n[j])
+            i, j, common = i[room], j[room], common[room]
+        found.append((i, j, common / (n[i] + n[j])))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    a, b = (np.concatenate(x) for x in zip(*found))
-    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-    return pairs[0], pairs[1]
+    i, j, likely = (np.concatenate(x) for x in zip(*found))
+    alone = np.zeros(0, np.int64)
+    if forest and len(i):
+        alone = np.unique(cls[np.concatenate([i, j])])
+        # Components are told apart by tile, so one call makes the forests of all tiles.
+        _, own = np.unique(np.stack([np.cumsum(np.isin(np.arange(len(tile)), start)), comp], axis=1), axis=0, return_inverse=True)
+        kept = _forest(i, j, likely, own.ravel())
+        i, j = i[kept], j[kept]
+    pairs = np.unique(np.stack([np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])]), axis=1)
+    return np.concatenate([pairs[0], alone]), np.concatenate([pairs[1], alone])
+
 
+def _with_component(rows: DataFrame, label: DataFrame) -> DataFrame:
+    return rows.join(label, F.col("class") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "class")).drop("node", "component")
 
-def tile_candidates(runs: DataFrame, label: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of shingles' classes in different components that pass the bitmap bounds. maps: (class, n, bits)."""
-    spark = runs.sparkSession
-    rows = runs.select("s", "class", "n").join(label, F.col("class") == F.col("node"), "left")
-    rows = rows.select("s", "class", "n", F.coalesce("component", "class").alias("comp"))
+
+def tiles(runs: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """(s, low, i, j, class, n, band): rows of the shingles that still hold several components."""
+    rows = _with_component(runs.select("s", "class", "n"), label)
     mixed = rows.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo != hi")
     rows = rows.join(mixed.select("s", "size"), "s")
     # Few rows are one tile; more are cut by size band, and a crowded shingle also into blocks.
@@ -374,10 +385,15 @@ def tile_candidates(runs: DataFrame, label: DataFrame, maps: DataFrame, percent:
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     few = F.col("size") <= SMALL
     rows = rows.withColumn("low", F.explode(F.when(few, F.array(F.lit(-1))).otherwise(F.array(F.col("band"), F.greatest(F.col("band") - 1, F.lit(0))))))
-    rows = rows.select("s", "low", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "class", "n", "comp", "band").distinct()
-    rows = stored(rows, "tiles")
+    rows = rows.select("s", "low", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "class", "n", "band").distinct()
+    return stored(rows, "tiles")
+
+
+def tile_candidates(rows: DataFrame, label: DataFrame, maps: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """Pairs (a, b) of tiles' classes in different components that pass the bitmap bounds. maps: (class, n, bits)."""
+    spark = rows.sparkSession
     known = maps.join(rows.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"])
-    signed = rows.join(known.select("class", "bits"), "class")
+    signed = _with_component(rows, label).join(known.select("class", "bits"), "class")
     signed = signed.repartition(shuffle_partitions(spark), "s", "low", "i", "j").sortWithinPartitions("s", "low", "i", "j")
     columns = ["s", "low", "i", "j", "class", "n", "comp", "band", "bits"]
 
@@ -391,7 +407,7 @@ def tile_candidates(runs: DataFrame, label: DataFrame, maps: DataFrame, percent:
                 change[1:] |= k[1:] != k[:-1]
             cls, n, comp, band = (table.column(k).to_numpy().astype(np.int64) for k in ("class", "n", "comp", "band"))
             wide = _Maps(table.column("bits").to_pylist())
-            a, b = _tile_pairs(np.cumsum(change), keys[1], cls, n, comp, band, wide.short.view(np.uint64), percent, wide)
+            a, b = _tile_pairs(np.cumsum(change), keys[1], cls, n, comp, band, wide, percent, forest)
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
@@ -409,9 +425,47 @@ def tile_candidates(runs: DataFrame, label: DataFrame, maps: DataFrame, percent:
         if held:
             yield close(pa.Table.from_batches(held))
 
-    pairs = stored(signed.select(*columns).mapInArrow(run, "a bigint, b bigint").distinct(), "candidates")
+    return stored(signed.select(*columns).mapInArrow(run, "a bigint, b bigint").distinct(), "candidates")
+
+
+def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after further links: they join whole components, so only those are worked on."""
+    ends = _with_component(links.select("a", "b", F.explode(F.array("a", "b")).alias("class")), label)
+    ends = ends.groupBy("a", "b").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    joined = components(ends.select(F.col("low").alias("a"), F.col("high").alias("b"))).withColumnsRenamed({"node": "comp", "component": "least"})
+    old = label.join(joined, label["component"] == joined["comp"], "left").select("node", F.coalesce("least", "component").alias("component"))
+    # Classes that had no link so far are their own components.
+    new = joined.join(label, joined["comp"] == label["node"], "left_anti").select(F.col("comp").alias("node"), F.col("least").alias("component"))
+    return stored(old.unionByName(new), "labels")
+
+
+def further_links(runs: DataFrame, label: DataFrame, maps: DataFrame, docs: DataFrame, text: str, width: int, percent: int) -> DataFrame:
+    """The components after all links that the first pass left.
+
+    Forests of likely pairs are verified first, as long as they join
+    components, so a group costs its members and not their pairs. The last
+    turn takes all pairs that are left between different components.
+    """
+    rows = tiles(runs, label, percent)
+    discard(runs)
+    found = tile_candidates(rows, label, maps, percent, forest=True)
+    members = found.where("a = b").select(F.col("a").alias("class"))
+    if found.isEmpty():
+        return label
+    sets = stored(wanted_sets(docs, members, text, width), "candidate-sets")
+    rest = stored(rows.join(members, "class", "left_semi"), "tiles")
     discard(rows)
-    return pairs
+    last = False
+    while True:
+        links = stored(verify(found.where("a != b"), sets, percent), "links")
+        if not links.isEmpty():
+            label = _merged(label, links)
+        if last:
+            return label
+        last = links.isEmpty()
+        found = tile_candidates(rest, label, maps, percent, forest=not last)
+        if found.isEmpty():
+            return label
 
 
 def link(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -435,11 +489,7 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
     edges = stored(verify(first, wanted_sets(docs, wanted(first), text, width), percent), "edges")
     label = components(edges)
     maps = seen.where("class IS NOT NULL").select("class", "n", "bits")
-    more = tile_candidates(runs, label, maps, percent)
-    discard(runs)
-    if not more.isEmpty():
-        more = stored(verify(more, wanted_sets(docs, wanted(more), text, width), percent), "edges")
-        label = components(edges.unionByName(more))
+    label = further_links(runs, label, maps, docs, text, width, percent)
 
     own_least = own.where("class IS NOT NULL").groupBy("class").agg(F.min(key).alias("least"), F.count("*").alias("copies"))
     joined = own_least.join(label, F.col("class") == F.col("node"), "left").select(

@@ -210,21 +210,48 @@ def test_tiles_find_what_the_first_pass_leaves(spark):
     n = np.array([len(s) for s in sets])
     band = np.floor(np.log(n) / np.log(101 / 75)).astype(int)
     bits = [jaccard.bitmap(s) for s in sets]
-    short = np.array([np.frombuffer(jaccard.short(x), np.uint64) for x in bits])
+    wide = jaccard._Maps(bits)
     tiles = [(low, k) for low in range(band.min(), band.max() + 1) for k in range(20) if band[k] in (low, low + 1)]
     low, at = (np.array(x) for x in zip(*tiles))
-    a, b = jaccard._tile_pairs(low, low, at, n[at], at, band[at], short[at], 75)
-    found = {p for p in zip(a.tolist(), b.tolist()) if jaccard.bound_holds(bits[p[0]], bits[p[1]], int(n[p[0]]), int(n[p[1]]), 75)}
-    one = jaccard._tile_pairs(np.zeros(20), np.full(20, -1), np.arange(20), n, np.arange(20), band, short, 75)
+    a, b = jaccard._tile_pairs(low, low, at, n[at], at, band[at], jaccard._Maps([bits[k] for k in at]), 75)
+    found = set(zip(a.tolist(), b.tolist()))
+    one = jaccard._tile_pairs(np.zeros(20), np.full(20, -1), np.arange(20), n, np.arange(20), band, wide, 75)
     assert found <= set(zip(*(x.tolist() for x in one)))
-    wide = jaccard._Maps(bits)
-    inside = jaccard._tile_pairs(np.zeros(20), np.full(20, -1), np.arange(20), n, np.arange(20), band, wide.short.view(np.uint64), 75, wide)
-    assert set(zip(*(x.tolist() for x in inside))) == {
-        p for p in zip(*(x.tolist() for x in one)) if jaccard.bound_holds(bits[p[0]], bits[p[1]], int(n[p[0]]), int(n[p[1]]), 75)}
     for a, b in itertools.combinations(range(20), 2):
         common = len(np.intersect1d(sets[a], sets[b]))
         if 100 * common >= 75 * (n[a] + n[b] - common):
             assert (a, b) in found
+    # A forest has one pair less than the classes it joins, and names all classes of any pair.
+    a, b = jaccard._tile_pairs(np.zeros(20), np.full(20, -1), np.arange(20), n, np.arange(20), band, wide, 75, True)
+    pairs, alone = [(x, y) for x, y in zip(a.tolist(), b.tolist()) if x != y], {x for x, y in zip(a.tolist(), b.tolist()) if x == y}
+    groups, every = Groups(range(20)), Groups(range(20))
+    for x, y in pairs:
+        assert groups.root(x) != groups.root(y)
+        groups.join(x, y)
+    for x, y in zip(*(x.tolist() for x in one)):
+        every.join(x, y)
+    assert alone == {x for p in zip(*(x.tolist() for x in one)) for x in p}
+    assert [groups.root(x) for x in range(20)] == [every.root(x) for x in range(20)]
+
+
+def test_star_of_near_copies(spark):
+    """Copies each near their base only, whose base sorts anywhere: a group costs its members."""
+    rng = random.Random(4)
+    base = [f"b{k}" for k in range(200)]
+    texts = [" ".join(base)]
+    for k in range(60):
+        words = base[:]
+        for at in rng.sample(range(0, 195, 10), 5):
+            words[at] = f"x{k}q{at}"
+        texts.append(" ".join(words))
+    rows = [(i, t) for i, t in enumerate(texts[::-1])]
+    sets = [{tuple(t.split()[k:k + 5]) for k in range(196)} for _, t in rows]
+    groups = Groups(range(len(rows)))
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+            groups.join(a, b)
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.link(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found == {i: groups.root(i) for i, _ in rows}
 
 
 def test_components_of_chains_and_hubs(spark):
