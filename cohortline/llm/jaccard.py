@@ -377,8 +377,11 @@ def _with_component(rows: DataFrame, label: DataFrame) -> DataFrame:
 def tiles(runs: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     """(s, low, i, j, class, n, band): rows of the shingles that still hold several components."""
     rows = _with_component(runs.select("s", "class", "n"), label)
-    mixed = rows.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo != hi")
-    rows = rows.join(mixed.select("s", "size"), "s")
+    lists = [F.bit_xor(F.xxhash64("class", F.lit(k))).alias(f"list{k}") for k in (1, 2)]
+    mixed = rows.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), *lists).where("lo != hi")
+    # The shingles of a shared passage have the same classes: one of them is enough.
+    once = mixed.groupBy("size", "list1", "list2").agg(F.min("s").alias("s"))
+    rows = rows.join(once.select("s", "size"), "s")
     # Few rows are one tile; more are cut by size band, and a crowded shingle also into blocks.
     rows = rows.withColumn("band", F.floor(F.log("n") / F.log(F.lit(101.0 / percent))).cast("int"))
     rows = rows.withColumn("blocks", F.ceil(F.col("size") / TILE).cast("int")).withColumn("block", F.pmod("class", "blocks").cast("int"))
