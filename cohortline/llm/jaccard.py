@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.llm.common import discard, in_batches, shuffle_partitions, stored
-from cohortline.llm.components import components
+from cohortline.llm.components import components, in_turns, with_component
 from cohortline.llm.wordhash import mix, shingle_sets
 
 WIDTH = 5
@@ -370,13 +370,9 @@ def _tile_pairs(tile, low, cls, n, comp, band, wide: _Maps, percent: int, forest
     return np.concatenate([pairs[0], alone]), np.concatenate([pairs[1], alone])
 
 
-def _with_component(rows: DataFrame, label: DataFrame) -> DataFrame:
-    return rows.join(label, F.col("class") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "class")).drop("node", "component")
-
-
 def tiles(runs: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     """(s, low, i, j, class, n, band): rows of the shingles that still hold several components."""
-    rows = _with_component(runs.select("s", "class", "n"), label)
+    rows = with_component(runs.select("s", "class", "n"), label)
     lists = [F.bit_xor(F.xxhash64("class", F.lit(k))).alias(f"list{k}") for k in (1, 2)]
     mixed = rows.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), *lists).where("lo != hi")
     # The shingles of a shared passage have the same classes: one of them is enough.
@@ -396,7 +392,7 @@ def tile_candidates(rows: DataFrame, label: DataFrame, maps: DataFrame, percent:
     """Pairs (a, b) of tiles' classes in different components that pass the bitmap bounds. maps: (class, n, bits)."""
     spark = rows.sparkSession
     known = maps.join(rows.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"])
-    signed = _with_component(rows, label).join(known.select("class", "bits"), "class")
+    signed = with_component(rows, label).join(known.select("class", "bits"), "class")
     signed = signed.repartition(shuffle_partitions(spark), "s", "low", "i", "j").sortWithinPartitions("s", "low", "i", "j")
     columns = ["s", "low", "i", "j", "class", "n", "comp", "band", "bits"]
 
@@ -431,17 +427,6 @@ def tile_candidates(rows: DataFrame, label: DataFrame, maps: DataFrame, percent:
     return stored(signed.select(*columns).mapInArrow(run, "a bigint, b bigint").distinct(), "candidates")
 
 
-def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
-    """The components after further links: they join whole components, so only those are worked on."""
-    ends = _with_component(links.select("a", "b", F.explode(F.array("a", "b")).alias("class")), label)
-    ends = ends.groupBy("a", "b").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-    joined = components(ends.select(F.col("low").alias("a"), F.col("high").alias("b"))).withColumnsRenamed({"node": "comp", "component": "least"})
-    old = label.join(joined, label["component"] == joined["comp"], "left").select("node", F.coalesce("least", "component").alias("component"))
-    # Classes that had no link so far are their own components.
-    new = joined.join(label, joined["comp"] == label["node"], "left_anti").select(F.col("comp").alias("node"), F.col("least").alias("component"))
-    return stored(old.unionByName(new), "labels")
-
-
 def further_links(runs: DataFrame, label: DataFrame, maps: DataFrame, docs: DataFrame, text: str, width: int, percent: int) -> DataFrame:
     """The components after all links that the first pass left.
 
@@ -458,17 +443,9 @@ def further_links(runs: DataFrame, label: DataFrame, maps: DataFrame, docs: Data
     sets = stored(wanted_sets(docs, members, text, width), "candidate-sets")
     rest = stored(rows.join(members, "class", "left_semi"), "tiles")
     discard(rows)
-    last = False
-    while True:
-        links = stored(verify(found.where("a != b"), sets, percent), "links")
-        if not links.isEmpty():
-            label = _merged(label, links)
-        if last:
-            return label
-        last = links.isEmpty()
-        found = tile_candidates(rest, label, maps, percent, forest=not last)
-        if found.isEmpty():
-            return label
+    return in_turns(
+        label, found, lambda pairs: verify(pairs, sets, percent),
+        lambda now, forest: tile_candidates(rest, now, maps, percent, forest))
 
 
 def link(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

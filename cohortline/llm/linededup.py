@@ -17,7 +17,9 @@ places off in the other line; long lines list all their places instead.
 
 1. Every line is compared with the first line of the key it shares most often.
 2. Keys that still hold several components are cut into tiles of bounded size;
-   in a tile, pairs of different components are compared.
+   in a tile, pairs of different components whose lengths and counts of signs
+   or words leave room make a spanning forest, likelier pairs first. Forests
+   are compared as long as they join anything, then all pairs that are left.
 
 A comparison strips common ends and runs a banded bit-parallel edit distance
 over many pairs at once. Components of all links found are the line classes; no
@@ -40,9 +42,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import BLANKS, aside, in_batches, shuffle_partitions, stored
-from cohortline.llm.components import components
-from cohortline.llm.jaccard import FILTER_BITS, _shared_only, filter_of
+from cohortline.llm.common import BLANKS, aside, discard, in_batches, shuffle_partitions, stored
+from cohortline.llm.components import components, in_turns, with_component
+from cohortline.llm.jaccard import FILTER_BITS, _forest, _shared_only, filter_of
 from cohortline.llm.wordhash import _power, mix
 
 EDITS = 2
@@ -163,24 +165,26 @@ def word_keys_of(words: Words, per: int) -> Iterator[tuple[np.ndarray, np.ndarra
         shifts = [range(max(-k, k - edits), k + 1) for k in range(edits + 1)]
         anywhere = sum(map(len, shifts)) > low
 
-        def keys(rows, start, k):
-            full = lambda value: np.full(len(rows), value, np.int64)
-            return words.part(start, full(size), full((1 << 40) + (number << 20) + (0 if anywhere else k)), rows)  # noqa: B023
-
-        for k in range(edits + 1):
-            if len(own):
-                yield own, keys(own, k * size, k), 0
-            for shift in () if anywhere else shifts[k]:
-                at = k * size + shift
-                rows = longer[(words.size[longer] >= at + size) & ((shift != 0) | (words.size[longer] >= high))]
-                if len(rows):
-                    yield rows, keys(rows, at, k), 1
+        def keys(rows, at, k):
+            return rows, words.part(at, np.full(len(rows), size, np.int64), k * (not anywhere) + (1 << 40) + (number << 20), rows)  # noqa: B023
+
+        parts = np.arange(edits + 1)
+        if len(own):
+            yield *keys(np.repeat(own, len(parts)), np.tile(parts * size, len(own)), np.tile(parts, len(own))), 0
+        if not anywhere and len(longer):
+            places = np.concatenate([np.array(s) for s in shifts])
+            part = np.repeat(parts, [len(s) for s in shifts])
+            at = part * size + places
+            count = words.size[longer][:, None]
+            rows, column = np.nonzero((count >= at + size) & ((places != 0) | (count >= high)))
+            if len(rows):
+                yield *keys(longer[rows], at[column], part[column]), 1
         if anywhere and len(longer):
             count = words.size[longer] - size + 1
             rows = np.repeat(longer, count)
             at = np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)
             probe = (words.size[rows] >= high) | (at % size != 0) | (at // size > edits)
-            yield rows[probe], keys(rows[probe], at[probe], 0), 1
+            yield *keys(rows[probe], at[probe], np.zeros(int(probe.sum()), np.int64)), 1
 
 
 def _blocks(texts: list[str | None], least: int):
@@ -385,70 +389,136 @@ def verify(pairs: DataFrame, texts: DataFrame, edits: int, per: int | None = Non
     return in_batches(both, "a bigint, b bigint", work, 4096)
 
 
-def _tile_links(cls, kind, comp, lines: list[str], edits: int, per: int | None = None) -> list[tuple[int, int]]:
-    """Links of a tile between different components, enough to join what belongs together."""
-    size, links = np.fromiter(map(len, lines), np.int64, len(lines)), []
-    bags = np.stack([_bag(_points(x)) for x in lines])
-    if per:
-        words = Words(Lines(lines))
-        word_bags, limits = np.stack([_bag(words.of(i)) for i in range(len(lines))]), limits_of(words.size, per)
-    comp = comp.copy()
-    for i in np.flatnonzero(kind == 0).tolist():
-        rows = np.flatnonzero((comp != comp[i]) & ((kind == 1) | (cls > cls[i])))
-        alike = rows[np.abs(size[rows] - size[i]) <= edits]
-        alike = alike[np.abs(bags[alike] - bags[i]).sum(axis=1) <= 2 * edits]
-        found = alike[within([(lines[i], lines[j]) for j in alike.tolist()], edits)]
-        if per:
-            rows = rows[~np.isin(comp[rows], comp[found])]
-            limit = np.minimum(limits[rows], limits[i])
-            able = (limit > 0) & (np.abs(words.size[rows] - words.size[i]) <= limit)
-            rows, limit = rows[able], limit[able]
-            rows = rows[np.abs(word_bags[rows] - word_bags[i]).sum(axis=1) <= 2 * limit]
-            found = np.concatenate([found, rows[words_within(words, np.full(len(rows), i), rows, per)]])
-        for j in found.tolist():
-            if comp[i] != comp[j]:
-                comp[comp == comp[j]] = comp[i]
-                links.append((int(cls[i]), int(cls[j])))
-    return links
-
-
-def tile_links(runs: DataFrame, label: DataFrame, docs: DataFrame, edits: int, least: int, per: int | None = None) -> DataFrame:
-    rows = runs.select("s", "class", "n").join(label, F.col("class") == F.col("node"), "left")
-    rows = rows.select("s", "class", "n", F.coalesce("component", "class").alias("comp"))
-    mixed = rows.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo != hi")
-    rows = rows.join(mixed.select("s", "size"), "s").withColumn("blocks", F.ceil(F.col("size") / TILE).cast("int"))
-    rows = rows.withColumn("block", F.pmod("class", "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("s", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "class", "n", "comp")
-    rows = stored(rows, "line-tiles")
-    rows = rows.join(wanted_lines(docs, rows.select("class"), least), "class")
-    rows = rows.repartition(shuffle_partitions(runs.sparkSession), "s", "i", "j").sortWithinPartitions("s", "i", "j")
+def _counts(points: np.ndarray, first: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """Counts of values in 64 bins for each stretch, cut off at 255: their differences are no greater than the whole counts' ones."""
+    owner = np.repeat(np.arange(len(size)), size)
+    bins = np.bincount(owner * 64 + (points & np.uint64(63)).astype(np.int64), minlength=64 * len(size))
+    return [x.tobytes() for x in np.minimum(bins, 255).astype(np.uint8).reshape(-1, 64)]
+
+
+def line_signs(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
+    """(class, size, words, bag, word_bag) of the wanted lines and, by chance, some others."""
+    shared = docs.sparkSession.sparkContext.broadcast(filter_of(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last = [], None
+        for block in _fresh_lines(batches, least):
+            ids = Lines(block).ids
+            place = (ids.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+            hit = np.flatnonzero(shared.value[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1)
+            if len(hit):
+                lines = Lines([block[i] for i in hit])
+                words = Words(lines)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(lines.ids), pa.array(lines.size.astype(np.int32)), pa.array(words.size.astype(np.int32)),
+                    pa.array(_counts(lines.points, lines.first, lines.size), pa.binary()),
+                    pa.array(_counts(words.points, words.first, words.size), pa.binary())], names=["class", "size", "words", "bag", "word_bag"])
+
+    return docs.select("text").mapInArrow(run, "class bigint, size int, words int, bag binary, word_bag binary").dropDuplicates(["class"])
+
+
+def _tile_pairs(tile, cls, kind, comp, size, words, bags, word_bags, edits: int, per: int | None, forest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Rows sorted by tile, whole tiles only: pairs of different components, one of them by its own segment,
+    whose lengths and counts of signs or words leave room for the limit. With ``forest`` a spanning forest
+    of them, likelier ones first, and (c, c) for each class c that is in any."""
+    start = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
+    many = np.diff(np.append(start, len(tile)))
+    left_over = np.repeat(many, many) - (np.arange(len(tile)) - np.repeat(start, many))
+    limits = limits_of(words, per) if per else np.zeros(len(tile), np.int64)
+    found, rows = [], np.arange(len(tile))
+    apart = lambda bag, i, j: np.abs(bag[i].astype(np.int16) - bag[j]).sum(axis=1, dtype=np.int64)
+    for d in range(1, int(many.max(initial=1))):
+        rows = rows[left_over[rows] > d]
+        other = rows + d
+        ok = (comp[rows] != comp[other]) & (cls[rows] != cls[other]) & ((kind[rows] == 0) | (kind[other] == 0))
+        i, j = rows[ok], other[ok]
+        limit = np.minimum(limits[i], limits[j])
+        by_words = (limit > 0) & (np.abs(words[i] - words[j]) <= limit)
+        by_signs = np.abs(size[i] - size[j]) <= edits
+        likely = np.full(len(i), -np.inf)
+        for able, bag, most in ((by_signs, bags, np.full(len(i), edits)), (by_words, word_bags, limit)):
+            at = np.flatnonzero(able)
+            off = apart(bag, i[at], j[at])
+            near_ = off <= 2 * most[at]
+            likely[at[near_]] = np.maximum(likely[at[near_]], -off[near_] / np.maximum(words[i[at[near_]]], 1))
+        room = np.isfinite(likely)
+        found.append((i[room], j[room], likely[room]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    i, j, likely = (np.concatenate(x) for x in zip(*found))
+    alone = np.zeros(0, np.int64)
+    if forest and len(i):
+        alone = np.unique(cls[np.concatenate([i, j])])
+        _, own = np.unique(np.stack([np.repeat(np.arange(len(start)), many), comp], axis=1), axis=0, return_inverse=True)
+        kept = _forest(i, j, likely, own.ravel())
+        i, j = i[kept], j[kept]
+    pairs = np.unique(np.stack([np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])]), axis=1)
+    return np.concatenate([pairs[0], alone]), np.concatenate([pairs[1], alone])
+
+
+def tiles(runs: DataFrame, label: DataFrame) -> DataFrame:
+    """(s, i, j, class, n): rows of the keys that still hold several components, in blocks of bounded size."""
+    rows = with_component(runs.select("s", "class", "n"), label)
+    lists = [F.bit_xor(F.xxhash64("class", "n", F.lit(k))).alias(f"list{k}") for k in (1, 2)]
+    mixed = rows.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), *lists).where("lo != hi")
+    # Keys of a shared passage have the same lines: one of them is enough.
+    once = mixed.groupBy("size", "list1", "list2").agg(F.min("s").alias("s"))
+    rows = rows.join(once.select("s", "size"), "s").withColumn("blocks", F.ceil(F.col("size") / TILE).cast("int"))
+    rows = rows.withColumn("block", F.pmod("class", "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return stored(rows.select("s", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "class", "n"), "line-tiles")
+
 
-        def close():
-            whole = pa.Table.from_batches(held)
-            cls, kind, comp = (whole.column(k).to_numpy() for k in ("class", "n", "comp"))
-            links = _tile_links(cls, kind, comp, whole.column("line").to_pylist(), edits, per)
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+def tile_candidates(rows: DataFrame, label: DataFrame, signs: DataFrame, edits: int, per: int | None, forest: bool) -> DataFrame:
+    """Pairs (a, b) of tiles' lines in different components that may be near."""
+    rows = with_component(rows, label).join(signs, "class")
+    rows = rows.repartition(shuffle_partitions(rows.sparkSession), "s", "i", "j").sortWithinPartitions("s", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def close(table: pa.Table):
+            change = np.zeros(table.num_rows, bool)
+            for k in range(3):
+                key = table.column(k).to_numpy()
+                change[1:] |= key[1:] != key[:-1]
+            numbers = [table.column(k).to_numpy().astype(np.int64) for k in ("class", "n", "comp", "size", "words")]
+            bags = [np.frombuffer(b"".join(table.column(k).to_pylist()), np.uint8).reshape(-1, 64) for k in ("bag", "word_bag")]
+            a, b = _tile_pairs(np.cumsum(change), *numbers, *bags, edits, per, forest)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
-            keys = [batch.column(k).to_numpy() for k in range(3)]
-            change = np.zeros(batch.num_rows, bool)
-            for k in keys:
-                change[1:] |= k[1:] != k[:-1]
-            cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-            for start, end in zip(cuts, cuts[1:]):
-                tile = tuple(int(k[start]) for k in keys)
-                if last is not None and tile != last:
-                    yield close()
-                    held = []
-                held.append(batch.slice(start, end - start))
-                last = tile
+            last = np.ones(batch.num_rows, bool)
+            for k in range(3):
+                last &= batch.column(k).to_numpy() == batch.column(k)[batch.num_rows - 1].as_py()
+            cut = int(batch.num_rows - last[::-1].argmin()) if not last.all() else 0
+            if cut:  # the last tile may go on in the next batch
+                yield close(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            elif held and any(held[-1].column(k)[held[-1].num_rows - 1] != batch.column(k)[0] for k in range(3)):
+                yield close(pa.Table.from_batches(held))
+                held = []
+            held.append(batch.slice(cut))
         if held:
-            yield close()
+            yield close(pa.Table.from_batches(held))
+
+    columns = ["s", "i", "j", "class", "n", "comp", "size", "words", "bag", "word_bag"]
+    return stored(rows.select(*columns).mapInArrow(run, "a bigint, b bigint").distinct(), "line-candidates")
+
 
-    return rows.select("s", "i", "j", "class", "n", "comp", "line").mapInArrow(run, "a bigint, b bigint").distinct()
+def further_links(runs: DataFrame, label: DataFrame, docs: DataFrame, edits: int, least: int, per: int | None) -> DataFrame:
+    """The components after all links that the first pass left."""
+    rows = tiles(runs, label)
+    discard(runs)
+    signs = stored(line_signs(docs, rows.select("class"), least), "line-signs")
+    found = tile_candidates(rows, label, signs, edits, per, forest=True)
+    if found.isEmpty():
+        return label
+    members = found.where("a = b").select(F.col("a").alias("class"))
+    lines = stored(wanted_lines(docs, members, least), "candidate-lines")
+    rest = stored(rows.join(members, "class", "left_semi"), "line-tiles")
+    discard(rows)
+    return in_turns(
+        label, found, lambda pairs: verify(pairs, lines, edits, per),
+        lambda now, forest: tile_candidates(rest, now, signs, edits, per, forest))
 
 
 def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS, per: int | None = None) -> DataFrame:
@@ -460,8 +530,7 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS,
     wanted = first.select(F.explode(F.array("a", "b")).alias("class"))
     edges = stored(verify(first, wanted_lines(docs, wanted, least), edits, per), "line-edges")
     label = components(edges)
-    more = stored(tile_links(runs, label, docs, edits, least, per), "line-edges")
-    return label if more.isEmpty() else components(edges.unionByName(more))
+    return further_links(runs, label, docs, edits, least, per)
 
 
 def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS, least: int = LEAST_CHARS, per: int | None = None, short: bool = False) -> DataFrame:
