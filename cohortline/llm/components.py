@@ -16,7 +16,9 @@ def _with_least(edges: DataFrame) -> DataFrame:
     """Edges (u, v) with m, the least of u and its neighbours. A hub's edges are dealt over several keys."""
     least = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     least = least.select("u", "m", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    return edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(least, ["u", "salt"]).drop("salt")
+    # By shuffle: one broadcast per round would fill the driver.
+    dealt = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    return dealt.join(least.hint("merge"), ["u", "salt"]).drop("salt")
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
