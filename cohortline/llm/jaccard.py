@@ -388,6 +388,14 @@ def tiles(runs: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     return stored(rows, "tiles")
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """Of tiles with the same classes and the same lower band one."""
+    tile = ["s", "low", "i", "j"]
+    lists = [F.bit_xor(F.xxhash64("class", F.lit(k))).alias(f"list{k}") for k in (1, 2)]
+    same = rows.groupBy(*tile).agg(F.count("*").alias("size"), *lists).groupBy("low", "size", "list1", "list2")
+    return rows.join(same.agg(F.min(F.struct(*tile)).alias("tile")).where("size > 1").select("tile.*"), tile, "left_semi")
+
+
 def tile_candidates(rows: DataFrame, label: DataFrame, maps: DataFrame, percent: int, forest: bool) -> DataFrame:
     """Pairs (a, b) of tiles' classes in different components that pass the bitmap bounds. maps: (class, n, bits)."""
     spark = rows.sparkSession
@@ -441,7 +449,7 @@ def further_links(runs: DataFrame, label: DataFrame, maps: DataFrame, docs: Data
     if found.isEmpty():
         return label
     sets = stored(wanted_sets(docs, members, text, width), "candidate-sets")
-    rest = stored(rows.join(members, "class", "left_semi"), "tiles")
+    rest = stored(_once(rows.join(members, "class", "left_semi")), "tiles")
     discard(rows)
     return in_turns(
         label, found, lambda pairs: verify(pairs, sets, percent),
