@@ -3,10 +3,14 @@
 Each document gives four whole-number measures in thousandths. A sketch of a
 measure is its histogram over bins of at most 1/64 relative width: adding the
 counts of two sketches gives the sketch of both, so one set of rows
-(language, source, measure, bin, count) serves all levels. A fence lies three
-quartile distances outside the quartiles, but never inside a fixed margin, so
-a clean and narrow source rejects nothing. Groups below ``least`` documents use
-their language's fence, then the fence of all.
+(language, source, measure, bin, count) serves all levels. A group's sketch is
+shrunk towards its language's, and that towards all documents', as if ``weight``
+documents of the wider level had been added: small groups follow their language
+and large ones themselves, without a step. A fence lies SPREAD times the
+distance from the median to an outer quantile beyond that quantile, and a
+tolerance further, which is what a text of the least length shows by
+chance (two symbols, a phrase of four words said twice, one line of four); it keeps
+groups without any spread from rejecting clean documents. No cutoff is fixed.
 
 Built-in functions only. Null text has no words and fails the base rule. Null
 language or source is a group of its own. Repeated rows count as often as they
@@ -22,14 +26,15 @@ from pyspark.sql import functions as F
 from cohortline.llm.common import BLANKS, WORD_BREAK, aside, stored
 
 LEAST_WORDS = 50
-LEAST_GROUP = 200
-SPREAD = 3
-# measure -> (numerator, denominator, margin above, margin below): beyond a margin the fence decides.
+WEIGHT = 20
+OUTER = 850_000  # the outer quantile, in millionths
+SPREAD = 6
+# measure -> (numerator, denominator, tolerance in thousandths, whether there is a lower fence too)
 MEASURES = {
-    "symbols": ("n_symbols", "n_words", 100, None),
-    "repeats": ("n_repeat_words", "n_words", 200, None),
-    "same_lines": ("n_dup_lines", "n_lines", 300, None),
-    "word_size": ("word_chars", "n_words", 10_000, 3_000),
+    "symbols": ("n_symbols", "n_words", 40, False),
+    "repeats": ("n_repeat_words", "n_words", 180, False),
+    "same_lines": ("n_dup_lines", "n_lines", 250, False),
+    "word_size": ("word_chars", "n_words", 250, True),
 }
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -90,36 +95,43 @@ def sketches(measured: DataFrame, lang: str, source: str) -> DataFrame:
     return rows.groupBy("lang", "source", "measure", "bin").agg(F.count("*").alias("n"))
 
 
-_QUARTILES = """
-SELECT {keys}, measure, max(total) AS total,
-       min(CASE WHEN 100 * upto >= 25 * total THEN bin END) AS low,
-       min(CASE WHEN 100 * upto >= 75 * total THEN bin END) AS high
-FROM (SELECT *, sum(n) OVER (PARTITION BY {keys}, measure ORDER BY bin) AS upto,
-             sum(n) OVER (PARTITION BY {keys}, measure) AS total
-      FROM (SELECT {keys}, measure, bin, sum(n) AS n FROM {rows} GROUP BY {keys}, measure, bin))
-GROUP BY {keys}, measure"""
+_BINS = "SELECT {keys}measure, bin, sum(n) AS n FROM {rows} GROUP BY {keys}measure, bin"
+_EVERY = f"""
+SELECT measure, bin, (1000000 * sum(n) OVER (PARTITION BY measure ORDER BY bin)) DIV sum(n) OVER (PARTITION BY measure) AS share
+FROM ({_BINS.format(keys="", rows="{rows}")})"""
+# One level: the wider level's bins for each group, with the group's own counts where it has any.
+_LEVEL = """
+SELECT {keys}, measure, bin,
+       (1000000 * sum(n) OVER (PARTITION BY {keys}, measure ORDER BY bin) + {weight} * share)
+       DIV (sum(n) OVER (PARTITION BY {keys}, measure) + {weight}) AS share
+FROM (SELECT {own}, w.measure, w.bin, w.share, coalesce(c.n, 0) AS n
+      FROM (SELECT DISTINCT {keys}, measure FROM {{rows}}) k
+      JOIN {{wider}} w ON w.measure = k.measure{inside}
+      LEFT JOIN ({bins}) c ON {same} AND c.measure = w.measure AND c.bin = w.bin)"""
 
 
-def fences(sketch: DataFrame, least: int = LEAST_GROUP) -> DataFrame:
+def _level(rows: DataFrame, wider: DataFrame, keys: list[str], weight: int) -> DataFrame:
+    """Cumulative shares in millionths by bin of each group, shrunk towards the wider level."""
+    text = _LEVEL.format(
+        keys=", ".join(keys), own=", ".join(f"k.{c}" for c in keys), weight=weight,
+        inside="".join(f" AND w.{c} <=> k.{c}" for c in keys[:-1]), same=" AND ".join(f"c.{c} <=> k.{c}" for c in keys),
+        bins=_BINS.format(keys="".join(f"{c}, " for c in keys), rows="{rows}"))
+    return rows.sparkSession.sql(text, rows=rows, wider=wider)
+
+
+def fences(sketch: DataFrame, weight: int = WEIGHT) -> DataFrame:
     """(lang, source) with the upper and lower fence of each measure, in thousandths."""
-    spark = sketch.sparkSession
-    quartiles = {
-        name: spark.sql(_QUARTILES.format(keys=keys, rows="{rows}"), rows=sketch.withColumn("all", F.lit(1)))
-        for name, keys in (("own", "lang, source"), ("lang", "lang"), ("every", "all"))
-    }
-    own, lang, every = (q.alias(n) for n, q in quartiles.items())
-    joined = own.join(lang, F.col("own.lang").eqNullSafe(F.col("lang.lang")) & (F.col("own.measure") == F.col("lang.measure")))
-    joined = joined.join(every, F.col("own.measure") == F.col("every.measure"))
-    pick = lambda c: (
-        F.when(F.col("own.total") >= least, F.col(f"own.{c}")).when(F.col("lang.total") >= least, F.col(f"lang.{c}")).otherwise(F.col(f"every.{c}")))
-    joined = joined.select("own.lang", "own.source", "own.measure", pick("low").alias("low"), pick("high").alias("high"))
+    every = sketch.sparkSession.sql(_EVERY, rows=sketch)
+    own = _level(sketch, _level(sketch, every, ["lang"], weight), ["lang", "source"], weight)
+    at = lambda share: F.min(F.when(F.col("share") >= share, F.col("bin")))
+    marks = own.groupBy("lang", "source", "measure").agg(at(1_000_000 - OUTER).alias("low"), at(500_000).alias("mid"), at(OUTER).alias("high"))
     wide = []
-    for name, (_, _, above, below) in MEASURES.items():
+    for name, (_, _, tolerance, below) in MEASURES.items():
         mine = lambda c: F.max(F.when(F.col("measure") == name, c))  # noqa: E731, B023
-        wide.append(mine(F.greatest(F.lit(above), F.col("high") + SPREAD * (F.col("high") - F.col("low")))).alias(f"_{name}_above"))
-        if below is not None:
-            wide.append(mine(F.least(F.lit(below), F.col("low") - SPREAD * (F.col("high") - F.col("low")))).alias(f"_{name}_below"))
-    return joined.groupBy("lang", "source").agg(*wide)
+        wide.append(mine(F.col("high") + SPREAD * (F.col("high") - F.col("mid")) + tolerance).alias(f"_{name}_above"))
+        if below:
+            wide.append(mine(F.col("low") - SPREAD * (F.col("mid") - F.col("low")) - tolerance).alias(f"_{name}_below"))
+    return marks.groupBy("lang", "source").agg(*wide)
 
 
 def judge(measured: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
@@ -130,7 +142,7 @@ def judge(measured: DataFrame, limits: DataFrame, lang: str = "lang", source: st
     ok = ~base_failed()
     for name, (top, bottom, _, below) in MEASURES.items():
         ok &= _thousandths(top, bottom) <= F.col(f"_{name}_above")
-        if below is not None:
+        if below:
             ok &= _thousandths(top, bottom) >= F.col(f"_{name}_below")
     rows = rows.withColumns({"base_failed": base_failed(), "kept": F.coalesce(ok, F.lit(False))})
     return rows.drop(*limits.columns)

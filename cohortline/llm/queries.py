@@ -76,20 +76,35 @@ s AS (
   SELECT lang, source, measure, (value >> sh) << sh AS bin, count(*) AS n
   FROM (SELECT *, CAST(greatest(CASE WHEN value > 0 THEN length(bin(value)) ELSE 1 END - 7, 0) AS BIGINT) AS sh FROM v)
   GROUP BY ALL),
-own AS (@lang, source@), byl AS (@lang@), byall AS (@1@),
+e AS (
+  SELECT measure, bin, CAST(1000000 * sum(n) OVER (PARTITION BY measure ORDER BY bin) // sum(n) OVER (PARTITION BY measure) AS BIGINT) AS share
+  FROM (SELECT measure, bin, sum(n) AS n FROM s GROUP BY ALL)),
+byl AS (
+  SELECT lang, measure, bin, CAST((1000000 * sum(n) OVER (PARTITION BY lang, measure ORDER BY bin) + 20 * share)
+         // (sum(n) OVER (PARTITION BY lang, measure) + 20) AS BIGINT) AS share
+  FROM (SELECT k.lang, e.measure, e.bin, e.share, coalesce(c.n, 0) AS n
+        FROM (SELECT DISTINCT lang, measure FROM s) k JOIN e ON e.measure = k.measure
+        LEFT JOIN (SELECT lang, measure, bin, sum(n) AS n FROM s GROUP BY ALL) c
+          ON c.lang IS NOT DISTINCT FROM k.lang AND c.measure = e.measure AND c.bin = e.bin)),
+own AS (
+  SELECT lang, source, measure, bin, CAST((1000000 * sum(n) OVER (PARTITION BY lang, source, measure ORDER BY bin) + 20 * share)
+         // (sum(n) OVER (PARTITION BY lang, source, measure) + 20) AS BIGINT) AS share
+  FROM (SELECT k.lang, k.source, e.measure, e.bin, e.share, coalesce(c.n, 0) AS n
+        FROM (SELECT DISTINCT lang, source, measure FROM s) k
+        JOIN byl e ON e.measure = k.measure AND e.lang IS NOT DISTINCT FROM k.lang
+        LEFT JOIN s c ON c.lang IS NOT DISTINCT FROM k.lang AND c.source IS NOT DISTINCT FROM k.source
+          AND c.measure = e.measure AND c.bin = e.bin)),
 f AS (
-  SELECT own.lang, own.source, own.measure,
-         CASE WHEN own.total >= 200 THEN own.low WHEN byl.total >= 200 THEN byl.low ELSE byall.low END AS low,
-         CASE WHEN own.total >= 200 THEN own.high WHEN byl.total >= 200 THEN byl.high ELSE byall.high END AS high
-  FROM own JOIN byl ON own.lang IS NOT DISTINCT FROM byl.lang AND own.measure = byl.measure
-           JOIN byall ON own.measure = byall.measure),
+  SELECT lang, source, measure, min(bin) FILTER (share >= 150000) AS low, min(bin) FILTER (share >= 500000) AS mid,
+         min(bin) FILTER (share >= 850000) AS high
+  FROM own GROUP BY lang, source, measure),
 l AS (
   SELECT lang, source,
-         max(CASE WHEN measure = 'symbols' THEN greatest(100, 4 * high - 3 * low) END) AS a1,
-         max(CASE WHEN measure = 'repeats' THEN greatest(200, 4 * high - 3 * low) END) AS a2,
-         max(CASE WHEN measure = 'same_lines' THEN greatest(300, 4 * high - 3 * low) END) AS a3,
-         max(CASE WHEN measure = 'word_size' THEN greatest(10000, 4 * high - 3 * low) END) AS a4,
-         max(CASE WHEN measure = 'word_size' THEN least(3000, 4 * low - 3 * high) END) AS b4
+         max(CASE WHEN measure = 'symbols' THEN 40 + 7 * high - 6 * mid END) AS a1,
+         max(CASE WHEN measure = 'repeats' THEN 180 + 7 * high - 6 * mid END) AS a2,
+         max(CASE WHEN measure = 'same_lines' THEN 250 + 7 * high - 6 * mid END) AS a3,
+         max(CASE WHEN measure = 'word_size' THEN 250 + 7 * high - 6 * mid END) AS a4,
+         max(CASE WHEN measure = 'word_size' THEN 7 * low - 6 * mid - 250 END) AS b4
   FROM f GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        coalesce(CASE WHEN base_failed THEN FALSE ELSE
@@ -99,22 +114,6 @@ FROM b LEFT JOIN l ON b.lang IS NOT DISTINCT FROM l.lang AND b.source IS NOT DIS
 """
 
 
-def _quartiles(keys: str) -> str:
-    named = keys if keys != "1" else "1 AS one"
-    return f"""
-  SELECT {named}, measure, max(total) AS total,
-         min(CASE WHEN 100 * upto >= 25 * total THEN bin END) AS low,
-         min(CASE WHEN 100 * upto >= 75 * total THEN bin END) AS high
-  FROM (SELECT *, sum(n) OVER (PARTITION BY {keys}, measure ORDER BY bin) AS upto,
-               sum(n) OVER (PARTITION BY {keys}, measure) AS total
-        FROM (SELECT {named}, measure, bin, sum(n) AS n FROM s GROUP BY {keys + ', ' if keys != '1' else ''}measure, bin))
-  GROUP BY {keys + ', ' if keys != '1' else ''}measure"""
-
-
-for _keys in ("lang, source", "lang", "1"):
-    _OP7_SQL = _OP7_SQL.replace(f"(@{_keys}@)", f"({_quartiles(_keys)})")
-
-
 @query("op7_quality_rules", _OP7_SQL)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     measured = stored(quality.measure(table(spark, folder, "documents")).drop("text"), "measured")
