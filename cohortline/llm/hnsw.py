@@ -4,7 +4,8 @@ small-world graph per shard, results merged.
 Equal vectors are one node with a list of their ids, so a crowd of copies costs
 one place. Inner products become distances by one more component (the root of
 what a vector's squared length lacks to the longest one's), so the usual graph
-search applies. A shard's graph is two kinds of flat arrays: neighbours of each
+search applies. The graph holds vectors divided by the largest component and
+the longest length, so that values of any size fit its single precision. A shard's graph is two kinds of flat arrays: neighbours of each
 node in the ground layer, and of the few nodes in each upper layer. Nodes are
 inserted in growing batches: a batch is searched in the graph so far, all of it
 at once, and also sees itself. Shards are rows of a table (arrays as binaries);
@@ -12,7 +13,8 @@ the stated queries visit every shard in blocks, and a query's best per shard
 are merged by window. Reported scores are exact, in double precision, from the
 original vectors; equal scores go to the smaller id.
 
-Vectors that are null, zero, of another length than the most frequent one, or
+Inner products beyond double precision are infinite and tie; one whose terms
+overflow both ways counts as minus infinity. Vectors that are null, zero, of another length than the most frequent one, or
 hold null or non-finite components take no part. Repeated ids: one of the rows
 takes part (the smallest vector). Fewer candidates than asked for: all of them.
 """
@@ -211,9 +213,9 @@ class Graph:
         return self
 
 
-def lifted(vectors: np.ndarray, longest: float) -> np.ndarray:
-    """Points whose distances from (q, 0) order them by inner product with q."""
-    rest = np.sqrt(np.maximum(longest * longest - (vectors * vectors).sum(axis=1), 0))
+def lifted(vectors: np.ndarray) -> np.ndarray:
+    """Points whose distances from (q, 0) order vectors of length 1 at most by inner product with q."""
+    rest = np.sqrt(np.maximum(1 - (vectors * vectors).sum(axis=1), 0))
     return np.concatenate([vectors, rest[:, None]], axis=1)
 
 
@@ -223,15 +225,16 @@ def shards_of(vectors: DataFrame, shard_vectors: int) -> int:
 
 def index(vectors: DataFrame, shards: int) -> DataFrame:
     """(shard, graph, vectors): one graph for each shard of distinct vectors, with the vectors as doubles."""
-    length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    longest = vectors.agg(F.sqrt(F.max(length))).first()[0] or 0.0
+    largest = vectors.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: F.greatest(s, F.abs(x))))).first()[0] or 1.0
+    length = F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / largest) * (x / largest))
+    longest = vectors.agg(F.sqrt(F.max(length))).first()[0] or 1.0
     rows = vectors.select("v").distinct().withColumn("shard", F.pmod(F.xxhash64("v", F.lit("shard")), F.lit(shards)).cast("int"))
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         data = np.stack(group["v"].to_numpy())
         data = data[np.lexsort(data.T[::-1])]
         data = data[np.random.default_rng(1).permutation(len(data))]
-        return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "graph": [Graph(lifted(data, longest)).pack()], "vectors": [data.astype("<f8").tobytes()]})
+        return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "graph": [Graph(lifted(data / largest / longest)).pack()], "vectors": [data.astype("<f8").tobytes()]})
 
     return rows.groupBy("shard").applyInPandas(build, "shard int, graph binary, vectors binary")
 
@@ -258,12 +261,15 @@ def _visit(batches: Iterator[pa.RecordBatch], k: int, width: int) -> Iterator[pa
             ids, asked = np.array(ids.as_py()), np.array(asked.as_py(), np.float64)
             for start in range(0, len(ids), BLOCK):
                 q = asked[start:start + BLOCK]
-                found = graph.search(np.concatenate([q, np.zeros((len(q), 1))], axis=1), width)
-                score = np.einsum("ijk,ik->ij", exact[np.maximum(found, 0)], q)
-                score[found < 0] = -np.inf
+                unit = q / np.abs(q).max(axis=1, keepdims=True)
+                unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+                found = graph.search(np.concatenate([unit, np.zeros((len(q), 1))], axis=1), width)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    score = np.einsum("ijk,ik->ij", exact[np.maximum(found, 0)], q)
+                score[(found < 0) | np.isnan(score)] = -np.inf
                 # equal scores at the edge all stay: ids decide between them later
                 edge = np.sort(score, axis=1)[:, ::-1][:, min(k, score.shape[1] - 1)]
-                row, col = np.nonzero((score >= edge[:, None]) & np.isfinite(score))
+                row, col = np.nonzero((score >= edge[:, None]) & (found >= 0))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[start:start + BLOCK][row]), pa.array([exact[n] for n in found[row, col]], pa.list_(pa.float64())), pa.array(score[row, col])],
                     names=["query_id", "v", "score"])
