@@ -2,8 +2,10 @@
 
 The kernel counts the n-grams of letters (one to three, blended) that two texts
 both contain, over a dictionary, divided by the root of both counts. A bounded
-sample of labelled rows gives the dictionary, landmark texts and the training
-set; Nystroem features of the landmarks feed one ridge regression for each
+sample of labelled rows (SAMPLE_ROWS in all, shared evenly by the labels; more
+labels than that: the most frequent) gives the dictionary, landmark texts and the
+training set. A sampled text above SAMPLE_CHARS gives an excerpt at a place drawn
+by hash. Nystroem features of the landmarks feed one ridge regression for each
 language against the rest. All texts are then scored in batches: presence
 matrix times landmark matrix times coefficients.
 
@@ -19,15 +21,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortline.llm.common import aside, in_batches
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 2_000       # bound of the training sample over all languages
-SAMPLE_CHARS = 20_000     # longer texts are not taken into the sample
-LANGUAGES = 200           # the most frequent labels that are learned
+SAMPLE_CHARS = 20_000     # of longer texts the sample takes an excerpt of this length
 DICTIONARY = 8_192
 LANDMARKS = 128
 LONGEST = 3
@@ -167,22 +168,23 @@ def fit(texts: list[str], labels: list[str]) -> Model | None:
 
 def sample(docs: DataFrame, learn: Column, text: str, lang: str, key: str) -> tuple[list[str], list[str]]:
     """Bounded sample of labelled rows, equal for all languages where they have enough, by hash of the key."""
-    rows = docs.where(learn & F.col(f"`{text}`").isNotNull() & F.col(f"`{lang}`").isNotNull() & (F.length(f"`{text}`") <= SAMPLE_CHARS))
-    rows = rows.where(F.col(f"`{text}`").rlike(r"\p{L}"))
-    counts = rows.groupBy(F.col(f"`{lang}`").alias("lang")).count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
+    whole = F.col(f"`{text}`")
+    rows = docs.where(learn & whole.rlike(r"\p{L}")).select(
+        whole.alias("t"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{key}`").cast("string").alias("key")).where("lang IS NOT NULL")
+    labels = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_ROWS).collect()
+    if not labels:
         return [], []
-    each = max(1, SAMPLE_ROWS // len(counts))
-    draw = F.pmod(F.xxhash64(F.col(f"`{key}`").cast("string"), F.lit("language")), F.lit(1 << 30))
-    limit = F.lit(-1)
-    for row in counts:  # twice the share is wanted, so that enough rows remain to be ranked
-        limit = F.when(F.col(f"`{lang}`") == row["lang"], F.lit(int(min(1.0, 2 * each / row["count"] + 1e-4) * (1 << 30)))).otherwise(limit)
-    few = rows.select(F.col(f"`{text}`").alias("t"), F.col(f"`{lang}`").alias("lang"), draw.alias("draw"), limit.alias("most")).where("draw < most")
-    few.createOrReplaceTempView("_language_sample")
-    ranked = docs.sparkSession.sql(
-        "SELECT t, lang FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY draw, t) AS r FROM _language_sample)"
-        f" WHERE r <= {each} ORDER BY r, lang").collect()
-    docs.sparkSession.catalog.dropTempView("_language_sample")
+    each = SAMPLE_ROWS // len(labels)
+    # Twice the share is wanted, so that enough rows remain to be ranked.
+    limits = [(r["lang"], int(min(1.0, 2 * each / r["count"] + 1e-4) * (1 << 30))) for r in labels]
+    most = docs.sparkSession.createDataFrame(limits, "lang string, most bigint")
+    few = rows.withColumn("draw", F.pmod(F.xxhash64("key", F.lit("language")), F.lit(1 << 30)))
+    few = few.join(F.broadcast(most), "lang").where("draw < most")  # at most SAMPLE_ROWS labels
+    room = F.greatest(F.length("t") - SAMPLE_CHARS, F.lit(0)) + 1
+    excerpt = F.substring(F.col("t"), 1 + F.pmod(F.xxhash64("key", F.lit("excerpt")), room).cast("int"), F.lit(SAMPLE_CHARS))
+    order = Window.partitionBy("lang").orderBy("draw", "t")
+    ranked = few.select("lang", "draw", excerpt.alias("t")).withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
+    ranked = ranked.orderBy("place", "lang").collect()
     return [r["t"] for r in ranked], [r["lang"] for r in ranked]
 
 
