@@ -152,20 +152,6 @@ class Transducer:
             self.pairs[left, right] = found
         return found
 
-    def hopeful(self, left: int, node: int) -> bool:
-        """Whether a token below this trie node can follow ``left``; other places are dropped."""
-        found = self.hopes.get((left, node))
-        if found is None:
-            found = any(
-                (self.ends[child] >= 0 and self.reachable(self.ends[child]) and (left < 0 or self.fits(left, self.ends[child])))
-                or self.hopeful(left, child)
-                for child in self.children[node].values()
-            )
-            if len(self.hopes) > 4 * self.most_states:
-                self.hopes.clear()
-            self.hopes[left, node] = found
-        return found
-
     def hopeful(self, left: int, node: int) -> bool:
         """Whether a token below this trie node may follow ``left``. Only small
         branches are looked through; large ones count as hopeful."""
