@@ -152,6 +152,19 @@ def test_packing_keeps_every_token(corpus, empty, encoding):
     assert packing.pack(packing.tokenize(empty, path)).count() == 0
 
 
+def test_ids_equal_the_tokenizers_library():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, rng = Tokenizer.from_file(path), random.Random(3)
+    library.encode_special_tokens = True  # as the tokenizer files' notes set it
+    own = packing.Tokens(path)
+    parts = ["<|endoftext|>", "the ", "Ünïcode", "漢字", "\n\n", " 123", "'s", "\t", "😀", " x"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 30))) for _ in range(500)]
+    want = [struct.pack(f"<{len(e.ids) + 1}I", *e.ids, 0) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert own.documents(texts) == want
+
+
 def test_sum_of_squares_rule():
     rng = np.random.default_rng(3)
     lengths = rng.integers(1, 65, 400)
@@ -467,6 +480,36 @@ def test_fences_follow_their_group(spark):
     assert kept == set(range(520))  # many symbols are usual in one source and not in the other
 
 
+def test_fences_shrink_towards_the_language(spark):
+    """Fences of groups of any size equal a plain computation from all documents."""
+    rng = random.Random(7)
+    rows = []
+    for lang, source, n, size in [("en", "a", 300, 4), ("en", "b", 3, 9), ("en", None, 40, 6), (None, "a", 25, 5), ("de", "c", 1, 12)]:
+        word = lambda: "".join(rng.choice("abcdefgh") for _ in range(max(1, int(rng.gauss(size, 0.6)))))  # noqa: E731, B023
+        rows += [(lang, source, " ".join(word() for _ in range(60)) + " $" * rng.randrange(size)) for _ in range(n)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, lang string, source string, text string")
+    measured = quality.measure(docs).cache()
+    got = {(r["lang"], r["source"]): r for r in quality.fences(quality.sketches(measured, "lang", "source")).collect()}
+    values = {}
+    for r in measured.where(~quality.base_failed()).collect():
+        for name, (a, b, _, _) in quality.MEASURES.items():
+            v = 1000 * r[a] // r[b]
+            shift = max(v.bit_length() - 7, 0)
+            values.setdefault(name, []).append((r["lang"], r["source"], v >> shift << shift))
+    assert len(got) == 5
+    for name, (_, _, tolerance, below) in quality.MEASURES.items():
+        bins = sorted({v for _, _, v in values[name]})
+        for (lang, source), fence in got.items():
+            share = {b: 0 for b in bins}
+            for k, own in enumerate([lambda x: True, lambda x: x[0] == lang, lambda x: x[:2] == (lang, source)]):
+                inside = [x[2] for x in values[name] if own(x)]
+                weight = quality.WEIGHT if k else 0
+                share = {b: (1000000 * sum(v <= b for v in inside) + weight * share[b]) // (len(inside) + weight) for b in bins}
+            low, mid, high = (min(b for b in bins if share[b] >= q) for q in (1_000_000 - quality.OUTER, 500_000, quality.OUTER))
+            assert fence[f"_{name}_above"] == high + quality.SPREAD * (high - mid) + tolerance
+            assert not below or fence[f"_{name}_below"] == low - quality.SPREAD * (mid - low) - tolerance
+
+
 # --- language ID --------------------------------------------------------------------------------
 
 def test_language_id(spark, empty):
@@ -486,6 +529,51 @@ def test_language_id(spark, empty):
     assert langid.known_language(docs, F.col("doc_id") % 5 != 0).columns == docs.columns
 
 
+def test_language_of_long_texts_and_many_labels(spark, monkeypatch):
+    rng = random.Random(5)
+    make = lambda syllables, n: " ".join(rng.choice(syllables) + rng.choice(syllables) for _ in range(n))
+    rows = [(i, make(["ka", "ro", "ti"], 60), "xx") for i in range(40)] + [(i, make(["ö", "bri", "ang"], 6000), "yy") for i in range(40, 60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert min(len(t) for i, t, k in rows if k == "yy") > langid.SAMPLE_CHARS
+    texts, labels = langid.sample(docs, F.lit(True), "text", "lang", "doc_id")
+    assert Counter(labels) == {"xx": 40, "yy": 20} and max(map(len, texts)) == langid.SAMPLE_CHARS
+    got = langid.identify(docs, F.col("doc_id") % 5 != 0).collect()
+    assert all(r["lang_pred"] == ("xx" if r["doc_id"] < 40 else "yy") for r in got)
+    spread = docs.withColumn("lang", F.concat(F.lit("l"), F.col("doc_id") % 6))
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 8)
+    assert Counter(langid.sample(spread, F.lit(True), "text", "lang", "doc_id")[1]) == {f"l{k}": 1 for k in range(6)}
+
+
+def test_language_model_by_plain_computation():
+    """The fitted weights equal a ridge on explicit kernel values."""
+    rng = random.Random(6)
+    parts = {"a": ["ka", "ro", "ti"], "b": ["que", "dad", "os"]}
+    labels = [rng.choice("ab") for _ in range(60)]
+    texts = [" ".join(rng.choice(parts[k]) + rng.choice("xyzw") for _ in range(rng.randrange(3, 20))) for k in labels]
+    model = langid.fit(texts, labels)
+
+    def grams(text):
+        return {text.lower()[k:k + n] for n in (1, 2, 3) for k in range(len(text) - n + 1)} - {" "}
+
+    # Landmarks: the first of each language in turn; all texts here, as there are fewer than LANDMARKS.
+    at = sorted(range(60), key=lambda i: (labels[:i].count(labels[i]), labels[i]))
+    known = set().union(*map(grams, texts))
+    kernel = lambda x, y: len(grams(x) & grams(y) & known) / np.sqrt(max(1, len(grams(x) & known)) * max(1, len(grams(y) & known)))
+    other = ["karo tix", "quedad osw", "new words"]
+    got = model.kernel(other)
+    want = np.array([[kernel(x, texts[i]) for i in at] for x in other])
+    assert np.allclose(got, want, atol=1e-5)
+    whole = np.array([[kernel(texts[i], texts[j]) for j in at] for i in range(60)])
+    between = whole[at]
+    values, vectors = np.linalg.eigh(between)
+    root = vectors @ np.diag(np.maximum(values, 1e-6) ** -0.5) @ vectors.T
+    z, sides = whole @ root, np.array([[1.0 if k == m else -1.0 for m in "ab"] for k in labels])
+    weight = np.diag([1 / labels.count(k) for k in labels])
+    ridge = langid.RIDGE * np.trace(weight) / 60
+    beta = np.linalg.solve(z.T @ weight @ z + ridge * np.eye(60), z.T @ weight @ sides)
+    assert np.allclose(want @ root @ beta, got @ model.weights, atol=2e-2)
+
+
 # --- nearest neighbours -------------------------------------------------------------------------
 
 def test_nearest_neighbours(spark):
@@ -515,6 +603,23 @@ def test_nearest_neighbours(spark):
     assert hnsw.search(vectors.where("id < 0"), F.col("id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e-200, 1e-25, 1e25, 1e200])
+def test_neighbours_of_any_magnitude(spark, size):
+    rng = np.random.default_rng(2)
+    data = rng.normal(size=(40, 6))
+    vectors = spark.createDataFrame([(i, [float(x) for x in v * size]) for i, v in enumerate(data)], "id bigint, v array<double>")
+    found = {}
+    for r in hnsw.search(vectors, F.col("id") % 20 == 0, shard_vectors=15).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["id"], r["score"]))
+    assert {q: len(rows) for q, rows in found.items()} == {0: 20, 20: 20}
+    for q, rows in found.items():
+        with np.errstate(over="ignore"):
+            score = (data * size * (data[q] * size)).sum(axis=1)
+        want = sorted((i for i in range(40) if i != q), key=lambda i: (-score[i], i))[:20]
+        assert [r[1] for r in sorted(rows)] == want or not np.isfinite(score).all()
+        assert [r[2] for r in sorted(rows)] == pytest.approx(sorted(score[[r[1] for r in rows]], reverse=True), rel=1e-9, nan_ok=True)
+
+
 # --- licences -----------------------------------------------------------------------------------
 
 def test_every_notice_has_a_mark():
