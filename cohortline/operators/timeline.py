@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -30,27 +31,43 @@ def _descending(order: Sequence[str]) -> list[Column]:
     return [F.col(c).desc_nulls_first() for c in order]
 
 
-def split_long(df: DataFrame, subject: str, max_rows: int | None) -> tuple[DataFrame, DataFrame | None, int]:
-    """Rows of ordinary subjects, rows of very long ones, and how many of those."""
-    if max_rows is None:
-        return df, None, 0
-    long = (
-        df.groupBy(F.col(subject).alias("_subject")).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > max_rows)
-    )
+@dataclass(frozen=True)
+class Long:
+    """Subjects already known to be too long for one task; none where ``names`` is None."""
+
+    names: DataFrame | None
+    rows: int
+    max_rows: int
+
+
+def long_subjects(counted: DataFrame, subject: str, max_rows: int) -> Long:
+    """Subjects whose rows (summed over ``counted``'s column ``_n``) exceed the limit."""
+    long = counted.groupBy(F.col(subject).alias("_subject")).agg(F.sum("_n").alias("_n")).filter(F.col("_n") > max_rows)
     subjects, rows = long.agg(F.count(F.lit(1)), F.sum("_n")).first()
     if not subjects:
-        return df, None, 0
+        return Long(None, 0, max_rows)
     names = durable(long.select("_subject"))
-    if subjects <= BROADCAST_SUBJECTS:
-        names = F.broadcast(names)
+    return Long(F.broadcast(names) if subjects <= BROADCAST_SUBJECTS else names, rows, max_rows)
+
+
+def split_long(
+    df: DataFrame, subject: str, max_rows: int | Long | None, slice_rows: int | None = None,
+) -> tuple[DataFrame, DataFrame | None, int]:
+    """Rows of ordinary subjects, rows of very long ones, and the number of slices for those."""
+    if max_rows is None:
+        return df, None, 0
+    found = max_rows
+    if not isinstance(found, Long):
+        found = long_subjects(df.select(subject, F.lit(1).alias("_n")), subject, found)
+    if found.names is None:
+        return df, None, 0
     same = F.col(subject).eqNullSafe(F.col("_subject"))
-    return df.join(names, same, "left_anti"), df.join(names, same, "left_semi"), rows
+    slices = max(2, math.ceil(found.rows / (slice_rows or found.max_rows)))
+    return df.join(found.names, same, "left_anti"), df.join(found.names, same, "left_semi"), slices
 
 
-def _slices(df: DataFrame, subject: str, order: Sequence[str], rows: int, slice_rows: int) -> DataFrame:
+def _slices(df: DataFrame, subject: str, order: Sequence[str], count: int) -> DataFrame:
     """Contiguous slices of the order (subject, time), numbered once for all uses."""
-    count = max(2, math.ceil(rows / slice_rows))
     return durable(
         df.repartitionByRange(count, F.col(subject), *_ascending(order))
         .withColumn("_slice", F.spark_partition_id())
@@ -85,7 +102,7 @@ def over_timeline(
     lookback: int,
     subject: str = D.SUBJECT,
     order: Sequence[str] = D.TIMELINE,
-    max_rows: int | None = MAX_ROWS,
+    max_rows: int | Long | None = MAX_ROWS,
     slice_rows: int | None = None,
 ) -> DataFrame:
     """Add window columns that reach at most ``lookback`` rows back.
@@ -93,11 +110,11 @@ def over_timeline(
     All columns share one partitioning and order, so an ordinary table costs
     one exchange and one sort whatever the number of features.
     """
-    short, long, rows = split_long(df, subject, max_rows)
+    short, long, slices = split_long(df, subject, max_rows, slice_rows)
     plain = short.withColumns(features(Window.partitionBy(subject).orderBy(*_ascending(order))))
     if long is None:
         return plain
-    cut = _slices(long, subject, order, rows, slice_rows or max_rows)
+    cut = _slices(long, subject, order, slices)
     joined = _with_previous(cut, subject, order, lookback)
     window = Window.partitionBy("_slice", subject).orderBy(*_ascending(order))
     sliced = joined.withColumns(features(window)).filter(~F.col("_before")).drop("_slice", "_before")
@@ -154,40 +171,12 @@ def diff_features(
     return over_timeline(df, diff_columns(columns, absolute), 1, **timeline)
 
 
-def rolling_time(
-    df: DataFrame, columns: Sequence[str], hours: Sequence[int], stats: Sequence[str] = ("mean", "std"),
-    subject: str = D.SUBJECT, time: str = D.TIME, chunk: int = 4,
-) -> DataFrame:
-    """Trailing statistics over the last N hours, left end open.
-
-    Rows are placed in time chunks ``chunk`` times as long as the longest
-    window and copied into the next chunk where it reaches back to them, so
-    the partition key is (subject, chunk) and no timeline is one task's work.
-    """
-    micros = max(hours) * 3_600_000_000
-    width = chunk * micros
-    placed = df.withColumn("_at", F.unix_micros(F.col(time).cast("timestamp"))).withColumn(
-        "_home", F.floor(F.col("_at") / F.lit(width)).cast("bigint")
-    )
-    reaches_next = F.pmod(F.col("_at"), F.lit(width)) > width - micros
-    placed = placed.withColumn(
-        "_chunk",
-        F.explode(F.when(reaches_next, F.array(F.col("_home"), F.col("_home") + 1)).otherwise(F.array("_home"))),
-    )
-    window = Window.partitionBy(subject, "_chunk").orderBy("_at")
-    added = {
-        f"{c}_rolling_{stat}_{h}h": _ROLLING[stat](c, window.rangeBetween(-h * 3_600_000_000 + 1, 0))
-        for h in hours for c in columns for stat in stats
-    }
-    return placed.withColumns(added).filter(F.col("_chunk").eqNullSafe(F.col("_home"))).drop("_at", "_home", "_chunk")
-
-
 def neighbours(
     df: DataFrame,
     columns: Sequence[str],
     subject: str = D.SUBJECT,
     order: Sequence[str] = D.TIMELINE,
-    max_rows: int | None = MAX_ROWS,
+    max_rows: int | Long | None = MAX_ROWS,
     slice_rows: int | None = None,
 ) -> DataFrame:
     """Add ``_pos`` and, per column, the last and next known (position, value).
@@ -215,11 +204,11 @@ def neighbours(
             frame = frame.withColumns(step)
         return frame
 
-    short, long, rows = split_long(df, subject, max_rows)
+    short, long, slices = split_long(df, subject, max_rows, slice_rows)
     plain = apply(short, [subject])
     if long is None:
         return plain
-    cut = _slices(long, subject, order, rows, slice_rows or max_rows)
+    cut = _slices(long, subject, order, slices)
     # Positions in a slice start after the rows of the slices before it.
     sizes = cut.groupBy("_slice", F.col(subject).alias("_subject")).agg(F.count(F.lit(1)).alias("_n"))
     along = Window.partitionBy("_subject").orderBy("_slice")
@@ -309,7 +298,7 @@ def sliding_sequences(
     stride: int = 1,
     subject: str = D.SUBJECT,
     order: Sequence[str] = (D.TIME,),
-    max_rows: int | None = MAX_ROWS,
+    max_rows: int | Long | None = MAX_ROWS,
     slice_rows: int | None = None,
 ) -> DataFrame:
     """Every window of ``lookback`` rows with the label ``horizon`` rows later.

@@ -9,6 +9,7 @@ from cohortline import fixtures as X
 from cohortline.functions.scalar import charlson_index, elixhauser_score, interactions
 from cohortline.operators import resample as rs_
 from cohortline.operators import timeline as tl
+from cohortline.operators.rolling import rolling_time
 from cohortline.plans.features import FeatureSet, interaction_features, polynomial_features, risk_scores
 from cohortline.plans.preprocess import Preprocessor
 from cohortline.queries._registry import CATEGORICAL, DOUBLES, NUMERIC, query, r, rounded
@@ -97,17 +98,20 @@ for _stats, _name in ((("mean",), "w1_rolling_mean"), (("std",), "w2_rolling_std
         lambda spark, sf, stats=_stats: _rolling(spark, sf, stats))
 
 
-def _hours(stat: str, n: int) -> str:
-    return _STAT[stat]("heart_rate", f"""OVER (PARTITION BY patient_id ORDER BY epoch_us(observation_date)
+def _hours(stat: str, c: str, n: int) -> str:
+    return _STAT[stat](c, f"""OVER (PARTITION BY patient_id ORDER BY epoch_us(observation_date)
         RANGE BETWEEN {n * 3_600_000_000 - 1} PRECEDING AND CURRENT ROW)""")
 
 
+_MEASURED = ("heart_rate", "num_medications")   # all numeric columns of the observations
+
+
 @query("w4_rolling_time", OBS + "SELECT event_id, patient_id, " + ", ".join(
-    r(_hours(s, n), f"heart_rate_rolling_{s}_{n}h") for n in (6, 48) for s in ("mean", "std")) + " FROM observations")
+    r(_hours(s, c, n), f"{c}_rolling_{s}_{n}h") for n in D.ROLLING_WINDOWS for c in _MEASURED for s in ("mean", "std"))
+    + " FROM observations")
 def _(spark, sf):
-    rows = X.observations(spark, sf).select("event_id", "patient_id", "observation_date", "heart_rate")
-    made = tl.rolling_time(rows, ("heart_rate",), (6, 48))
-    return rounded(made.drop("observation_date", "heart_rate"))
+    rows = X.observations(spark, sf).select("event_id", "patient_id", "observation_date", *_MEASURED)
+    return rounded(rolling_time(rows, _MEASURED, D.ROLLING_WINDOWS).drop("observation_date", *_MEASURED))
 
 
 _DIFFS = ("heart_rate", "blood_pressure_systolic", "oxygen_saturation", "creatinine", "glucose")
@@ -318,17 +322,17 @@ def _window_sums(made, columns):
 
 @query("w11_sliding_sequences", OBS + _windows_sql(
     "(SELECT *, coalesce(heart_rate, 0) AS hr FROM observations)", "observation_date, event_id",
-    ("hr", "num_medications"), "readmission_30day", 6, 2))
+    ("hr", "num_medications"), "readmission_30day", 48, 24))
 def _(spark, sf):
     rows = X.observations(spark, sf).withColumn("hr", F.coalesce("heart_rate", F.lit(0.0)))
     made = tl.sliding_sequences(
-        rows, ("hr", "num_medications"), lookback=6, horizon=2, order=D.TIMELINE)
+        rows, ("hr", "num_medications"), order=D.TIMELINE)
     return _window_sums(made, ("hr", "num_medications"))
 
 
 @query("ts4_sequence_dataset", f"WITH {SERIES_SQL} " + _windows_sql(
-    "series", "observation_date", ("heart_rate", "num_medications"), "readmission_30day", 6, 2))
+    "series", "observation_date", ("heart_rate", "num_medications"), "readmission_30day", 48, 24))
 def _(spark, sf):
     made = rs_.sequence_dataset(
-        X.observations(spark, sf), HOW, ("heart_rate", "num_medications"), lookback=6, horizon=2)
+        X.observations(spark, sf), HOW, ("heart_rate", "num_medications"))
     return _window_sums(made, ("heart_rate", "num_medications"))

@@ -11,6 +11,7 @@ import pytest
 from conftest import rows
 from cohortline.operators import timeline as tl
 from cohortline.operators.resample import resample, resample_fill, sequence_dataset
+from cohortline.operators.rolling import rolling_time
 
 
 @pytest.fixture(scope="module")
@@ -103,7 +104,7 @@ def test_rolling_against_pandas(skewed):
 def test_rolling_time_against_pandas(skewed):
     clean = skewed.filter("patient_id is not null and observation_date is not null")
     pdf = clean.toPandas().sort_values(["patient_id", "observation_date", "event_id"]).reset_index(drop=True)
-    got = tl.rolling_time(clean, ("glucose",), (6, 30)).toPandas().set_index("event_id").loc[pdf["event_id"]]
+    got = rolling_time(clean, ("glucose",), (6, 30)).toPandas().set_index("event_id").loc[pdf["event_id"]]
     for hours in (6, 30):
         want = []
         for _, row in pdf.iterrows():
@@ -174,3 +175,41 @@ def test_sequence_shapes(spark):
     assert len(made) == 3  # ten rows give three windows, seven rows none
     assert [[x[0] for x in r[4]] for r in made] == [[0.0 + i, 1.0 + i, 2.0 + i, 3.0 + i, 4.0 + i] for i in range(3)]
     assert [r[5] for r in made] == [1.0, 0.0, 1.0]
+
+
+def test_rolling_time_in_levels(skewed):
+    """Chunks summed by instant, second and hour equal the plain windows."""
+    from pyspark.sql import functions as F
+
+    # Instants of one hour, ties, seconds on both sides of a window's open end.
+    shift = F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.pmod(F.hash("event_id"), F.lit(4)) * 1_000_001)
+    fine = skewed.withColumn("observation_date", F.timestamp_micros(
+        F.unix_micros("observation_date") + shift - F.when(F.col("event_id") % 5 == 0, 3_600_000_000).otherwise(0)))
+    stats = ("mean", "std", "min", "max")
+    plain = rolling_time(fine, ("heart_rate", "glucose"), (1, 6, 30), stats, max_rows=None)
+    cut = rolling_time(fine, ("heart_rate", "glucose"), (1, 6, 30), stats, max_rows=12)
+    assert cut.dtypes == plain.dtypes
+    same(plain, cut, "event_id")
+
+
+@pytest.mark.parametrize("seconds", [3600, 7 * 3600])
+def test_grids_in_slices(skewed, seconds):
+    how = {"heart_rate": "mean", "glucose": "max", "readmission_30day": "last"}
+    by = ("patient_id", "observation_date")
+    for make in (resample, resample_fill):
+        same(make(skewed, how, seconds=seconds, max_rows=None), make(skewed, how, seconds=seconds, **CUT), *by)
+
+
+def test_sequences_of_grids_in_slices(skewed):
+    how = {"heart_rate": "mean", "readmission_30day": "last"}
+    made = [sequence_dataset(skewed, how, ("heart_rate",), lookback=20, horizon=5, **limit) for limit in ({"max_rows": None}, CUT)]
+    same(*made, "patient_id", "label_time")
+
+
+def test_long_gaps_in_blocks(spark):
+    start = dt.datetime(2024, 1, 1)
+    data = [("a", 0, start, 0.0), ("a", 1, start + dt.timedelta(hours=10_000), 10_000.0), ("b", 2, start, 1.0)]
+    df = spark.createDataFrame(data, "patient_id string, event_id long, observation_date timestamp, v double")
+    found = rows(resample_fill(df, {"v": "mean"}), "patient_id", "observation_date")
+    assert [r[2] for r in found] == pytest.approx([float(i) for i in range(10_001)] + [1.0])
+    assert [r[1] for r in found[:-1]] == [start + dt.timedelta(hours=i) for i in range(10_001)]
