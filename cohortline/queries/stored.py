@@ -14,6 +14,7 @@ from cohortline.queries.events import EVENTS_SQL
 from cohortline.session import scratch_path
 from cohortline.sources import readers as rd
 from cohortline.sources import writers as wr
+from cohortline.sources.arrays import write_array
 from cohortline.streaming.serving import score_stream
 
 ENC = f"WITH {X.ENCOUNTERS_SQL} "
@@ -41,8 +42,9 @@ def _(spark, sf):
 
 @query("s2_scan_json", _SCAN_SQL)
 def _(spark, sf):
-    path, schema = _written(spark, sf, "json")
-    return rounded(rd.scan_json(spark, path, schema, lines=True))
+    wide, path = _wide(spark, sf), scratch_path(spark, "scan-array")
+    write_array(wide, path)
+    return rounded(rd.scan_json(spark, path, wide.schema))
 
 
 @query("s3_scan_json_nested", ENC + f"""
@@ -65,9 +67,18 @@ def _(spark, sf):
     return lines.select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate").filter("l_quantity > 25")
 
 
-@query("s5_scan_auto", "SELECT event_id, ts, user_id, event_type, value FROM events")
+# One folder with files of three kinds: events by the remainder of their ids, some kinds without a column.
+@query("s5_scan_auto", """
+SELECT event_id, ts, user_id, CASE WHEN event_id % 3 <> 2 THEN event_type END AS event_type,
+       CASE WHEN event_id % 3 <> 0 THEN value END AS value FROM events""")
 def _(spark, sf):
-    return rd.scan_auto(spark, f"{sf}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
+    folder = scratch_path(spark, "mixed")
+    rows = rd.scan_parquet(spark, f"{sf}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
+    part = lambda k: rows.where(F.col("event_id") % 3 == k)
+    wr.write_table(part(0).drop("value"), folder, "parquet", "append")
+    wr.write_table(part(1), folder, "csv", "append")
+    wr.write_table(part(2).drop("event_type"), folder, "json", "append")
+    return rd.scan_auto(spark, folder, rows.schema).select(rows.columns)
 
 
 @query("s6_write_table", _SCAN_SQL)

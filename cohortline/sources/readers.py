@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortline.defaults import RUN_METRICS
+from cohortline.sources.arrays import scan_array
 
 SUFFIXES = (".csv", ".json", ".jsonl", ".parquet")
 
@@ -109,11 +110,17 @@ def scan_json(
     spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, lines: bool = False,
     glob: str | None = None, mode: str = "PERMISSIVE",
 ) -> DataFrame:
-    """A JSON array of records per file, or with ``lines`` one record per line (splittable).
+    """A JSON array of records per file, or with ``lines`` one record per line.
 
+    Lines, and arrays read by a schema, are cut into byte ranges for many tasks; an array
+    without a schema is one task per file, as its types are inferred first.
     A record that cannot be parsed is a row of nulls; with mode DROPMALFORMED
     it is left out, with FAILFAST it ends the job.
     """
+    if schema is not None and not lines:
+        rows = _checked(lambda: scan_array(spark, path, schema, glob, mode), str(path))
+        if rows is not None:
+            return nan_to_null(rows)
     reader = _reader(spark, schema, glob).option("multiLine", not lines).option("mode", mode)
     return nan_to_null(_checked(lambda: reader.json(path), str(path)))
 

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from cohortline import defaults as D
 from cohortline.plans.scoring import score_rows, score_summary
 from cohortline.session import kept
+from cohortline.sources.arrays import WHOLE_TIMES
 
 
 def write_table(df: DataFrame, path: str, format: str = "csv", mode: str = "overwrite") -> None:
-    """CSV with a header, JSON records (one per line) or Parquet; parents are created."""
-    writer = df.write.mode(mode)
+    """CSV with a header, JSON records (one per line) or Parquet; parents are created. Times keep their microseconds."""
+    writer = df.write.mode(mode).options(**WHOLE_TIMES)
     if format == "csv":
         writer.option("header", True).csv(path)
     elif format == "json":
