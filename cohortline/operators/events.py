@@ -74,6 +74,13 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") == 1).drop("_rank")
 
 
+def event_rows(df: DataFrame, row_ids: Sequence[str], prefix: Mapping[str, str] = D.CODE_PREFIX) -> DataFrame:
+    """All events of a wide table with copies, each with the ids of its row."""
+    columns = df.columns
+    return _explode(
+        df, _measurements(columns, prefix) + _categories(columns, prefix) + _indicators(columns, prefix), row_ids)
+
+
 def to_events(
     df: DataFrame,
     row_id: str | None = D.EVENT_ID,
@@ -88,13 +95,8 @@ def to_events(
     Of several source rows with the same key the one with the smallest
     ``row_id`` (then value) survives. The result is unordered: sort when writing.
     """
-    columns = df.columns
-    row_ids = [row_id] if row_id and row_id in columns else []
-    events = _explode(
-        df,
-        _measurements(columns, prefix) + _categories(columns, prefix) + _indicators(columns, prefix),
-        row_ids,
-    )
+    row_ids = [row_id] if row_id and row_id in df.columns else []
+    events = event_rows(df, row_ids, prefix)
     if deduplicate:
         events = dedupe_first(events, ("subject_id", "timestamp", "code"), (*row_ids, "numeric_value"))
     return events.select([F.col(c).alias(n) for c, n in zip(EVENT_COLUMNS, names, strict=True)])

@@ -15,6 +15,7 @@ from cohortline.session import scratch_path
 from cohortline.sources import readers as rd
 from cohortline.sources import writers as wr
 from cohortline.sources.arrays import write_array
+from cohortline.streaming.events import event_stream
 from cohortline.streaming.serving import score_stream
 
 ENC = f"WITH {X.ENCOUNTERS_SQL} "
@@ -269,3 +270,14 @@ def _(spark, sf):
     running = score_stream(spark, f"{base}/in", wide.schema, f"{base}/out", f"{base}/state", WEIGHTS, intercept=-2.0)
     running.awaitTermination()
     return rounded(spark.read.parquet(f"{base}/out"))
+
+
+@query("st2_event_stream", f"""WITH {EVENTS_SQL}
+SELECT subject_id, timestamp, code, {r('numeric_value')} FROM wide_events
+WHERE timestamp <= (SELECT max(observation_date) FROM encounters) - INTERVAL 1 DAY""")
+def _(spark, sf):
+    wide = X.encounters(spark, sf)
+    base = scratch_path(spark, "event-stream")
+    wide.write.parquet(f"{base}/in")
+    event_stream(spark, f"{base}/in", wide.schema, f"{base}/out", f"{base}/state").awaitTermination()
+    return rounded(spark.read.parquet(f"{base}/out"))

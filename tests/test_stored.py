@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 import numpy as np
@@ -18,6 +19,7 @@ from cohortline.plans import training as tr
 from cohortline.queries.stored import WEIGHTS
 from cohortline.sources import readers as rd
 from cohortline.sources import writers as wr
+from cohortline.streaming.events import event_stream
 from cohortline.streaming.serving import score_stream, serve
 
 
@@ -225,3 +227,34 @@ def test_predictions_on_disk(spark, folder, tmp_path):
     assert written.count() == summary["total_samples"] == scored.count()
     assert summary["predicted_positive"] + summary["predicted_negative"] == summary["total_samples"]
     assert set(written.columns) == {"sample_index", "prediction", "probability", "risk_level", "patient_id"}
+
+
+def test_event_stream_equals_batch_over_restarts(spark, tmp_path):
+    """Copies in several files and in any order; a restart; late, pending and untimed rows."""
+    schema = "patient_id string, event_id long, observation_date timestamp, heart_rate double, admission_type string"
+    start = dt.datetime(2024, 1, 1)
+    hour = lambda n: start + dt.timedelta(hours=n)
+    files = [
+        [("a", 9, hour(0), 90.0, "urgent"), ("b", 8, hour(2), None, None), (None, 7, hour(1), 70.0, None), ("a", 5, None, 50.0, None)],
+        [("a", 3, hour(0), 30.0, "urgent"), ("a", None, hour(0), 10.0, None), ("b", 2, hour(2), 20.0, "elective"), ("a", 6, None, 50.0, None)],
+        [("c", 1, hour(40), 10.0, None)],                                          # the watermark passes hour 2
+        [("a", 0, hour(0), 1.0, "late"), ("c", 11, hour(41), 11.0, None)],          # hour 0 is late now
+        [("d", 12, hour(200), 12.0, None)],                                        # stays in the state
+    ]
+    frames = [spark.createDataFrame(f, schema).coalesce(1) for f in files]
+    at = {n: str(tmp_path / n) for n in ("in", "out", "state")}
+
+    def run(*parts):
+        for part in parts:      # a file and a run each
+            frames[part].write.mode("append").parquet(at["in"])
+            event_stream(spark, at["in"], frames[0].schema, at["out"], at["state"]).awaitTermination()
+
+    run(0, 1)
+    assert spark.read.parquet(at["out"]).where("timestamp IS NOT NULL").count() == 0
+    run(2, 3, 4)
+    found = spark.read.parquet(at["out"])
+    on_time = [r for k, f in enumerate(files) for r in f if r[4] != "late" and r[0] != "d"]
+    batch = ev.to_events(spark.createDataFrame(on_time, schema))
+    by = ("subject_id", "timestamp", "code")
+    assert rows(found.where("timestamp IS NOT NULL"), *by) == rows(batch.where("timestamp IS NOT NULL"), *by)
+    assert [r[3] for r in rows(found.where("timestamp IS NULL"), *by)] == [50.0, 50.0]
