@@ -65,7 +65,7 @@ def _(spark, sf):
 
 @query("l5_grid_sweep")
 def _(spark, sf):
-    grid = {"regParam": [0.001, 0.1], "elasticNetParam": [0.0, 2.0], "maxIter": [10]}
+    grid = {"regParam": [0.001, 0.01, 0.1], "elasticNetParam": [0.0, 0.5], "maxIter": [10, 20]}
     return tr.grid_sweep(_training_rows(spark, sf), FEATURES, grid, metric="auc_roc").drop("training_time")
 
 

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of, rows
+from cohortline import defaults as D
 from cohortline import fixtures as X
 from cohortline.operators import events as ev
 from cohortline.plans import evaluation as evl
@@ -205,7 +206,10 @@ def test_models_learn_and_logits_agree(spark):
     assert {r["feature"] for r in top} == {"a", "b"} and top[0]["importance"] >= top[1]["importance"]
     sweep = tr.grid_sweep(df, ("a", "b"), {"regParam": [0.01, -1.0]}, metric="f1_score").orderBy("run_index").collect()
     assert sweep[0]["score"] > 0.8 and sweep[0]["error"] is None
-    assert sweep[1]["score"] is None and "regParam" in sweep[1]["error"]
+    assert sweep[1]["score"] is None and "regParam" in sweep[1]["error"] and sweep[1]["metrics"] is None
+    found = sweep[0]["metrics"]
+    assert set(found) == set(D.RUN_METRICS) and found["f1_score"] == sweep[0]["score"]
+    assert found["balanced_accuracy"] == pytest.approx((found["recall"] + found["specificity"]) / 2) and found["auc_roc"] > 0.8
 
 
 def test_stream_equals_batch(spark, folder, tmp_path):
