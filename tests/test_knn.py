@@ -7,7 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from cohortline.operators.knn import KnnImputer, _Boxes, _first_cells, _further_cells
+from cohortline.operators.knn import KnnImputer, _Boxes, _first_cells, _further_cells, _nearest, _within
 
 COLUMNS = list("abcd")
 K = 5
@@ -72,3 +72,24 @@ def test_search_leaves_most_cells_out(spark):
     for point, first, rest in zip(points, seen, further):
         inside = {i for i, c in enumerate(cells) if ((c[:, 0] - point[0]) ** 2 * 2 <= 1e-8).any()}
         assert len(first) == 1 and inside <= {*first, *rest} and len(rest) < 40
+
+
+def test_pairs_within_reach_hold_all_nearest_rows():
+    """Boxes of a cell leave out rows that are too far, never one of the nearest, ties included."""
+    rng = np.random.default_rng(8)
+    y = np.round(rng.normal(size=(4000, 3)) * [10, 3, 0.1], 1)
+    x = np.round(rng.normal(size=(700, 3)) * [10, 3, 0.1], 1)
+    square = np.square(x[:, None] - y[None]).sum(2)
+    fifth = np.sort(square, axis=1)[:, 4]
+    for reach in (np.full(700, np.inf), np.full(700, 2.0), fifth):
+        pairs = set(zip(*_within(x, y, reach, 5)))
+        wanted = np.argwhere((square <= fifth[:, None]) & (square <= reach[:, None]))
+        assert len(wanted) and {tuple(p) for p in wanted} <= pairs and len(pairs) < 700 * 100
+
+
+def test_search_keeps_to_the_distance_found_before():
+    rows = pd.DataFrame({"_id": [7], "a": [0.0], "b": [np.nan], "_limit0": [np.nan], "_limit1": [2.0]})
+    donors = pd.DataFrame({"a": [0.5, 1.0, 3.0], "b": [1.0, 2.0, 3.0], "_from": [0, 1, 2], "_m": [1, 1, 1]})
+    found = _nearest(["a", "b"], 5)(rows, donors)
+    assert list(zip(found["_d"], found["_value"])) == [(0.5, 1.0), (2.0, 2.0)]
+    assert len(_nearest(["a", "b"], 5)(rows.assign(_limit1=np.nan), donors)) == 3
