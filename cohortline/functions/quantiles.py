@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from contextlib import nullcontext
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortline.session import durable
+from cohortline.session import durable, kept
 
 LEVELS = 512
 MOST = 200_000
@@ -86,6 +87,8 @@ def exact_quantiles(
     is outlined again until at most ``most`` values are left in all, which are
     counted by value. Ranges that ties keep from narrowing end in
     ``running_sums``. The driver holds levels x groups x columns numbers.
+    The columns are kept while this lasts, so that what gives them is computed
+    once and not in every pass, unless the caller keeps the table.
     NaN counts as the greatest value.
     """
     columns = list(columns)
@@ -94,6 +97,17 @@ def exact_quantiles(
         return out
     names = {f"_{i}": c for i, c in enumerate(columns)}
     values = df.select(*[F.col(f"`{c}`").cast("double").alias(i) for i, c in names.items()])
+    stored = df.storageLevel
+    with nullcontext() if stored.useMemory or stored.useDisk else kept(values):
+        for (i, p), value in _selected(values, names, probabilities, levels, most).items():
+            out[names[i]][p] = value
+    return out
+
+
+def _selected(
+    values: DataFrame, names: dict[str, str], probabilities: Sequence[float], levels: int, most: int,
+) -> dict[tuple[str, int], float]:
+    """(column, place of the probability) -> quantile."""
     outlines = {key[0]: o for key, o in _outline(values, (), list(names), levels).items()}
     slots = {}  # number -> column, place of the probability, position among the sorted values
     for i, c in names.items():
@@ -134,9 +148,10 @@ def exact_quantiles(
         inside = dict(size)
         nested = _outline(_inside(values, slots, bounds), ("slot",), ["value"], levels)
         bounds = {s: _enclosed(nested[s, "value"], *[r - below[s] for r in ranks[s]]) for s in bounds}
+    out = {}
     for s, (i, p, position) in slots.items():
         low, high = (at[s, rank] for rank in ranks[s])
-        out[names[i]][p] = low + (high - low) * (position - ranks[s][0]) if high != low else low
+        out[i, p] = low + (high - low) * (position - ranks[s][0]) if high != low else low
     return out
 
 

@@ -93,3 +93,19 @@ def test_scores_within_a_millionth_are_spread(spark):
     order = [F.desc("score")]
     spread = running_sums(ev._by_score(df, "label", "probability"), order, ["pos"])
     assert "SinglePartition" not in plan_of(spread.select("pos_upto")).split("_range")[0]
+
+
+def test_what_gives_the_columns_is_computed_once(spark):
+    """Several passes narrow the ranges; the rows before them are made in one."""
+    df, values = frame(spark, 600)
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    found = exact_quantiles(df.mapInArrow(counted, df.schema), ["wide", "heavy"], (0.25, 0.5), levels=8, most=40)
+    assert found["wide"] == pytest.approx(list(np.quantile(values["wide"], (0.25, 0.5))), rel=1e-12)
+    assert made.value == 600
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
