@@ -7,7 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from cohortline.operators.knn import KnnImputer, _Boxes, _first_cells, _further_cells, _nearest, _within
+from cohortline.operators.knn import KnnImputer, _Boxes, _first_cells, _further_cells, _nearest, _patterns, _within
 
 COLUMNS = list("abcd")
 K = 5
@@ -93,3 +93,13 @@ def test_search_keeps_to_the_distance_found_before():
     found = _nearest(["a", "b"], 5)(rows, donors)
     assert list(zip(found["_d"], found["_value"])) == [(0.5, 1.0), (2.0, 2.0)]
     assert len(_nearest(["a", "b"], 5)(rows.assign(_limit1=np.nan), donors)) == 3
+
+
+@pytest.mark.parametrize("wide", [3, 8, 9, 20])
+def test_patterns_of_any_number_of_columns(wide):
+    rng = np.random.default_rng(wide)
+    values = np.where(rng.random((300, wide)) < 0.2, np.nan, 1.0)
+    found = _patterns(values)
+    assert sorted(i for _, rows in found for i in rows) == list(range(300))
+    assert all((~np.isnan(values[rows]) == known).all() for known, rows in found)
+    assert len(found) == len(np.unique(np.isnan(values), axis=0)) and _patterns(values[:0]) == []
