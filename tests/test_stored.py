@@ -262,3 +262,21 @@ def test_event_stream_equals_batch_over_restarts(spark, tmp_path):
     by = ("subject_id", "timestamp", "code")
     assert rows(found.where("timestamp IS NOT NULL"), *by) == rows(batch.where("timestamp IS NOT NULL"), *by)
     assert [r[3] for r in rows(found.where("timestamp IS NULL"), *by)] == [50.0, 50.0]
+
+
+def test_event_state_holds_one_row_per_subject_and_time(spark, tmp_path):
+    """However many codes a row has; codes that several columns may give are one event, that of the first row."""
+    schema = "patient_id string, event_id long, observation_date timestamp, heart_rate double, bmi double, primary_diagnosis string, has_chd int"
+    at = dt.datetime(2024, 1, 1)
+    data = [("a", 4, at, 4.0, 1.0, "CHD", 0), ("a", 2, at, None, 2.0, "RENAL", 1), ("b", 5, at, 5.0, None, "CHD", 1),
+            ("b", 3, at, 3.0, None, "CHD", 0), ("c", 1, at, 1.0, 1.0, "x", 1), ("d", 6, at + dt.timedelta(days=9), 1.0, 1.0, "x", 1)]
+    frame = spark.createDataFrame(data, schema).coalesce(1)
+    frame.write.parquet(str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    running = event_stream(spark, str(tmp_path / "in"), frame.schema, str(tmp_path / "out"), str(tmp_path / "state"))
+    running.awaitTermination()
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+    assert max(s["numRowsTotal"] for p in running.recentProgress for s in p["stateOperators"]) == 4
+    by = ("subject_id", "code")
+    batch = ev.to_events(frame.where("patient_id <> 'd'"))
+    assert rows(spark.read.parquet(str(tmp_path / "out")), *by) == rows(batch, *by)
