@@ -19,7 +19,8 @@ places off in the other line; long lines list all their places instead.
 2. Keys that still hold several components are cut into tiles of bounded size;
    in a tile, pairs of different components whose lengths and counts of signs
    or words leave room make a spanning forest, likelier pairs first. Forests
-   are compared as long as they join anything, then all pairs that are left.
+   are compared as long as they join anything, then all pairs that are left,
+   these inside their tiles.
 
 A comparison strips common ends and runs a banded bit-parallel edit distance
 over many pairs at once. Components of all links found are the line classes; no
@@ -467,10 +468,17 @@ def tiles(runs: DataFrame, label: DataFrame) -> DataFrame:
     return stored(rows.select("s", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "class", "n"), "line-tiles")
 
 
-def tile_candidates(rows: DataFrame, label: DataFrame, signs: DataFrame, edits: int, per: int | None, forest: bool) -> DataFrame:
-    """Pairs (a, b) of tiles' lines in different components that may be near."""
+def tile_candidates(
+    rows: DataFrame, label: DataFrame, signs: DataFrame, edits: int, per: int | None, forest: bool, lines: DataFrame | None = None,
+) -> DataFrame:
+    """Pairs (a, b) of tiles' lines in different components that may be near. With
+    ``lines`` they are compared in the tile and only near ones leave it, so rows
+    out are links and do not grow with the pairs of a tile."""
     rows = with_component(rows, label).join(signs, "class")
+    if lines is not None:
+        rows = rows.join(lines, "class")
     rows = rows.repartition(shuffle_partitions(rows.sparkSession), "s", "i", "j").sortWithinPartitions("s", "i", "j")
+    compare = lines is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -483,6 +491,12 @@ def tile_candidates(rows: DataFrame, label: DataFrame, signs: DataFrame, edits:
             numbers = [table.column(k).to_numpy().astype(np.int64) for k in ("class", "n", "comp", "size", "words")]
             bags = [np.frombuffer(b"".join(table.column(k).to_pylist()), np.uint8).reshape(-1, 64) for k in ("bag", "word_bag")]
             a, b = _tile_pairs(np.cumsum(change), *numbers, *bags, edits, per, forest)
+            if compare and len(a):
+                text = dict(zip(numbers[0].tolist(), table.column("line").to_pylist()))
+                keep = np.concatenate([
+                    near([(text[x], text[y]) for x, y in zip(a[k:k + 4096].tolist(), b[k:k + 4096].tolist())], edits, per)
+                    for k in range(0, len(a), 4096)])
+                a, b = a[keep], b[keep]
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
@@ -500,7 +514,7 @@ def tile_candidates(rows: DataFrame, label: DataFrame, signs: DataFrame, edits:
         if held:
             yield close(pa.Table.from_batches(held))
 
-    columns = ["s", "i", "j", "class", "n", "comp", "size", "words", "bag", "word_bag"]
+    columns = ["s", "i", "j", "class", "n", "comp", "size", "words", "bag", "word_bag"] + ["line"] * compare
     return stored(rows.select(*columns).mapInArrow(run, "a bigint, b bigint").distinct(), "line-candidates")
 
 
@@ -518,7 +532,7 @@ def further_links(runs: DataFrame, label: DataFrame, docs: DataFrame, edits: int
     discard(rows)
     return in_turns(
         label, found, lambda pairs: verify(pairs, lines, edits, per),
-        lambda now, forest: tile_candidates(rest, now, signs, edits, per, forest))
+        lambda now, forest: tile_candidates(rest, now, signs, edits, per, forest, None if forest else lines))
 
 
 def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS, per: int | None = None) -> DataFrame:
