@@ -18,12 +18,12 @@ places off in the other line; long lines list all their places instead.
 1. Every line is compared with the first line of the key it shares most often.
 2. Keys that still hold several components are cut into tiles of bounded size;
    in a tile, pairs of different components whose lengths and counts of signs
-   or words leave room make a spanning forest, likelier pairs first. Forests
-   are compared as long as they join anything, then all pairs that are left,
-   these inside their tiles.
+   or words leave room make a spanning forest, likelier pairs first, which is
+   compared. Then each tile compares the pairs that are left, likelier ones
+   first, except those that its links have joined meanwhile.
 
-A comparison strips common ends and runs a banded bit-parallel edit distance
-over many pairs at once. Components of all links found are the line classes; no
+A comparison follows the diagonals from edit to edit, over many pairs at once.
+Components of all links found are the line classes; no
 link is left out. ``dedup`` drops a line where its class has an earlier one, by
 (document id, place), and keeps everything else of the text as it is.
 
@@ -36,6 +36,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from hashlib import blake2b
 from itertools import chain
 
 import numpy as np
@@ -44,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.llm.common import BLANKS, aside, discard, in_batches, shuffle_partitions, stored
-from cohortline.llm.components import components, in_turns, with_component
+from cohortline.llm.components import components, merged, with_component
 from cohortline.llm.jaccard import FILTER_BITS, _forest, _shared_only, filter_of
 from cohortline.llm.wordhash import _power, mix
 
@@ -54,16 +55,19 @@ WORDS_PER_EDIT = 20
 LONGEST_WORD = 16
 TILE = 1024
 BLOCK_CHARS = 1_000_000
+BUCKETS = 8  # for each shuffle partition
+HELD_KEYS = 1_000_000
+COMPARED = 1024
 
 
 class Stretches:
     """Several sequences of values as one array with running hash sums."""
 
-    def __init__(self, points: np.ndarray, size: np.ndarray):
+    def __init__(self, points: np.ndarray, size: np.ndarray, mixed: np.ndarray):
         self.points, self.size = points, size
         self.first = np.concatenate([[0], np.cumsum(size)])[:-1]
         with np.errstate(over="ignore"):
-            value = mix(points + np.uint64(1)) * _power(len(points) + 1, False)[: len(points)]
+            value = mixed * _power(len(points) + 1, False)[: len(points)]
             self.total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
         self.back = _power(len(points) + 1, True)
 
@@ -79,9 +83,20 @@ class Lines(Stretches):
     """Lines of several texts by their code points."""
 
     def __init__(self, lines: list[str]):
-        points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-        super().__init__(points, np.fromiter(map(len, lines), np.int64, len(lines)))
-        self.ids = self.part(np.zeros(len(lines), np.int64), self.size, np.zeros(len(lines), np.int64))
+        points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4")
+        super().__init__(points, np.fromiter(map(len, lines), np.int64, len(lines)), _mixed()[points])
+
+
+def line_ids(lines: list[str]) -> np.ndarray:
+    """A digest of 64 bits for each line."""
+    digests = b"".join([blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest() for line in lines])
+    return np.frombuffer(digests, "<i8").astype(np.int64)
+
+
+@cache
+def _mixed() -> np.ndarray:
+    """The mixed value of each code point."""
+    return mix(np.arange(1, 0x110001, dtype=np.uint64))
 
 
 @cache
@@ -98,18 +113,23 @@ class Words(Stretches):
 
     def __init__(self, lines: Lines):
         kind = _kinds()[lines.points]
-        place = np.arange(len(kind))
-        fresh = np.zeros(len(kind), bool)
-        fresh[lines.first[lines.size > 0]] = True
-        start = (kind == 2) | ((kind == 1) & (fresh | (np.concatenate([[0], kind])[:-1] != 1)))
-        start |= (kind == 1) & ((place - np.maximum.accumulate(np.where(start, place, 0))) % LONGEST_WORD == 0)
-        last = (kind == 2) | ((kind == 1) & np.concatenate([start | (kind != 1), [True]])[1:])
+        inside, apart = kind == 1, np.ones(len(kind) + 1, bool)
+        apart[1:-1] = ~inside[1:]
+        apart[lines.first[lines.size > 0]] = True
+        last = inside & apart[1:]
+        apart[1:-1] |= ~inside[:-1]
+        start = inside & apart[:-1]
         at, end = np.flatnonzero(start), np.flatnonzero(last) + 1
+        for begin, stop in zip(*(x[end - at > LONGEST_WORD].tolist() for x in (at, end))):
+            start[begin + LONGEST_WORD:stop:LONGEST_WORD] = True
+            last[begin + LONGEST_WORD - 1:stop - 1:LONGEST_WORD] = True
+        alone = kind == 2
+        at, end = np.flatnonzero(start | alone), np.flatnonzero(last | alone) + 1
         with np.errstate(over="ignore"):
             body = (lines.total[end] - lines.total[at]) * lines.back[at]
             points = mix(body + ((end - at).astype(np.uint64) << np.uint64(32))) >> np.uint64(1)
         first = np.searchsorted(at, lines.first)
-        super().__init__(points, np.diff(np.append(first, len(at))))
+        super().__init__(points, np.diff(np.append(first, len(at))), mix(points + np.uint64(1)))
 
     def of(self, row: int) -> np.ndarray:
         return self.points[self.first[row]: self.first[row] + self.size[row]].astype(np.int64)
@@ -211,7 +231,7 @@ def occurrences(docs: DataFrame, least: int) -> DataFrame:
     kind = docs.schema["doc"].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        found = [(np.array(r), np.array(p, np.int32), Lines(x).ids) for r, p, x in _blocks(batch.column(2).to_pylist(), least)]
+        found = [(np.array(r), np.array(p, np.int32), line_ids(x)) for r, p, x in _blocks(batch.column(2).to_pylist(), least)]
         if not found:
             return None
         rows, places, ids = (np.concatenate(x) for x in zip(*found))
@@ -222,33 +242,71 @@ def occurrences(docs: DataFrame, least: int) -> DataFrame:
 
 
 def _fresh_lines(batches: Iterator[pa.RecordBatch], least: int):
-    """Blocks of a task's distinct lines."""
+    """(ids, lines): blocks of a task's distinct lines."""
     seen: set[int] = set()
     for batch in batches:
         for start in range(0, batch.num_rows, 512):
             for _, _, lines in _blocks(batch.column(0).slice(start, 512).to_pylist(), least):
                 own = {}
-                for key, line in zip(Lines(lines).ids.tolist(), lines):
+                for key, line in zip(line_ids(lines).tolist(), lines):
                     if key not in seen:
                         seen.add(key)
                         own[key] = line
                 if own:
-                    yield list(own.values())
+                    yield np.fromiter(own, np.int64, len(own)), list(own.values())
+
+
+def _packed(keys: np.ndarray, ids: np.ndarray, kinds: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """One row for each bucket, a range of keys: the low 40 bits of its keys and their lines, segments first."""
+    keys = keys.view(np.uint64)
+    bucket = ((keys >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
+    order = np.argsort(bucket * 2 + kinds, kind="stable")
+    found, first = np.unique(bucket[order], return_index=True)
+    ends = np.append(first[1:], len(order))
+    part = keys[order]
+    columns = [part.astype("<u4"), (part >> np.uint64(32)).astype(np.uint8), ids[order]]
+    segments = np.add.reduceat(kinds[order] == 0, first, dtype=np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(found), pa.array(segments), *[pa.array([x[i:j].tobytes() for i, j in zip(first.tolist(), ends.tolist())], pa.binary()) for x in columns]],
+        names=["bucket", "segments", "low", "high", "lines"])
+
+
+def _shared_in_bucket(rows: pa.Table) -> pa.Table:
+    """The shared keys of one bucket."""
+    low, high, ids = (np.frombuffer(b"".join(rows.column(k).to_pylist()), kind) for k, kind in (("low", "<u4"), ("high", np.uint8), ("lines", np.int64)))
+    keys = (np.int64(rows.column("bucket")[0].as_py()) << 40) | (high.astype(np.int64) << 32) | low.astype(np.int64)
+    counts = np.array([len(x) for x in rows.column("high").to_pylist()])
+    place = np.arange(len(keys)) - np.repeat(np.cumsum(counts) - counts, counts)
+    kinds = (place >= np.repeat(rows.column("segments").to_numpy(), counts)).astype(np.int32)
+    order = np.argsort(keys)
+    again = keys[order[1:]] == keys[order[:-1]]
+    at = order[np.concatenate([again, [False]]) | np.concatenate([[False], again])]
+    at = at[np.lexsort((ids[at], kinds[at], keys[at]))]
+    many = pa.RecordBatch.from_arrays([pa.array(keys[at]), pa.array(ids[at]), pa.array(kinds[at])], names=["s", "class", "n"])
+    schema = pa.schema([("s", pa.int64()), ("class", pa.int64()), ("n", pa.int32()), ("hub", pa.int64()), ("hub_n", pa.int32())])
+    return pa.Table.from_batches([x.cast(schema) for x in _shared_only(iter([many]))], schema)
 
 
 def shared_keys(docs: DataFrame, edits: int, least: int, per: int | None = None) -> DataFrame:
-    """(s, class, n, hub, hub_n): lines of keys that several share; n is 0 for a segment and 1 for a probe."""
+    """(s, class, n, hub, hub_n): lines of keys that several share; n is 0 for a segment and 1 for a probe.
+    Keys travel packed, by ranges of bounded size, and are sorted as arrays."""
+    buckets = BUCKETS * shuffle_partitions(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _fresh_lines(batches, least):
+        held, many = [], 0
+        for ids, block in _fresh_lines(batches, least):
             lines = Lines(block)
             for rows, keys, kind in chain(keys_of(lines, edits), word_keys_of(Words(lines), per) if per else ()):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), pa.array(lines.ids[rows]), pa.array(np.full(len(rows), kind, np.int32))], names=["s", "class", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "s bigint, class bigint, n int")
-    rows = rows.repartition(shuffle_partitions(docs.sparkSession), "s").sortWithinPartitions("s", "n", "class")
-    shared = rows.mapInArrow(_shared_only, "s bigint, class bigint, n int, hub bigint, hub_n int")
+                held.append((keys, ids[rows], np.full(len(rows), kind, np.int8)))
+                many += len(rows)
+            if many > HELD_KEYS:
+                yield _packed(*(np.concatenate(x) for x in zip(*held)), buckets)
+                held, many = [], 0
+        if many:
+            yield _packed(*(np.concatenate(x) for x in zip(*held)), buckets)
+
+    rows = docs.select("text").mapInArrow(run, "bucket bigint, segments int, low binary, high binary, lines binary")
+    shared = rows.groupBy("bucket").applyInArrow(_shared_in_bucket, "s bigint, class bigint, n int, hub bigint, hub_n int")
     return shared.where("hub_n = 0")
 
 
@@ -258,8 +316,7 @@ def wanted_lines(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(filter_of(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _fresh_lines(batches, least):
-            ids = Lines(block).ids
+        for ids, block in _fresh_lines(batches, least):
             place = (ids.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
             hit = np.flatnonzero(shared.value[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1)
             if len(hit):
@@ -268,114 +325,100 @@ def wanted_lines(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "class bigint, line string").dropDuplicates(["class"])
 
 
-def _points(line: str) -> np.ndarray:
-    return np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4")
-
-
-def _stripped(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Both without their common ends."""
-    n = min(len(x), len(y))
-    off = x[:n] != y[:n]
-    start = int(off.argmax()) if off.any() else n
-    x, y, n = x[start:], y[start:], n - start
-    off = x[len(x) - n:][::-1] != y[len(y) - n:][::-1]
-    end = int(off.argmax()) if off.any() else n
-    return x[: len(x) - end], y[: len(y) - end]
-
-
-def _bag(points: np.ndarray) -> np.ndarray:
-    """Counts of signs in 64 bins. An edit changes them by two at most."""
-    return np.bincount((points & 63).astype(np.int64), minlength=64)
+def _common(points: np.ndarray, a: np.ndarray, b: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """How far the points from a and from b on are equal, up to room."""
+    out, live, width = np.zeros(len(a), np.int64), np.flatnonzero(room > 0), 4
+    while len(live):
+        rest = []
+        step = np.arange(width)
+        for start in range(0, len(live), max(1, 1 << 20 >> width.bit_length())):
+            part = live[start:start + max(1, 1 << 20 >> width.bit_length())]
+            done = out[part]
+            left = np.minimum(room[part] - done, width)
+            at = np.minimum(step, left[:, None] - 1)
+            off = points[(a[part] + done)[:, None] + at] != points[(b[part] + done)[:, None] + at]
+            ends = off.any(axis=1)
+            out[part] += np.where(ends, off.argmax(axis=1), left)
+            rest.append(part[~ends & (out[part] < room[part])])
+        live, width = np.concatenate(rest), min(2 * width, 1024)
+    return out
+
+
+def _reached(points: np.ndarray, a: np.ndarray, m: np.ndarray, b: np.ndarray, n: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """Which stretches of m and n points, from a and b on, are at most ``limit`` edits apart. After each
+    edit, ``far`` holds for each diagonal the furthest place of the first stretch that is reached."""
+    close, most = np.zeros(len(a), bool), int(limit.max(initial=0))
+    live = np.flatnonzero(np.abs(n - m) <= limit)
+    none = -(1 << 40)
+    far = np.full((len(live), 2 * most + 3), none, np.int64)
+    diagonal = np.arange(-most, most + 1)
+    for edit in range(most + 1):
+        if not len(live):
+            break
+        if edit:
+            place = np.maximum(np.maximum(far[:, 1:-1] + 1, far[:, 2:] + 1), far[:, :-2])
+        else:
+            place = np.where(diagonal == 0, 0, np.full((len(live), 1), none))
+        goal, left = (n - m)[live], limit[live] - edit
+        place = np.minimum(place, np.minimum(m[live][:, None], n[live][:, None] - diagonal))
+        place[(place < 0) | (place + diagonal < 0) | (np.abs(goal[:, None] - diagonal) > left[:, None])] = none
+        row, column = np.nonzero(place >= 0)
+        x, who = place[row, column], live[row]
+        y = x + diagonal[column]
+        far = np.full((len(live), 2 * most + 3), none, np.int64)
+        far[:, 1:-1] = place
+        far[row, column + 1] = x + _common(points, a[who] + x, b[who] + y, np.minimum(m[who] - x, n[who] - y))
+        done = far[np.arange(len(live)), goal + most + 1] >= m[live]
+        close[live[done]] = True
+        on = ~done & (left > 0)
+        live, far = live[on], far[on]
+    return close
 
 
-def within(pairs: list[tuple[str, str]], edits: int) -> np.ndarray:
-    """Which pairs are at most ``edits`` (up to 30) edits apart."""
-    return _banded([_stripped(_points(a), _points(b)) for a, b in pairs], edits)
-
-
-def _banded(trimmed: list[tuple[np.ndarray, np.ndarray]], edits: int) -> np.ndarray:
-    """Which of the stripped pairs are within ``edits`` (up to 30). The bits of a word are the
-    cells of the band around the diagonal; the top bit is the band's lowest row."""
-    close = np.zeros(len(trimmed), bool)
-    todo = [i for i, (x, y) in enumerate(trimmed) if abs(len(x) - len(y)) <= edits and np.abs(_bag(x) - _bag(y)).sum() <= 2 * edits]
-    todo.sort(key=lambda i: len(trimmed[i][1]))
-    one = np.uint64(1)
-    for start in range(0, len(todo), 1024):
-        part = todo[start:start + 1024]
-        # A common head of ``edits`` signs, so that the first row of the band lies inside the shorter one.
-        m = np.array([len(trimmed[i][0]) + edits for i in part])
-        n = np.array([len(trimmed[i][1]) + edits for i in part])
-        width = int(max(m.max(), n.max())) + edits + 1
-        a, b = np.full((len(part), width + edits), -1, np.int64), np.full((len(part), width), -2, np.int64)
-        a[:, :edits] = b[:, :edits] = -3
-        for k, i in enumerate(part):
-            a[k, edits:m[k]] = trimmed[i][0]
-            b[k, edits:n[k]] = trimmed[i][1]
-        up = np.full(len(part), ((1 << (edits + 1)) - 1) << (63 - edits), np.uint64)
-        down = np.zeros(len(part), np.uint64)
-        dist = np.full(len(part), edits, np.int64)
-        for i in range(int(n.max())):
-            same = np.zeros(len(part), np.uint64)
-            for k in range(2 * edits + 1):
-                at = i + edits - k
-                if at >= 0:
-                    same |= (a[:, at] == b[:, i]).astype(np.uint64) << np.uint64(63 - k)
-            diagonal = (((same & up) + up) ^ up) | same | down
-            right, left = down | ~(diagonal | up), diagonal & up
-            live, slanted = i < n, i < m - edits
-            step = np.where(slanted, 1 - (diagonal >> np.uint64(63)).astype(np.int64), 0)
-            bit = np.clip(62 - (i - (m - edits)), 0, 63).astype(np.uint64)
-            level = (right >> bit & one).astype(np.int64) - (left >> bit & one).astype(np.int64)
-            dist += np.where(live, np.where(slanted, step, level), 0)
-            up, down = left | ~((diagonal >> one) | right), (diagonal >> one) & right
-        close[part] = dist <= edits
+def _apart(lines: Stretches, left: np.ndarray, right: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """Which pairs of rows are at most ``limit`` edits apart."""
+    close = np.zeros(len(left), bool)
+    able = np.abs(lines.size[left] - lines.size[right]) <= limit
+    group = np.ceil(np.log2(np.maximum(limit, 1))).astype(np.int64)
+    for kind in np.unique(group[able]).tolist():
+        at = np.flatnonzero(able & (group == kind))
+        size = max(16, COMPARED * 8 >> kind)
+        for start in range(0, len(at), size):
+            part = at[start:start + size]
+            x, y = left[part], right[part]
+            close[part] = _reached(lines.points, lines.first[x], lines.size[x], lines.first[y], lines.size[y], limit[part])
     return close
 
 
-def distance(x: np.ndarray, y: np.ndarray) -> int:
-    """Edit distance with bit vectors as long as x."""
-    if not len(x) or not len(y):
-        return max(len(x), len(y))
-    has: dict[int, int] = {}
-    for i, value in enumerate(x.tolist()):
-        has[value] = has.get(value, 0) | 1 << i
-    mask, top, score = (1 << len(x)) - 1, 1 << (len(x) - 1), len(x)
-    up, down = mask, 0
-    for value in y.tolist():
-        same = has.get(value, 0)
-        diagonal = (((same & up) + up) ^ up) | same | down
-        right, left = (down | ~(diagonal | up)) & mask, diagonal & up
-        score += bool(right & top) - bool(left & top)
-        right, left = (right << 1 | 1) & mask, left << 1
-        up, down = (left | ~(diagonal | right)) & mask, right & diagonal
-    return score
+def within(pairs: list[tuple[str, str]], edits: int) -> np.ndarray:
+    """Which pairs are at most ``edits`` edits apart."""
+    lines = Lines([x for pair in pairs for x in pair])
+    return _apart(lines, np.arange(0, 2 * len(pairs), 2), np.arange(1, 2 * len(pairs), 2), np.full(len(pairs), edits))
 
 
 def words_within(words: Words, left: np.ndarray, right: np.ndarray, per: int) -> np.ndarray:
     """Which pairs of rows are at most the limit of the shorter one apart, in words."""
-    close = np.zeros(len(left), bool)
     limits = limits_of(np.minimum(words.size[left], words.size[right]), per)
-    live = (limits > 0) & (np.abs(words.size[left] - words.size[right]) <= limits)
-    for limit in np.unique(limits[live]).tolist():
-        at = np.flatnonzero(live & (limits == limit))
-        trimmed = [_stripped(words.of(left[i]), words.of(right[i])) for i in at]
-        close[at] = _banded(trimmed, limit) if limit <= 30 else [distance(x, y) <= limit for x, y in trimmed]
+    close = np.zeros(len(left), bool)
+    at = np.flatnonzero(limits > 0)
+    close[at] = _apart(words, left[at], right[at], limits[at])
     return close
 
 
-def near(pairs: list[tuple[str, str]], edits: int, per: int | None = None) -> np.ndarray:
-    close = within(pairs, edits)
-    if per:
-        part, size = [], 0
-        for i in [*np.flatnonzero(~close).tolist(), None]:
-            if i is None or size > BLOCK_CHARS:
-                both = [x for k in part for x in pairs[k]]
-                if both:
-                    close[part] = words_within(Words(Lines(both)), np.arange(0, len(both), 2), np.arange(1, len(both), 2), per)
-                part, size = [], 0
-            if i is not None:
-                part.append(i)
-                size += len(pairs[i][0]) + len(pairs[i][1])
+def near(texts: list[str], left: np.ndarray, right: np.ndarray, edits: int, per: int | None = None) -> np.ndarray:
+    """Which pairs of texts are near copies, in blocks of bounded size."""
+    close = np.zeros(len(left), bool)
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    block = np.cumsum(size[left] + size[right]) // BLOCK_CHARS
+    for start, end in zip(first := np.flatnonzero(np.diff(block, prepend=-1)), [*first[1:], len(left)]):
+        used, place = np.unique(np.concatenate([left[start:end], right[start:end]]), return_inverse=True)
+        lines = Lines([texts[i] for i in used])
+        x, y = np.split(place.ravel(), 2)
+        found = _apart(lines, x, y, np.full(len(x), edits))
+        if per and not found.all():
+            rest = np.flatnonzero(~found)
+            found[rest] = words_within(Words(lines), x[rest], y[rest], per)
+        close[start:end] = found
     return close
 
 
@@ -384,7 +427,8 @@ def verify(pairs: DataFrame, texts: DataFrame, edits: int, per: int | None = Non
     both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "a_line", "b_line")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = near(list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())), edits, per)
+        texts = batch.column(2).to_pylist() + batch.column(3).to_pylist()
+        keep = near(texts, np.arange(batch.num_rows), np.arange(batch.num_rows) + batch.num_rows, edits, per)
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
     return in_batches(both, "a bigint, b bigint", work, 4096)
@@ -402,15 +446,14 @@ def line_signs(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(filter_of(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _fresh_lines(batches, least):
-            ids = Lines(block).ids
+        for ids, block in _fresh_lines(batches, least):
             place = (ids.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
             hit = np.flatnonzero(shared.value[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1)
             if len(hit):
                 lines = Lines([block[i] for i in hit])
                 words = Words(lines)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(lines.ids), pa.array(lines.size.astype(np.int32)), pa.array(words.size.astype(np.int32)),
+                    pa.array(ids[hit]), pa.array(lines.size.astype(np.int32)), pa.array(words.size.astype(np.int32)),
                     pa.array(_counts(lines.points, lines.first, lines.size), pa.binary()),
                     pa.array(_counts(words.points, words.first, words.size), pa.binary())], names=["class", "size", "words", "bag", "word_bag"])
 
@@ -419,8 +462,8 @@ def line_signs(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
 
 def _tile_pairs(tile, cls, kind, comp, size, words, bags, word_bags, edits: int, per: int | None, forest: bool) -> tuple[np.ndarray, np.ndarray]:
     """Rows sorted by tile, whole tiles only: pairs of different components, one of them by its own segment,
-    whose lengths and counts of signs or words leave room for the limit. With ``forest`` a spanning forest
-    of them, likelier ones first, and (c, c) for each class c that is in any."""
+    whose lengths and counts of signs or words leave room for the limit, likelier ones first. With ``forest``
+    a spanning forest of them and (c, c) for each class c that is in any."""
     start = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
     many = np.diff(np.append(start, len(tile)))
     left_over = np.repeat(many, many) - (np.arange(len(tile)) - np.repeat(start, many))
@@ -451,11 +494,33 @@ def _tile_pairs(tile, cls, kind, comp, size, words, bags, word_bags, edits: int,
         alone = np.unique(cls[np.concatenate([i, j])])
         _, own = np.unique(np.stack([np.repeat(np.arange(len(start)), many), comp], axis=1), axis=0, return_inverse=True)
         kept = _forest(i, j, likely, own.ravel())
-        i, j = i[kept], j[kept]
-    pairs = np.unique(np.stack([np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])]), axis=1)
+        i, j, likely = i[kept], j[kept], likely[kept]
+    order = np.argsort(-likely, kind="stable")
+    pairs = np.stack([np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])])[:, order]
+    _, at = np.unique(pairs, axis=1, return_index=True)
+    pairs = pairs[:, np.sort(at)]
     return np.concatenate([pairs[0], alone]), np.concatenate([pairs[1], alone])
 
 
+def _links(a: np.ndarray, b: np.ndarray, cls: np.ndarray, comp: np.ndarray, texts: list[str], edits: int, per: int | None) -> np.ndarray:
+    """Which of the pairs (a, b) of classes join components: all are compared, in their order, but those that earlier links have joined."""
+    node, first = np.unique(cls, return_index=True)
+    x, y = first[np.searchsorted(node, a)], first[np.searchsorted(node, b)]
+    _, label = np.unique(comp, return_inverse=True)
+    label = label.ravel()
+    p, q, root = label[x], label[y], np.arange(label.max(initial=-1) + 1)
+    links = []
+    for start in range(0, len(a), COMPARED):
+        part = np.arange(start, min(start + COMPARED, len(a)))
+        part = part[root[p[part]] != root[q[part]]]
+        for k in part[near(texts, x[part], y[part], edits, per)].tolist() if len(part) else ():
+            one, two = root[p[k]], root[q[k]]
+            if one != two:
+                root[root == one] = two
+                links.append(k)
+    return np.array(links, np.int64)
+
+
 def tiles(runs: DataFrame, label: DataFrame) -> DataFrame:
     """(s, i, j, class, n): rows of the keys that still hold several components, in blocks of bounded size."""
     rows = with_component(runs.select("s", "class", "n"), label)
@@ -492,10 +557,7 @@ def tile_candidates(
             bags = [np.frombuffer(b"".join(table.column(k).to_pylist()), np.uint8).reshape(-1, 64) for k in ("bag", "word_bag")]
             a, b = _tile_pairs(np.cumsum(change), *numbers, *bags, edits, per, forest)
             if compare and len(a):
-                text = dict(zip(numbers[0].tolist(), table.column("line").to_pylist()))
-                keep = np.concatenate([
-                    near([(text[x], text[y]) for x, y in zip(a[k:k + 4096].tolist(), b[k:k + 4096].tolist())], edits, per)
-                    for k in range(0, len(a), 4096)])
+                keep = _links(a, b, numbers[0], numbers[2], table.column("line").to_pylist(), edits, per)
                 a, b = a[keep], b[keep]
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
@@ -530,9 +592,11 @@ def further_links(runs: DataFrame, label: DataFrame, docs: DataFrame, edits: int
     lines = stored(wanted_lines(docs, members, least), "candidate-lines")
     rest = stored(rows.join(members, "class", "left_semi"), "line-tiles")
     discard(rows)
-    return in_turns(
-        label, found, lambda pairs: verify(pairs, lines, edits, per),
-        lambda now, forest: tile_candidates(rest, now, signs, edits, per, forest, None if forest else lines))
+    links = stored(verify(found.where("a != b"), lines, edits, per), "links")
+    if not links.isEmpty():
+        label = merged(label, links)
+    links = tile_candidates(rest, label, signs, edits, per, False, lines)
+    return label if links.isEmpty() else merged(label, links)
 
 
 def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS, per: int | None = None) -> DataFrame:
