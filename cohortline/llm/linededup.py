@@ -260,7 +260,8 @@ def _packed(keys: np.ndarray, ids: np.ndarray, kinds: np.ndarray, buckets: int)
     """One row for each bucket, a range of keys: the low 40 bits of its keys and their lines, segments first."""
     keys = keys.view(np.uint64)
     bucket = ((keys >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
-    order = np.argsort(bucket * 2 + kinds, kind="stable")
+    place = bucket * 2 + kinds
+    order = np.argsort(place.astype(np.min_scalar_type(2 * buckets)), kind="stable")
     found, first = np.unique(bucket[order], return_index=True)
     ends = np.append(first[1:], len(order))
     part = keys[order]
@@ -311,8 +312,7 @@ def shared_keys(docs: DataFrame, edits: int, least: int, per: int | None = None)
 
 
 def wanted_lines(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
-    """(class, line) of the wanted lines and, by chance, some others."""
-
+    """(class, line) of the wanted lines."""
     shared = docs.sparkSession.sparkContext.broadcast(filter_of(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,7 +322,8 @@ def wanted_lines(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
             if len(hit):
                 yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array([block[i] for i in hit], pa.string())], names=["class", "line"])
 
-    return docs.select("text").mapInArrow(run, "class bigint, line string").dropDuplicates(["class"])
+    found = docs.select("text").mapInArrow(run, "class bigint, line string").dropDuplicates(["class"])
+    return found.join(wanted, "class", "left_semi")
 
 
 def _common(points: np.ndarray, a: np.ndarray, b: np.ndarray, room: np.ndarray) -> np.ndarray:
@@ -441,23 +442,18 @@ def _counts(points: np.ndarray, first: np.ndarray, size: np.ndarray) -> list[byt
     return [x.tobytes() for x in np.minimum(bins, 255).astype(np.uint8).reshape(-1, 64)]
 
 
-def line_signs(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
-    """(class, size, words, bag, word_bag) of the wanted lines and, by chance, some others."""
-    shared = docs.sparkSession.sparkContext.broadcast(filter_of(wanted))
+def line_signs(lines: DataFrame) -> DataFrame:
+    """(class, size, words, bag, word_bag) of the lines."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, block in _fresh_lines(batches, least):
-            place = (ids.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-            hit = np.flatnonzero(shared.value[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1)
-            if len(hit):
-                lines = Lines([block[i] for i in hit])
-                words = Words(lines)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(ids[hit]), pa.array(lines.size.astype(np.int32)), pa.array(words.size.astype(np.int32)),
-                    pa.array(_counts(lines.points, lines.first, lines.size), pa.binary()),
-                    pa.array(_counts(words.points, words.first, words.size), pa.binary())], names=["class", "size", "words", "bag", "word_bag"])
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lines = Lines(batch.column(1).to_pylist())
+        words = Words(lines)
+        return pa.RecordBatch.from_arrays([
+            batch.column(0), pa.array(lines.size.astype(np.int32)), pa.array(words.size.astype(np.int32)),
+            pa.array(_counts(lines.points, lines.first, lines.size), pa.binary()),
+            pa.array(_counts(words.points, words.first, words.size), pa.binary())], names=["class", "size", "words", "bag", "word_bag"])
 
-    return docs.select("text").mapInArrow(run, "class bigint, size int, words int, bag binary, word_bag binary").dropDuplicates(["class"])
+    return in_batches(lines.select("class", "line"), "class bigint, size int, words int, bag binary, word_bag binary", work)
 
 
 def _tile_pairs(tile, cls, kind, comp, size, words, bags, word_bags, edits: int, per: int | None, forest: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -580,16 +576,16 @@ def tile_candidates(
     return stored(rows.select(*columns).mapInArrow(run, "a bigint, b bigint").distinct(), "line-candidates")
 
 
-def further_links(runs: DataFrame, label: DataFrame, docs: DataFrame, edits: int, least: int, per: int | None) -> DataFrame:
+def further_links(runs: DataFrame, label: DataFrame, lines: DataFrame, edits: int, per: int | None) -> DataFrame:
     """The components after all links that the first pass left."""
     rows = tiles(runs, label)
     discard(runs)
-    signs = stored(line_signs(docs, rows.select("class"), least), "line-signs")
+    signs = stored(line_signs(lines.join(rows, "class", "left_semi")), "line-signs")
     found = tile_candidates(rows, label, signs, edits, per, forest=True)
     if found.isEmpty():
         return label
     members = found.where("a = b").select(F.col("a").alias("class"))
-    lines = stored(wanted_lines(docs, members, least), "candidate-lines")
+    lines = stored(lines.join(members, "class", "left_semi"), "candidate-lines")
     rest = stored(rows.join(members, "class", "left_semi"), "line-tiles")
     discard(rows)
     links = stored(verify(found.where("a != b"), lines, edits, per), "links")
@@ -605,10 +601,10 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS,
     met = runs.where("class != hub").groupBy("class", "hub").agg(F.count("*").alias("times"))
     first = met.groupBy("class").agg(F.max_by("hub", F.struct("times", "hub")).alias("hub"))
     first = stored(first.select(F.col("hub").alias("a"), F.col("class").alias("b")), "line-first")
-    wanted = first.select(F.explode(F.array("a", "b")).alias("class"))
-    edges = stored(verify(first, wanted_lines(docs, wanted, least), edits, per), "line-edges")
+    lines = stored(wanted_lines(docs, runs.select("class"), least), "key-lines")
+    edges = stored(verify(first, lines, edits, per), "line-edges")
     label = components(edges)
-    return further_links(runs, label, docs, edits, least, per)
+    return further_links(runs, label, lines, edits, per)
 
 
 def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS, least: int = LEAST_CHARS, per: int | None = None, short: bool = False) -> DataFrame:
@@ -619,10 +615,10 @@ def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int =
     seen = stored(occurrences(plain, 1 if short else least), "lines")
     place = F.struct("doc", "row", "place")
     lines = seen.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    lines = lines.join(label, F.col("line") == F.col("node"), "left").withColumn("class", F.coalesce("component", "line"))
-    near = lines.where("component IS NOT NULL")
-    first = near.groupBy("class").agg(F.min("first").alias("reach"))
-    again = lines.where("component IS NOT NULL OR n > 1").join(first, "class", "left").select("line", F.coalesce("reach", "first").alias("first"))
+    lines = lines.join(label, F.col("line") == F.col("node"), "left").where("component IS NOT NULL OR n > 1")
+    lines = stored(lines.select("line", "first", "component"), "line-copies")
+    first = lines.where("component IS NOT NULL").groupBy("component").agg(F.min("first").alias("reach"))
+    again = lines.join(first, "component", "left").select("line", F.coalesce("reach", "first").alias("first"))
     drop = seen.join(again, "line").where(place != F.col("first")).groupBy("doc", "row").agg(F.collect_set("place").alias("_drop"))
     made = ("n_lines", "n_dropped")
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in made]
