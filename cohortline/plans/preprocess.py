@@ -15,7 +15,7 @@ from cohortline.operators.knn import KnnImputer
 from cohortline.operators.outliers import Outliers
 from cohortline.operators.scale import QuantileNormal, Scaler
 from cohortline.plans.features import FeatureSet
-from cohortline.session import kept
+from cohortline.session import durable, kept
 
 _ENCODERS = {
     "onehot": lambda df, columns, label, limit: en.OneHot.fit(df, columns, limit),
@@ -88,6 +88,8 @@ class Preprocessor:
         return df
 
     def fit_transform(self, df: DataFrame) -> DataFrame:
+        if self.strategy == "knn":
+            df = durable(df)  # it is read at both and, for rows with gaps and without, twice at the second
         return self.fit(df).transform(df)
 
     def _plan(self, ratios: dict[str, float]):

@@ -103,3 +103,43 @@ def test_patterns_of_any_number_of_columns(wide):
     assert sorted(i for _, rows in found for i in rows) == list(range(300))
     assert all((~np.isnan(values[rows]) == known).all() for known, rows in found)
     assert len(found) == len(np.unique(np.isnan(values), axis=0)) and _patterns(values[:0]) == []
+
+
+def test_narrow_cells_come_before_wide_ones_around_them():
+    """A cell that joins two far ends of the curve holds no rows in between."""
+    ends = np.array([[[0.0, 0.0], [100.0, 100.0]], [[40.0, 40.0], [44.0, 60.0]]])
+    boxes = _Boxes(np.arange(2), ends[:, 0], ends[:, 1], np.ones((2, 2), bool), np.full((2, 2), 50.0))
+    points = np.array([[43.9, np.nan], [np.nan, 50.0], [90.0, np.nan]])
+    assert [list(c) for c in _first_cells(boxes, boxes.above(), points, 5)] == [[1], [1], [0]]
+
+
+def test_one_cell_gives_at_most_k_rows_for_a_gap():
+    """Whatever the number of gap patterns among its rows."""
+    rng = np.random.default_rng(3)
+    rows = pd.DataFrame(table(rng, 40, 0.3), columns=COLUMNS).dropna(how="all").reset_index(names="_id")
+    rows = rows.assign(**{f"_limit{i}": np.nan for i in range(4)})
+    donors = pd.DataFrame(table(rng, 300, 0.3), columns=COLUMNS).reset_index(names="_from").assign(_m=1)
+    found = _nearest(COLUMNS, K)(rows, donors)
+    assert found.groupby(["_id", "_feature"]).size().max() == K
+    for (row, gap), some in found.groupby(["_id", "_feature"]):
+        here, there = rows.set_index("_id").loc[row, COLUMNS].to_numpy(float), donors[COLUMNS].to_numpy()
+        square = np.square(here - there)
+        shared = (~np.isnan(square)).sum(axis=1)
+        apart = np.where((shared > 0) & ~np.isnan(there[:, gap]), np.nansum(square, axis=1) * 4 / np.maximum(shared, 1), np.inf)
+        assert list(some["_d"]) == pytest.approx(sorted(apart)[:K])
+
+
+def test_rows_answered_once_are_not_searched_again(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    train, more = table(rng, 200), table(rng, 40, 0.4)
+    fitted, met = KnnImputer.fit(frame(spark, train), COLUMNS, K), KnnImputer._met
+    asked = []
+    monkeypatch.setattr(KnnImputer, "_met", lambda self, visitors, slice_rows: asked.append(visitors.count()) or met(self, visitors, slice_rows))
+    answer = lambda data: [tuple(r) for r in fitted.transform(frame(spark, data)).orderBy("i").collect()]
+    first = answer(train)
+    assert sum(asked) and answer(train) == first
+    searched = len(asked)
+    both = answer(np.concatenate([train, more]))
+    gaps = np.isnan(more).any(axis=1).sum()
+    assert both[:200] == first and asked[:searched] == asked[:2] and asked[2:] == [gaps, gaps]
+    assert [r[1:] for r in both[200:]] == [tuple(map(pytest.approx, v)) for _, *v in by_sql(train, more)]
